@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,23 +31,40 @@ def first_of(values: Column) -> Column:
     return F.try_element_at(values, F.lit(1))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also where nested lambdas use it again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def merge_pairs(pairs: Column, keep: str = "append") -> Column:
     """Fold ``(field, values)`` pairs of one record into a map without a shuffle.
 
     ``append`` joins the values of equal fields in order; ``last`` keeps the last pair.
     """
-    present = F.filter(pairs, lambda p: p["field"].isNotNull() & (F.size(p["values"]) > 0))
-    names = F.array_distinct(F.transform(present, lambda p: p["field"]))
 
-    def values_of(name: Column) -> Column:
-        same = F.transform(F.filter(present, lambda p: p["field"] == name), lambda p: p["values"])
-        return F.flatten(same) if keep == "append" else F.element_at(same, -1)
+    def folded(present: Column) -> Column:
+        def values_of(name: Column) -> Column:
+            same = F.transform(F.filter(present, lambda p: p["field"] == name), lambda p: p["values"])
+            return F.flatten(same) if keep == "append" else F.element_at(same, -1)
+
+        names = F.array_distinct(F.transform(present, lambda p: p["field"]))
+        entries = F.transform(names, lambda name: F.struct(name.alias("key"), values_of(name).alias("value")))
+        return F.map_from_entries(entries)
 
-    entries = F.transform(names, lambda name: F.struct(name.alias("key"), values_of(name).alias("value")))
-    return F.map_from_entries(entries)
+    return let(F.filter(pairs, lambda p: p["field"].isNotNull() & (F.size(p["values"]) > 0)), folded)
+
+
+def pairs_to_map(pairs: Column) -> Column:
+    """Pairs whose field names differ, as a map; empty values are left out."""
+    present = F.filter(pairs, lambda p: F.size(p["values"]) > 0)
+    return F.map_from_entries(F.transform(present, lambda p: F.struct(p["field"].alias("key"), p["values"].alias("value"))))
 
 
 def override(base: Column, winner: Column) -> Column:
     """Fields of ``winner`` replace fields of the same name in ``base``."""
-    kept = F.map_filter(base, lambda name, _: ~F.map_contains_key(winner, name))
-    return F.map_concat(kept, winner)
+
+    def merged(both: Column) -> Column:
+        kept = F.map_filter(both["base"], lambda name, _: ~F.map_contains_key(both["winner"], name))
+        return F.map_concat(kept, both["winner"])
+
+    return let(F.struct(base.alias("base"), winner.alias("winner")), merged)

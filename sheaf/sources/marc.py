@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.functions.lists import PAIRS, merge_pairs
+from sheaf.functions.lists import PAIRS, merge_pairs, override
 from sheaf.functions.xmlpath import element_pattern
 from sheaf.sources.payloads import ok_pages
 from sheaf.sources.tabular import scan_csv
@@ -42,7 +42,7 @@ def marc_pairs(record: Column, keep: str = "last") -> Column:
     data = F.flatten(F.transform(F.filter(record["datafield"], lambda f: F.size(f["subfield"]) > 0), of_datafield))
     tags = merge_pairs(F.coalesce(control, none).cast(PAIRS))
     keyed = merge_pairs(F.coalesce(data, none).cast(PAIRS), keep)
-    return F.map_concat(tags, F.map_filter(keyed, lambda k, _: ~F.map_contains_key(tags, k)))
+    return override(keyed, tags)
 
 
 def marc_records(payloads: DataFrame, index: DataFrame | None = None, keep: str = "last") -> DataFrame:

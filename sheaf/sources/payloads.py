@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions import jsonpath, xmlpath
-from sheaf.functions.lists import PAIRS, merge_pairs
+from sheaf.functions.lists import PAIRS, pairs_to_map
 from sheaf.spec import CollectionSpec
 
 SCHEMA = "harvest_id string, seq bigint, url string, status int, content_type string, body string"
@@ -33,7 +33,7 @@ def json_fields(doc: Column, raw: Column, spec: CollectionSpec) -> Column:
         F.struct(F.lit(name).alias("field"), jsonpath.find_texts(doc, info.path, raw).alias("values"))
         for name, info in spec.fields.items()
     ]
-    return merge_pairs(F.array(*pairs) if pairs else F.array().cast(PAIRS))
+    return pairs_to_map(F.array(*pairs) if pairs else F.array().cast(PAIRS))
 
 
 def xml_fields(body: Column, spec: CollectionSpec, clean) -> Column:
@@ -44,4 +44,4 @@ def xml_fields(body: Column, spec: CollectionSpec, clean) -> Column:
         )
         for name, info in spec.fields.items()
     ]
-    return merge_pairs(F.array(*pairs) if pairs else F.array().cast(PAIRS))
+    return pairs_to_map(F.array(*pairs) if pairs else F.array().cast(PAIRS))
