@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.variants import kind, texts
+from sheaf.functions.variants import as_list, as_map, texts
 
 _STEP = re.compile(
     r"""(?P<deep>\.\.)|\[(?P<index>\d+)\]|\[(?P<all>\*)\]|\['(?P<quoted>[^']+)'\]|\["(?P<quoted2>[^"]+)"\]"""
@@ -56,20 +56,13 @@ def _literal(steps: list[tuple[str, str | int | None]]) -> str:
 def _open(nodes: Column, steps) -> Column:
     if not steps:
         return nodes
-    found = F.transform(nodes, lambda n: F.try_variant_get(n, _literal(steps), "variant"))
-    return F.filter(found, lambda n: n.isNotNull())
+    return F.array_compact(F.transform(nodes, lambda n: F.try_variant_get(n, _literal(steps), "variant")))
 
 
 def _children(nodes: Column) -> Column:
     """All members of lists and objects."""
-
-    def members(n: Column) -> Column:
-        return F.when(kind(n) == "ARRAY", F.try_variant_get(n, "$", "array<variant>")).when(
-            kind(n) == "OBJECT", F.map_values(F.try_variant_get(n, "$", "map<string,variant>"))
-        )
-
-    opened = F.filter(F.transform(nodes, members), lambda x: x.isNotNull())
-    return F.filter(F.flatten(opened), lambda n: n.isNotNull())
+    opened = F.transform(nodes, lambda n: F.coalesce(as_list(n), F.map_values(as_map(n))))
+    return F.array_compact(F.flatten(F.array_compact(opened)))
 
 
 def _matches(node, steps):
@@ -120,7 +113,7 @@ def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
             nodes, run = _children(_open(nodes, run)), []
         else:
             run.append((what, arg))
-    return F.filter(_open(nodes, run), lambda n: n.isNotNull())
+    return F.array_compact(_open(nodes, run))
 
 
 def find_texts(doc: Column, path: str, raw: Column | None = None) -> Column:

@@ -36,6 +36,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def kept(value: Column, test: Callable[[Column], Column]) -> Column:
+    """Generator of ``value`` where ``test`` holds. A filter on a computed column is pushed
+    below it and computes it twice; this computes it once."""
+    return F.explode(F.filter(F.array(value), test))
+
+
 def merge_pairs(pairs: Column, keep: str = "append") -> Column:
     """Fold ``(field, values)`` pairs of one record into a map without a shuffle.
 

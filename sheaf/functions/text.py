@@ -68,33 +68,27 @@ def decode_entities(c: Column) -> Column:
     """Decode named and numeric character references, the ampersand last."""
     names = {name: chr(160 + i) for i, name in enumerate(LATIN1_ENTITIES)} | OTHER_ENTITIES
     table = F.create_map(*[F.lit(x) for name, ch in names.items() for x in (f"&{name};", ch)])
-    found = F.array_except(
-        F.regexp_extract_all(c, F.lit(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"), F.lit(0)),
-        F.array(*[F.lit(a) for a in ("&amp;", "&#38;", "&#x26;")]),
-    )
 
     def decoded(ref: Column) -> Column:
-        decimal = F.regexp_extract(ref, r"^&#([0-9]+);$", 1)
-        hexadecimal = F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);$", 1)
-        code = F.when(decimal != "", decimal.try_cast("int")).when(
-            hexadecimal != "", F.conv(hexadecimal, 16, 10).try_cast("int")
-        )
+        decimal = F.regexp_extract(ref, r"^&#([0-9]+);$", 1).try_cast("int")
+        hexadecimal = F.conv(F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10).try_cast("int")
+        code = F.coalesce(decimal, hexadecimal)
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         return F.coalesce(F.try_element_at(table, ref), F.when(valid, code_point_text(code)), ref)
 
-    text = F.aggregate(F.array_distinct(found), c, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
-    for amp in ("&#38;", "&#x26;", "&amp;"):
-        text = F.replace(text, F.lit(amp), F.lit("&"))
-    return F.when(F.contains(c, F.lit("&")), text).otherwise(c)
+    references = r"&(?!amp;|#38;|#x26;)(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(references), F.lit(0)))
+    text = F.aggregate(found, c, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
+    return F.regexp_replace(text, "&(?:amp|#38|#x26);", "&")
 
 
 def markup_to_text(c: Column) -> Column:
     """Embedded HTML to its text: comments, dropped elements and tags go, references are decoded."""
     text = F.regexp_replace(c, r"(?s)<!--.*?-->|<\?.*?>|<![A-Za-z][^>]*>", "")
-    for name in DROPPED_ELEMENTS:
-        text = F.regexp_replace(text, rf"(?is)<{name}\b[^>]*>.*?</{name}\s*>", "")
+    text = F.regexp_replace(text, rf"(?is)<({'|'.join(DROPPED_ELEMENTS)})\b[^>]*>.*?</\1\s*>", "")
     text = F.regexp_replace(text, r"</?[A-Za-z][^>]*>", "")
-    return F.when(c.rlike("[<&]"), decode_entities(text)).otherwise(c)
+    plain = F.get(F.transform(F.array(text), lambda t: F.when(F.contains(t, F.lit("&")), decode_entities(t)).otherwise(t)), F.lit(0))
+    return F.when(c.rlike("[<&]"), plain).otherwise(c)
 
 
 def truthy(c: Column, data_type) -> Column:

@@ -1,36 +1,46 @@
-"""Shape tests and text views of VARIANT values."""
+"""Shape tests and text views of VARIANT values.
+
+A cast that does not fit gives null, so one cast answers both "is it a list" and "which
+members"; the schema text of a value, which costs a walk over all of it, is never built.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.lists import STRINGS, empty_strings
+from sheaf.functions.lists import STRINGS, empty_strings, let
 from sheaf.functions.text import strip
 
-
-def kind(v: Column) -> Column:
-    """ARRAY, OBJECT, STRING, VOID or another scalar type name."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
+VARIANTS = "array<variant>"
 
 
 def as_list(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>")
+    """Members of a list, else null."""
+    return F.try_variant_get(v, "$", VARIANTS)
+
+
+def as_map(v: Column) -> Column:
+    """Members of an object, else null."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def present(v: Column) -> Column:
+    return v.isNotNull() & ~F.is_variant_null(v)
 
 
 def text_of(v: Column) -> Column:
-    """Plain text of a scalar, JSON text of anything nested."""
-    return F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string")).when(kind(v) != "VOID", F.to_json(v))
+    """Plain text of a scalar, JSON text of anything nested, null for null."""
+    return F.coalesce(F.try_variant_get(v, "$", "string"), F.when(present(v), F.to_json(v)))
 
 
 def listify(v: Column) -> Column:
     """A list stays a list, anything else becomes a list of one; null is empty."""
-    nothing = F.array().cast("array<variant>")
-    return F.when(kind(v) == "ARRAY", as_list(v)).when(kind(v) != "VOID", F.array(v)).otherwise(nothing)
+    return F.coalesce(as_list(v), F.when(present(v), F.array(v)), F.array().cast(VARIANTS))
 
 
 def flatten_nested(items: Column, depth: int = 3) -> Column:
-    """Open lists inside lists, ``depth`` levels down."""
+    """Open lists inside lists, ``depth`` levels down; lists below that stay as JSON text."""
     for _ in range(depth):
         items = F.flatten(F.transform(items, listify))
     return items
@@ -38,6 +48,10 @@ def flatten_nested(items: Column, depth: int = 3) -> Column:
 
 def texts(v: Column) -> Column:
     """Values of one match: list elements are stripped text, a lone scalar is left as it is."""
-    elements = F.transform(flatten_nested(as_list(v)), lambda x: strip(text_of(x)))
-    out = F.when(kind(v) == "ARRAY", elements).when(kind(v) != "VOID", F.array(text_of(v)))
-    return F.coalesce(F.filter(out, lambda x: x.isNotNull()).cast(STRINGS), empty_strings())
+
+    def of(elements: Column) -> Column:
+        stripped = F.transform(flatten_nested(elements), lambda x: strip(text_of(x)))
+        return F.when(elements.isNotNull(), stripped).otherwise(F.array(text_of(v)))
+
+    found = F.array_compact(let(as_list(v), of))
+    return F.coalesce(found.cast(STRINGS), empty_strings())

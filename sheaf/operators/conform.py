@@ -8,8 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.variants import kind
-
 # Fields every mapped record needs, and those that need an address.
 REQUIRED_FIELDS = ("agg_preview", "agg_is_shown_at", "cho_dc_rights", "cho_edm_type", "cho_has_type")
 ADDRESS_FIELDS = ("agg_preview", "agg_is_shown_at")
@@ -57,7 +55,7 @@ def missing_required(
         bad = _falsy(v)
         if name in addresses:
             address = F.try_variant_get("doc", f"$['{name}']['wr_id']", "variant")
-            bad = bad | (kind(v) != "OBJECT") | _falsy(address)
+            bad = bad | _falsy(address)
         return F.when(bad, F.lit(name))
 
     found = F.array_compact(F.array(*[lacks(name) for name in required]))

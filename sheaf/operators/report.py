@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sheaf.functions.variants import kind
+from sheaf.functions.lists import let
+from sheaf.functions.variants import as_list, as_map
 
 # Fields that are not reported.
 IGNORED_FIELDS = (
@@ -48,19 +49,20 @@ def field_counts(lines: DataFrame, ignored: list[str] | None = None) -> DataFram
     members = F.map_entries(F.from_json("value", "map<string,variant>"))
 
     def counts_of(member: Column) -> Column:
-        v = member["value"]
-        inner = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
-        per_key = F.transform(
-            inner,
-            lambda e: F.struct(
-                member["key"].alias("field"),
-                e["key"].alias("key"),
-                F.coalesce(F.size(F.try_variant_get(e["value"], "$", "array<variant>")), F.lit(1)).alias("n"),
-            ),
-        )
+        def per_key(inner: Column) -> Column:
+            sized = F.transform(
+                inner,
+                lambda e: F.struct(
+                    member["key"].alias("field"),
+                    e["key"].alias("key"),
+                    F.coalesce(F.size(as_list(e["value"])), F.lit(1)).alias("n"),
+                ),
+            )
+            return F.concat(covered, F.when(inner.isNotNull(), sized).otherwise(one))
+
         one = F.array(F.struct(member["key"].alias("field"), F.lit("values").alias("key"), F.lit(1).alias("n")))
         covered = F.array(F.struct(member["key"].alias("field"), F.lit("fields_covered").alias("key"), F.lit(1).alias("n")))
-        return F.concat(covered, F.when(kind(v) == "OBJECT", per_key).otherwise(one))
+        return let(F.map_entries(as_map(member["value"])), per_key)
 
     reported = F.filter(members, lambda m: ~m["key"].isin(skip))
     total = F.array(F.struct(F.lit(RECORDS).alias("field"), F.lit(RECORDS).alias("key"), F.lit(1).alias("n")))

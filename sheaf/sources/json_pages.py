@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sheaf.functions import jsonpath
 from sheaf.functions.lists import PAIRS, merge_pairs, override
 from sheaf.functions.text import normalise_label
-from sheaf.functions.variants import flatten_nested, kind, text_of
+from sheaf.functions.variants import as_map, flatten_nested, text_of
 from sheaf.sources.payloads import json_fields, ok_pages
 from sheaf.spec import CollectionSpec
 
@@ -23,7 +23,7 @@ def record_pairs(doc: Column) -> Column:
     def values(row: Column) -> Column:
         value = F.try_variant_get(row, "$.value", "variant")
         tagged = F.try_variant_get(row, "$.value[0]['@value']", "variant")
-        chosen = F.when(kind(F.try_variant_get(row, "$.value[0]", "variant")) == "OBJECT", tagged).otherwise(value)
+        chosen = F.when(as_map(F.try_variant_get(row, "$.value[0]", "variant")).isNotNull(), tagged).otherwise(value)
         return F.filter(F.transform(flatten_nested(F.array(chosen)), text_of), lambda x: x.isNotNull() & (x != ""))
 
     def label(row: Column) -> Column:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.lists import PAIRS, empty_strings, merge_pairs, override, strip_all
+from sheaf.functions.lists import PAIRS, empty_strings, kept, merge_pairs, override, strip_all
 from sheaf.functions.text import normalise_label
-from sheaf.functions.variants import flatten_nested, kind, listify, text_of
+from sheaf.functions.variants import flatten_nested, listify, text_of
 from sheaf.sources.payloads import json_fields, ok_pages
 from sheaf.spec import CollectionSpec
 
@@ -71,13 +71,10 @@ def tagged_pairs(body: Column) -> Column:
     rows = F.from_json(body, "struct<metadata:array<struct<label:string,value:variant>>>")["metadata"]
 
     def one(label: Column, v: Column) -> Column:
-        is_object = kind(v) == "OBJECT"
-        language = F.when(is_object, F.try_variant_get(v, "$['@language']", "string"))
-        value = F.when(is_object, F.coalesce(F.try_variant_get(v, "$['@value']", "variant"), v)).otherwise(v)
-        found = F.transform(flatten_nested(listify(value)), text_of)
-        return F.struct(
-            F.concat_ws("_", label, language).alias("field"), F.filter(found, lambda x: x.isNotNull()).alias("values")
-        )
+        language = F.try_variant_get(v, "$['@language']", "string")
+        value = F.coalesce(F.try_variant_get(v, "$['@value']", "variant"), v)
+        found = F.transform(flatten_nested(listify(value), 1), text_of)
+        return F.struct(F.concat_ws("_", label, language).alias("field"), F.array_compact(found).alias("values"))
 
     def row_pairs(row: Column) -> Column:
         label = normalise_label(row["label"])
@@ -104,20 +101,21 @@ def language_pairs(body: Column) -> Column:
     return F.coalesce(pairs, F.array().cast(PAIRS)).cast(PAIRS)
 
 
-def not_empty(records: DataFrame) -> DataFrame:
-    """Drop records whose fields are all empty."""
-    return records.where(F.exists(F.map_values("fields"), lambda vs: F.exists(vs, lambda v: v != "")))
+def not_empty(fields: Column) -> Column:
+    """Generator of the fields of records that hold any value."""
+    return kept(fields, lambda m: F.exists(F.map_values(m), lambda vs: F.exists(vs, lambda v: v != "")))
+
+
+def parsed(payloads: DataFrame) -> DataFrame:
+    """Adds ``doc``, and drops bodies that are not JSON."""
+    return payloads.select("*", kept(F.try_parse_json("body"), lambda d: d.isNotNull()).alias("doc"))
 
 
 def manifest_records(payloads: DataFrame, spec: CollectionSpec) -> DataFrame:
     """Version 2 manifests as records; metadata pairs win over declared fields."""
-    docs = ok_pages(payloads).select("harvest_id", "seq", "url", "body", F.try_parse_json("body").alias("doc"))
+    docs = parsed(ok_pages(payloads).select("harvest_id", "seq", "url", "body"))
     fields = override(json_fields(F.col("doc"), F.col("body"), spec), merge_pairs(tagged_pairs(F.col("body"))))
-    return not_empty(
-        docs.where(F.col("doc").isNotNull()).select(
-            "harvest_id", "seq", F.lit(0).cast("bigint").alias("pos"), "url", fields.alias("fields")
-        )
-    )
+    return docs.select("harvest_id", "seq", F.lit(0).cast("bigint").alias("pos"), "url", not_empty(fields).alias("fields"))
 
 
 def manifest_records_v3(listings: DataFrame, payloads: DataFrame, spec: CollectionSpec) -> DataFrame:
@@ -129,11 +127,10 @@ def manifest_records_v3(listings: DataFrame, payloads: DataFrame, spec: Collecti
         F.try_variant_get("member", "$.id", "string").alias("url"),
         F.try_variant_get("member", "$.thumbnail[0].id", "string").alias("thumbnail"),
     )
-    docs = ok_pages(payloads).select("harvest_id", "url", "body", F.try_parse_json("body").alias("doc"))
-    joined = members.join(docs.where(F.col("doc").isNotNull()), ["harvest_id", "url"])
+    joined = parsed(members.join(ok_pages(payloads).select("harvest_id", "url", "body"), ["harvest_id", "url"]))
     declared = F.transform_values(json_fields(F.col("doc"), F.col("body"), spec), lambda _, v: strip_all(v))
     thumbnail = F.array(
         F.struct(F.lit("thumbnail").alias("field"), F.array_compact(F.array("thumbnail")).alias("values"))
     )
     fields = override(override(declared, merge_pairs(language_pairs(F.col("body")))), merge_pairs(thumbnail))
-    return not_empty(joined.select("harvest_id", "seq", "pos", "url", fields.alias("fields")))
+    return joined.select("harvest_id", "seq", "pos", "url", not_empty(fields).alias("fields"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions import xmlpath
+from sheaf.functions.lists import kept
 from sheaf.functions.text import markup_to_text, sanitize
 from sheaf.sources.payloads import ok_pages, xml_fields
 from sheaf.spec import CollectionSpec
@@ -24,11 +25,9 @@ def record_elements(pages: DataFrame, selector: str) -> DataFrame:
 
 
 def extract(records: DataFrame, spec: CollectionSpec) -> DataFrame:
-    good = F.when(xmlpath.well_formed(F.col("record")), F.col("record"))
-    return (
-        records.withColumn("record", good)
-        .where(F.col("record").isNotNull())
-        .select("harvest_id", "seq", "pos", "url", xml_fields(F.col("record"), spec, clean_values).alias("fields"))
+    good = kept(F.col("record"), xmlpath.well_formed).alias("_record")
+    return records.select("harvest_id", "seq", "pos", "url", good).select(
+        "harvest_id", "seq", "pos", "url", xml_fields(F.col("_record"), spec, clean_values).alias("fields")
     )
 
 
