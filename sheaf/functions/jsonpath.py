@@ -118,4 +118,7 @@ def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
 
 def find_texts(doc: Column, path: str, raw: Column | None = None) -> Column:
     """Values of all matches as an array of strings; no match is an empty array."""
+    steps = parse_path(path)
+    if all(what in ("name", "index") for what, _ in steps):
+        return texts(F.try_variant_get(doc, _literal(steps), "variant"))
     return F.flatten(F.transform(find_nodes(doc, path, raw), texts))

@@ -66,15 +66,17 @@ def code_point_text(code: Column) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """Decode named and numeric character references, the ampersand last."""
-    names = {name: chr(160 + i) for i, name in enumerate(LATIN1_ENTITIES)} | OTHER_ENTITIES
-    table = F.create_map(*[F.lit(x) for name, ch in names.items() for x in (f"&{name};", ch)])
+    table = {name: chr(160 + i) for i, name in enumerate(LATIN1_ENTITIES)} | OTHER_ENTITIES
+    names, characters = F.lit(",".join(table)), F.lit("".join(table.values()))
 
     def decoded(ref: Column) -> Column:
+        place = F.find_in_set(F.regexp_extract(ref, "^&([A-Za-z0-9]+);$", 1), names)
+        named = F.when(place > 0, F.substring(characters, place, F.lit(1)))
         decimal = F.regexp_extract(ref, r"^&#([0-9]+);$", 1).try_cast("int")
         hexadecimal = F.conv(F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10).try_cast("int")
         code = F.coalesce(decimal, hexadecimal)
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.coalesce(F.try_element_at(table, ref), F.when(valid, code_point_text(code)), ref)
+        return F.coalesce(named, F.when(valid, code_point_text(code)), ref)
 
     references = r"&(?!amp;|#38;|#x26;)(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
     found = F.array_distinct(F.regexp_extract_all(c, F.lit(references), F.lit(0)))

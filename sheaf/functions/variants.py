@@ -31,7 +31,7 @@ def present(v: Column) -> Column:
 
 def text_of(v: Column) -> Column:
     """Plain text of a scalar, JSON text of anything nested, null for null."""
-    return F.coalesce(F.try_variant_get(v, "$", "string"), F.when(present(v), F.to_json(v)))
+    return F.try_variant_get(v, "$", "string")
 
 
 def listify(v: Column) -> Column:
@@ -46,12 +46,14 @@ def flatten_nested(items: Column, depth: int = 3) -> Column:
     return items
 
 
-def texts(v: Column) -> Column:
-    """Values of one match: list elements are stripped text, a lone scalar is left as it is."""
+def opened(items: Column) -> Column:
+    """``flatten_nested`` where there is any list inside, else the items that are not null."""
+    nested = F.exists(items, lambda x: as_list(x).isNotNull())
+    return F.when(nested, flatten_nested(items)).otherwise(F.filter(items, present))
 
-    def of(elements: Column) -> Column:
-        stripped = F.transform(flatten_nested(elements), lambda x: strip(text_of(x)))
-        return F.when(elements.isNotNull(), stripped).otherwise(F.array(text_of(v)))
 
-    found = F.array_compact(let(as_list(v), of))
-    return F.coalesce(found.cast(STRINGS), empty_strings())
+def texts(v: Column) -> Column:
+    """Values of one match: list elements are stripped text, a lone scalar is left as it is."""
+    alone = F.array_compact(F.array(text_of(v)))
+    listed = let(as_list(v), lambda items: F.transform(opened(items), lambda x: strip(text_of(x))))
+    return F.coalesce(F.when(as_list(v).isNull(), alone).otherwise(listed).cast(STRINGS), empty_strings())

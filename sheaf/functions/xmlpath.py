@@ -42,13 +42,25 @@ def local_path(path: str, namespaces: Mapping[str, str] | None = None) -> str:
     return re.sub(r"@\*\[local-name\(\)='([^']+)'\]", r"@*[local-name()='\1' or name()='\1']", compiled)
 
 
+def anchored(path: str) -> str:
+    """A relative path starts at the record element, which is the root of the record's text."""
+    if path.startswith(("/", "(")):
+        return path
+    if path.startswith(".//"):
+        return f"/*//{path[3:]}"
+    if path.startswith("./"):
+        return f"/*/{path[2:]}"
+    return "/*" if path == "." else f"/*/{path}"
+
+
 def value_path(path: str, namespaces: Mapping[str, str] | None = None) -> str:
-    """Path to the text of the selected elements; attributes and text nodes stay as they are."""
-    compiled = local_path(path.rstrip("/"), namespaces)
+    """Path to the text of the selected elements, that is their first node if it is text;
+    attributes and text nodes stay as they are."""
+    compiled = local_path(anchored(path.rstrip("/")), namespaces)
     last = re.split(r"/(?![^\[]*\])", compiled)[-1]
     if last.startswith("@") or last.startswith("text("):
         return compiled
-    return f"{compiled}/text()"
+    return f"{compiled}/node()[1][self::text()]"
 
 
 def well_formed(body: Column) -> Column:

@@ -15,18 +15,23 @@ def merge_lists(
     order: list[str],
     list_columns: list[str],
     max_rows: int = 10_000,
+    page_rows: int = 1,
 ) -> DataFrame:
     """One row per first locator value: the first id, and every list chained in row order.
 
     A group of more than ``max_rows`` source rows is not pulled into one task: it comes out
-    as consecutive parts, numbered by ``part`` and cut by the leading order column. Read in
-    part order they hold the same lists. Usual groups have the one part 0.
+    as consecutive parts, numbered by ``part`` and cut by the leading order column, of which
+    one value is shared by at most ``page_rows`` rows. Read in part order they hold the same
+    lists. Usual groups have the one part 0.
     """
     keyed = df.withColumn("locator", first_of(F.col(f"`{locator}`")))
     large = keyed.groupBy("locator").agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
-    lead = F.floor(F.col(order[0]) / F.lit(max_rows)).cast("bigint")
+    lead = F.floor(F.col(order[0]) / F.lit(max(1, max_rows // page_rows))).cast("bigint")
     marked = keyed.join(large.withColumn("_key", F.col("locator")).drop("locator"), keyed["locator"].eqNullSafe(F.col("_key")), "left")
     parted = marked.withColumn("part", F.when(F.col("_n").isNotNull(), lead).otherwise(F.lit(0).cast("bigint")))
+    # both keys by name: else the join's partitioning by locator alone would be kept, and the
+    # parts of a large group would meet in one task again
+    parted = parted.repartition("locator", "part")
     at = F.struct(*order)
     lists = F.array_sort(F.collect_list(F.struct(at.alias("at"), *[F.col(f"`{c}`") for c in list_columns])))
     grouped = parted.groupBy("locator", "part").agg(F.min_by(id_column, at).alias(id_column), lists.alias("_rows"))

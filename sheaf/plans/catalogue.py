@@ -24,5 +24,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table. ``spread`` is for work that is heavy per row: a table in fewer files than
+    the cluster has cores is dealt out first; one in many files is read as it lies."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and len(df.inputFiles()) < cores:
+        df = df.repartition(cores)
+    return df

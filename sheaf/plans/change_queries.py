@@ -84,8 +84,8 @@ def snapshot_digest(spark, sf_dir):
     return snapshots.digests(orders, ["o_orderstatus", "month"], ["o_orderkey", "o_custkey"])
 
 
-def monthly_snapshots(spark, sf_dir):
-    """Status and priority as two formats; a month's snapshot lists the distinct priorities seen at high prices."""
+def daily_snapshots(spark, sf_dir):
+    """Per status one snapshot a day: the priorities of that day's large orders, often none."""
     orders = load(spark, sf_dir, "orders").withColumn("snapshot_ts", F.date_format("o_orderdate", "yyyyMMddHHmmss"))
     large = F.when(F.col("o_totalprice") > 450000, F.col("o_orderpriority"))
     rows = orders.select("o_orderstatus", "snapshot_ts", large.alias("o_orderpriority")).distinct()
@@ -116,7 +116,7 @@ _MONTHLY = f"""
     """,
 )
 def archive_decision(spark, sf_dir):
-    return snapshots.archive_decisions(monthly_snapshots(spark, sf_dir), ["o_orderstatus"]).drop("digest")
+    return snapshots.archive_decisions(daily_snapshots(spark, sf_dir), ["o_orderstatus"]).drop("digest")
 
 
 @query(
@@ -132,7 +132,7 @@ def archive_decision(spark, sf_dir):
 )
 def archive_write(spark, sf_dir):
     path = shared_dir(spark, "archive")
-    decisions = snapshots.archive_decisions(monthly_snapshots(spark, sf_dir), ["o_orderstatus"])
+    decisions = snapshots.archive_decisions(daily_snapshots(spark, sf_dir), ["o_orderstatus"])
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMMddHHmmss").alias("snapshot_ts"),
         F.date_format("o_orderdate", "yyyy").alias("year"),
@@ -147,7 +147,7 @@ def archive_write(spark, sf_dir):
     "SELECT o_orderstatus, max(strftime(o_orderdate, '%Y%m%d%H%M%S')) AS snapshot_ts FROM orders GROUP BY 1",
 )
 def archive_newest(spark, sf_dir):
-    return snapshots.newest(monthly_snapshots(spark, sf_dir), ["o_orderstatus"])
+    return snapshots.newest(daily_snapshots(spark, sf_dir), ["o_orderstatus"])
 
 
 @query(

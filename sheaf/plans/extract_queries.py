@@ -131,7 +131,7 @@ def json_descend(spark, sf_dir):
     supplier = F.struct(F.struct(F.col("l_suppkey").alias("key")).alias("supplier"), F.array(F.struct(F.col("l_linenumber").alias("key"))).alias("rest"))
     part = F.struct(F.col("l_partkey").alias("key"), supplier.alias("inner"))
     body = F.to_json(F.struct(F.struct(part.alias("part"), F.col("l_orderkey").alias("key")).alias("line")))
-    df = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", body.alias("body"))
+    df = load(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_linenumber", body.alias("body"))
     docs = df.withColumn("doc", F.try_parse_json("body"))
     values = jsonpath.find_texts(F.col("doc"), "line..key", F.col("body"))
     return docs.select("l_orderkey", "l_linenumber", F.array_join(values, "|").alias("found"))
@@ -169,7 +169,7 @@ def doc_url():
 def doc_listings(spark, sf_dir):
     """Per source and run of 1000 ids one listing; by the source's name of the older or newer
     form, of no known form, or failed."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "source", doc_url().alias("manifest"), "lang")
+    docs = load(spark, sf_dir, "documents", spread=True).select("doc_id", "source", doc_url().alias("manifest"), "lang")
     groups = docs.groupBy("source", F.floor(F.col("doc_id") / 1000).alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("doc_id", "manifest", "lang"))).alias("entries")
     )
@@ -231,7 +231,7 @@ def doc_manifests(spark, sf_dir):
         F.lit('[{"canvases":[{"images":[{"resource":'), resource, F.lit('}]},{"images":[{"resource":'), resource,
         F.lit('}]}]}],"metadata":['), rows, F.lit("]}"),
     )
-    return single(load(spark, sf_dir, "documents"), "doc_id", body)
+    return single(load(spark, sf_dir, "documents", spread=True), "doc_id", body)
 
 
 MANIFEST_SPEC = {
@@ -289,7 +289,7 @@ def label_lang(spark, sf_dir):
     """,
 )
 def manifests_v3(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents")
+    docs = load(spark, sf_dir, "documents", spread=True)
     label = lambda text: F.create_map(F.lit("en"), F.array(F.lit(text)), F.lit("ar"), F.array(F.lit("x")))
     rows = F.concat_ws(
         ",",
@@ -322,7 +322,7 @@ def manifests_v3(spark, sf_dir):
 def join_listing(spark, sf_dir):
     thumb = F.concat(F.lit('"thumbnail":[{"id":"https://img.example.org/c/'), F.col("doc_id").cast("string"), F.lit('"}]'))
     body = F.concat(F.lit('{"items":[{'), F.when(F.col("lang") == "en", thumb).otherwise(F.lit('"x":1')), F.lit("}]}"))
-    payloads = load(spark, sf_dir, "documents").select(doc_url().alias("url"), F.lit(200).alias("status"), body.alias("body"))
+    payloads = load(spark, sf_dir, "documents", spread=True).select(doc_url().alias("url"), F.lit(200).alias("status"), body.alias("body"))
     return listing_thumbnails(doc_listings(spark, sf_dir), payloads).select("harvest_id", "id", shown("thumbnail"))
 
 
@@ -338,7 +338,7 @@ def join_listing(spark, sf_dir):
 )
 def label_normalise(spark, sf_dir):
     label = F.concat("p_brand", F.lit(" ("), "p_type", F.lit(")/"), "p_name")
-    return load(spark, sf_dir, "part").select(
+    return load(spark, sf_dir, "part", spread=True).select(
         "p_partkey", normalise_label(label).alias("label"), normalise_label(label, drop_slash=False).alias("label_with_slash")
     )
 
@@ -358,7 +358,7 @@ def label_merge(spark, sf_dir):
         pair(F.lower("p_type"), F.col("p_brand")),
         F.struct(F.lit("empty").alias("field"), F.array().cast("array<string>").alias("values")),
     )
-    fields = load(spark, sf_dir, "part").select("p_partkey", F.explode(merge_pairs(pairs)).alias("field", "values"))
+    fields = load(spark, sf_dir, "part", spread=True).select("p_partkey", F.explode(merge_pairs(pairs)).alias("field", "values"))
     return fields.select("p_partkey", "field", F.array_join("values", "|").alias("found"))
 
 
@@ -370,7 +370,7 @@ def label_merge(spark, sf_dir):
     """,
 )
 def override_fields(spark, sf_dir):
-    df = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id", "left")
+    df = load(spark, sf_dir, "documents", spread=True).join(load(spark, sf_dir, "labels"), "doc_id", "left")
     declared = F.create_map(F.lit("lang"), F.array("lang"), F.lit("note"), F.array("source")).cast(RECORD)
     pair = F.when(F.col("quality").isNotNull(), F.create_map(F.lit("note"), F.array(F.col("quality").cast("string"))))
     merged = override(declared, F.coalesce(pair, F.create_map().cast(RECORD)))
@@ -387,7 +387,7 @@ def override_fields(spark, sf_dir):
     """,
 )
 def missing_field_audit(spark, sf_dir):
-    df = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id", "left")
+    df = load(spark, sf_dir, "documents", spread=True).join(load(spark, sf_dir, "labels"), "doc_id", "left")
     toxic = F.when(F.col("toxic") != 0, F.col("toxic"))
     body = F.to_json(F.struct(F.struct("lang", "quality", toxic.alias("toxic")).alias("a")))
     paths = {"lang": "a.lang", "quality": "a.quality", "toxic": FieldSpec("a.toxic", optional=True), "never": "a.never"}
@@ -406,7 +406,7 @@ def missing_field_audit(spark, sf_dir):
 )
 def record_values(spark, sf_dir):
     fields = F.create_map(F.lit("lang"), F.array("lang"), F.lit("line"), F.split("text", "\n"))
-    return long(load(spark, sf_dir, "documents").select("doc_id", fields.alias("fields")), ["doc_id"])
+    return long(load(spark, sf_dir, "documents", spread=True).select("doc_id", fields.alias("fields")), ["doc_id"])
 
 
 # --- text -----------------------------------------------------------------
@@ -420,7 +420,7 @@ def record_values(spark, sf_dir):
 )
 def sanitize_text(spark, sf_dir):
     raw = F.concat(F.lit("\n "), F.replace(F.col("text"), F.lit(". "), F.lit(".\r\n")), F.lit("\t"))
-    return load(spark, sf_dir, "documents").select("doc_id", F.md5(sanitize(raw)).alias("clean_md5"))
+    return load(spark, sf_dir, "documents", spread=True).select("doc_id", F.md5(sanitize(raw)).alias("clean_md5"))
 
 
 @query(
@@ -434,7 +434,7 @@ def sanitize_text(spark, sf_dir):
     """,
 )
 def html_to_text(spark, sf_dir):
-    return load(spark, sf_dir, "pages").select("page_id", F.md5(markup_to_text(F.col("html"))).alias("text_md5"))
+    return load(spark, sf_dir, "pages", spread=True).select("page_id", F.md5(markup_to_text(F.col("html"))).alias("text_md5"))
 
 
 @query(
@@ -446,7 +446,7 @@ def html_to_text(spark, sf_dir):
     """,
 )
 def jsonld_thumbnail(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages")
+    pages = load(spark, sf_dir, "pages", spread=True)
     good = F.concat(F.lit('{"name":"a\nb","thumbnailUrl":"https://img.example.org/'), F.col("page_id").cast("string"), F.lit('"}'))
     block = F.when(F.contains("url", F.lit("/fr/")), F.lit('{"thumbnailUrl":')).otherwise(good)
     script = F.concat(F.lit('<script type="application/ld+json">'), block, F.lit("</script></body>"))
@@ -502,7 +502,7 @@ def _xml_view(records, keys):
 
 @query("xml_records", _XML_SQL.format(keys="(c_custkey // 40)::BIGINT AS seq, (c_custkey % 40)::BIGINT AS pos, "))
 def xml_page_table(spark, sf_dir):
-    s = spec("xml", {**XML_SPEC, "title": FieldSpec("/item/dc:title", DC)}, record_selector=".//item")
+    s = spec("xml", XML_SPEC, record_selector=".//item")
     pages = paged(load(spark, sf_dir, "customer"), 40, "c_custkey", customer_item(), XML_HEAD, XML_TAIL)
     return _xml_view(read_records(pages, s), ["seq", "pos"])
 
@@ -516,7 +516,7 @@ def xml_file_table(spark, sf_dir):
         F.lit("h").alias("harvest_id"), F.col("file_block").alias("seq"), F.col("file_row").alias("pos"),
         F.col("file_name").alias("url"), "record",
     )
-    return _xml_view(extract(records, spec("xml", {**XML_SPEC, "title": FieldSpec("/item/dc:title", DC)})), [])
+    return _xml_view(extract(records, spec("xml", XML_SPEC)), [])
 
 
 @query(
@@ -648,7 +648,7 @@ def marc_payloads(spark, sf_dir):
         data("650", ("a", F.col("p_brand"))), data("650", ("a", F.col("p_size").cast("string")), ("x", F.lit("y"))),
         F.lit("</record></collection>"),
     )
-    return single(load(spark, sf_dir, "part"), "p_partkey", body)
+    return single(load(spark, sf_dir, "part", spread=True), "p_partkey", body)
 
 
 _MARC_SQL = """
@@ -679,7 +679,7 @@ def marc_flatten_append(spark, sf_dir):
 )
 def marc_by_index(spark, sf_dir):
     path = shared_dir(spark, "index")
-    index = load(spark, sf_dir, "part").where(F.col("p_type").isin("SMALL", "PROMO"))
+    index = load(spark, sf_dir, "part", spread=True).where(F.col("p_type").isin("SMALL", "PROMO"))
     ids = F.concat(F.lit(f"{SITE}/record/"), F.col("p_partkey").cast("string"))
     index.select(F.col("p_name").alias("title"), ids.alias("ht_bib_key")).write.options(header=True, sep="\t").csv(path)
     records = marc_records(marc_payloads(spark, sf_dir), scan_index(spark, path, "ht_bib_key"))

@@ -13,7 +13,7 @@ from sheaf.sources.ndjson import scan_mapping_lines
 
 def mapped_lines(spark, sf_dir):
     """One JSON line per document, collection = source; fields depend on its labels."""
-    df = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id", "left")
+    df = load(spark, sf_dir, "documents", spread=True).join(load(spark, sf_dir, "labels"), "doc_id", "left")
     good, clean = F.col("quality") == 1, F.col("toxic") == 0
     by_lang = lambda values: F.create_map(F.col("lang"), values)
     address = F.when(good, F.concat(F.lit("https://img.example.org/"), F.col("doc_id").cast("string"))).otherwise(

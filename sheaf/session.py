@@ -9,11 +9,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Adaptive execution picks partition counts, join sides and skew splits from the
-# sizes it measures, so none of them is fixed here for a cluster.
+# sizes it measures, so none of them is fixed here for a cluster. Extraction is heavy on
+# the CPU and light on bytes, so small shuffles are merged less eagerly. Recording the call
+# site of every Column call makes long field lists slow to build and is switched off.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

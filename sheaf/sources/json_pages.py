@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions import jsonpath
-from sheaf.functions.lists import PAIRS, merge_pairs, override
+from sheaf.functions.lists import PAIRS, let, merge_pairs, override
 from sheaf.functions.text import normalise_label
-from sheaf.functions.variants import as_map, flatten_nested, text_of
+from sheaf.functions.variants import as_map, flatten_nested, opened, text_of
 from sheaf.sources.payloads import json_fields, ok_pages
 from sheaf.spec import CollectionSpec
 
@@ -35,7 +35,7 @@ def record_pairs(doc: Column) -> Column:
 def json_records(payloads: DataFrame, spec: CollectionSpec, with_pairs: bool = False) -> DataFrame:
     """``harvest_id, seq, pos, url, fields`` of all records on pages that answered 200."""
     pages = ok_pages(payloads).select("harvest_id", "seq", "url", F.try_parse_json("body").alias("doc"), "body")
-    found = flatten_nested(jsonpath.find_nodes(F.col("doc"), spec.record_selector, F.col("body")))
+    found = let(jsonpath.find_nodes(F.col("doc"), spec.record_selector, F.col("body")), opened)
     records = pages.select("harvest_id", "seq", "url", F.posexplode(found).alias("pos", "record"))
     fields = json_fields(F.col("record"), None, spec)
     if with_pairs:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,8 @@ def scan_delimited(spark: SparkSession, paths: list[str], multi_line: bool = Tru
     def read(sep: str, files: list[tuple[int, str]]) -> DataFrame:
         table = scan_csv(spark, [p for _, p in files], multi_line=multi_line, sep=sep)
         where = F.col("_metadata.file_path")
-        index = F.coalesce(*[F.when(F.contains(where, F.lit(p.rstrip("/"))), F.lit(i)) for i, p in files])
+        longest_first = sorted(files, key=lambda f: -len(f[1]))
+        index = F.coalesce(*[F.when(F.contains(where, F.lit(quote(p.rstrip("/")))), F.lit(i)) for i, p in longest_first])
         return table.select(
             "*",
             index.cast("bigint").alias("file_idx"),
