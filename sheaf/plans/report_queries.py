@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sheaf.functions.text import sanitize
 from sheaf.operators import conform, inventory, links, mapping, report
+from sheaf.operators.dedupe import first_per_key
+from sheaf.operators.filters import apply_filters
 from sheaf.operators.records import with_fields
 from sheaf.plans.catalogue import load, query
 from sheaf.session import shared_dir
 from sheaf.sources.ndjson import scan_mapping_lines
+from sheaf.spec import CollectionSpec, FieldFilter, FieldSpec
 
 
-def mapped_lines(spark, sf_dir):
+def mapped_lines(spark, sf_dir, documents=None):
     """One JSON line per document, collection = source; fields depend on its labels."""
-    df = load(spark, sf_dir, "documents", spread=True).join(load(spark, sf_dir, "labels"), "doc_id", "left")
+    documents = load(spark, sf_dir, "documents", spread=True) if documents is None else documents
+    df = documents.join(load(spark, sf_dir, "labels"), "doc_id", "left")
     good, clean = F.col("quality") == 1, F.col("toxic") == 0
     by_lang = lambda values: F.create_map(F.col("lang"), values)
     address = F.when(good, F.concat(F.lit("https://img.example.org/"), F.col("doc_id").cast("string"))).otherwise(
@@ -92,6 +97,30 @@ def field_coverage(spark, sf_dir):
     return report.coverage(counted(spark, sf_dir))
 
 
+@query(
+    "harvest_coverage",
+    f"""
+    WITH firsts AS (
+        SELECT doc_id, lang, source, n_chars, replace(replace(trim(text, ' ' || chr(10) || chr(13) || chr(9)), chr(10), ' '), chr(13), '') AS text
+        FROM documents
+        QUALIFY row_number() OVER (PARTITION BY replace(replace(trim(text, ' ' || chr(10) || chr(13) || chr(9)), chr(10), ' '), chr(13), '') ORDER BY doc_id) = 1
+    ), kept AS (SELECT * FROM firsts WHERE lang IN ('en', 'fr', 'de') AND source NOT IN ('src1', 'src2')),
+    {_R.replace("FROM documents d", "FROM kept d")}
+    SELECT collection_id, field, n, records, (n * 100 // records)::BIGINT AS percent
+    FROM k JOIN t USING (collection_id) WHERE key = 'fields_covered'
+    """,
+)
+def harvest_coverage(spark, sf_dir):
+    """Clean the texts, keep the first of equal ones, filter, then report field coverage per source."""
+    documents = load(spark, sf_dir, "documents").withColumn("text", sanitize(F.col("text")))
+    spec = CollectionSpec(
+        "docs", "custom_json", fields={"id": FieldSpec("id", name_in_table="text")},
+        filters={"lang": FieldFilter(include=("en", "fr", "de")), "source": FieldFilter(exclude=("src1", "src2"))},
+    )
+    kept = apply_filters(first_per_key(documents, [spec.id_column], ["doc_id"]), spec.filters)
+    return report.coverage(report.field_counts(mapped_lines(spark, sf_dir, kept), report.ignored_fields("shop")))
+
+
 @query(
     "field_averages",
     f"""
