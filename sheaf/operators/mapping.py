@@ -59,7 +59,7 @@ def crosswalk(
     extract: Mapping[str, tuple[str, str]] = EXTRACT_MACROS,
     modify: Mapping[str, str] = MODIFY_MACROS,
 ) -> DataFrame:
-    """``file_name, line_no, from_field, to_field, transforms`` of lines that fill a known target."""
+    """``from_field, to_field, transforms`` of lines that fill a known target, with the lines' other columns."""
     line = F.col("line")
     to_field = F.regexp_extract(line, r"""\bto_field\s*\(?\s*['"]([^'"]+)['"]""", 1)
     sources = _used(line, extract, 0)
@@ -71,7 +71,9 @@ def crosswalk(
     ).otherwise(argument)
     changes = F.concat(_used(line, extract, 1), _used(line, {k: (v,) for k, v in modify.items()}, 0))
     return lines.where(to_field.isin(list(targets))).select(
-        "file_name", "line_no", from_field.alias("from_field"), to_field.alias("to_field"),
+        *[c for c in lines.columns if c != "line"],
+        from_field.alias("from_field"),
+        to_field.alias("to_field"),
         F.concat_ws(" ", changes).alias("transforms"),
     )
 

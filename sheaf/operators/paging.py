@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sheaf.functions import jsonpath
+from sheaf.functions.lists import let
 from sheaf.functions.text import is_url
-from sheaf.functions.xmlpath import well_formed
+from sheaf.functions.variants import opened
+from sheaf.functions.xmlpath import find_values, well_formed
 
 BLOCK = 4096
 
@@ -22,6 +27,18 @@ def _steps(plan: DataFrame, n: Column) -> DataFrame:
     return blocks.withColumn("step", F.explode(F.sequence(start, stop))).drop("_n", "_block")
 
 
+def with_total(pages: DataFrame, path: str) -> DataFrame:
+    """Adds ``total``, the number of results a first JSON page states at ``path``."""
+    found = jsonpath.find_texts(F.try_parse_json("body"), path, F.col("body"))
+    return pages.withColumn("total", F.get(found, F.lit(0)).try_cast("bigint"))
+
+
+def with_max_results(pages: DataFrame, path: str, namespaces: Mapping[str, str] | None = None) -> DataFrame:
+    """Adds ``max_results``, the most results a service pages through, as an XML page states it."""
+    found = F.when(well_formed(F.col("body")), find_values(F.col("body"), path, namespaces))
+    return pages.withColumn("max_results", F.get(found, F.lit(0)).try_cast("bigint"))
+
+
 def plan_offsets(harvests: DataFrame, increment: int, param: str, skip_first: bool = False) -> DataFrame:
     """Pages of ``harvest_id, url, total``: the bare address, then offsets below the total.
 
@@ -48,11 +65,11 @@ def plan_starts(harvests: DataFrame, increment: int, start: int = 0) -> DataFram
 
 def plan_listed(payloads: DataFrame, list_path: str) -> DataFrame:
     """The page's own address first, then every address of its page list that is not null."""
-    pages = F.from_json(F.get_json_object("body", list_path), "array<struct<url:string>>")
+    pages = let(jsonpath.find_nodes(F.try_parse_json("body"), list_path), opened)
     first = payloads.select("harvest_id", F.lit(-1).alias("pos"), F.col("url").alias("page_url"))
     listed = payloads.select("harvest_id", F.posexplode(pages).alias("pos", "page"))
-    more = listed.select("harvest_id", "pos", F.col("page.url").alias("page_url")).where(F.col("page_url").isNotNull())
-    return first.unionByName(more)
+    more = listed.select("harvest_id", "pos", F.try_variant_get("page", "$.url", "string").alias("page_url"))
+    return first.unionByName(more.where(F.col("page_url").isNotNull()))
 
 
 def listing_entries(pages: DataFrame, path: str) -> DataFrame:
@@ -158,13 +175,15 @@ def limit_records(records: DataFrame, limit: int, order: list[str]) -> DataFrame
 def limit_by_page(records: DataFrame, limit: int) -> DataFrame:
     """First ``limit`` records of every harvest by ``(seq, pos)``.
 
-    Page counts decide which pages are inside; only the page on the boundary is ranked.
+    Page counts name the page on which the limit falls; only that page is ranked, to find
+    the last record inside. Every record is then compared with that one row of its harvest.
     """
     counts = records.groupBy("harvest_id", "seq").agg(F.count("*").alias("_n"))
-    kept = running_before(counts, "_n").where(F.col("before") < limit)
-    marked = records.join(kept, ["harvest_id", "seq"])
-    room = F.lit(limit) - F.col("before")
-    whole = marked.where(F.col("_n") <= room)
+    pages = running_before(counts, "_n")
+    falls_here = (F.col("before") < limit) & (F.col("before") + F.col("_n") >= limit)
+    edge = pages.where(falls_here).select("harvest_id", "seq", (F.lit(limit) - F.col("before")).alias("_room"))
     rank = F.row_number().over(Window.partitionBy("harvest_id", "seq").orderBy("pos"))
-    cut = marked.where(F.col("_n") > room).withColumn("_rank", rank).where(F.col("_rank") <= room).drop("_rank")
-    return whole.unionByName(cut).drop("_n", "before")
+    on_edge = records.select("harvest_id", "seq", "pos").join(edge, ["harvest_id", "seq"]).withColumn("_rank", rank)
+    last = on_edge.where(F.col("_rank") == F.col("_room")).select("harvest_id", F.struct("seq", "pos").alias("_last"))
+    inside = F.col("_last").isNull() | (F.struct("seq", "pos") <= F.col("_last"))
+    return records.join(last, "harvest_id", "left").where(inside).drop("_last")

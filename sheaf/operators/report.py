@@ -140,6 +140,36 @@ def rights_report(counts: DataFrame) -> DataFrame:
     )
 
 
+def report_document(counts: DataFrame, checked: DataFrame, quality: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """Every section of the report in one table: figures in ``value``, sentences in ``text``.
+
+    ``checked`` are links with their verdict, ``quality`` the thumbnail figures, ``crosswalk``
+    the mapping rows with their ``collection_id``.
+    """
+    columns = ("collection_id", "section", "field", "key", "measure", "value", "text")
+    no_text, no_value = F.lit(None).cast("string"), F.lit(None).cast("double")
+    figures = report_sections(counts).withColumn("text", no_text)
+    verdicts = checked.groupBy("collection_id", F.col("kind").alias("field")).agg(
+        F.sum(F.when(F.col("resolved"), 0).otherwise(1)).cast("double").alias("value")
+    )
+    verdicts = verdicts.select(
+        "collection_id", F.lit("links").alias("section"), "field", F.lit("").alias("key"),
+        F.lit("unresolvable").alias("measure"), "value", no_text.alias("text"),
+    )
+    images = quality.select(
+        "collection_id", F.lit("thumbnail quality").alias("section"), F.lit("").alias("field"), F.lit("").alias("key"),
+        F.lit("good").alias("measure"), F.col("good").cast("double").alias("value"), F.col("message").alias("text"),
+    )
+    mapped = crosswalk.select(
+        "collection_id", F.lit("crosswalk").alias("section"), F.col("to_field").alias("field"), F.col("from_field").alias("key"),
+        F.lit("transforms").alias("measure"), no_value.alias("value"), F.col("transforms").alias("text"),
+    )
+    out = figures.select(*columns)
+    for part in (verdicts, images, mapped):
+        out = out.unionByName(part.select(*columns))
+    return out
+
+
 def report_sections(counts: DataFrame) -> DataFrame:
     """The whole report as one long table keyed by ``section``."""
     def long(section: str, df: DataFrame, measures: list[str], field: Column, key: Column) -> DataFrame:

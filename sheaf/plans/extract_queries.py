@@ -680,7 +680,6 @@ def marc_flatten_append(spark, sf_dir):
 def marc_by_index(spark, sf_dir):
     path = shared_dir(spark, "index")
     index = load(spark, sf_dir, "part", spread=True).where(F.col("p_type").isin("SMALL", "PROMO"))
-    ids = F.concat(F.lit(f"{SITE}/record/"), F.col("p_partkey").cast("string"))
-    index.select(F.col("p_name").alias("title"), ids.alias("ht_bib_key")).write.options(header=True, sep="\t").csv(path)
-    records = marc_records(marc_payloads(spark, sf_dir), scan_index(spark, path, "ht_bib_key"))
+    index.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("ht_bib_key")).write.options(header=True, sep="\t").csv(path)
+    records = marc_records(marc_payloads(spark, sf_dir), scan_index(spark, path, "ht_bib_key", SITE + "/record/{id}"))
     return wide(records, ["001"], ["seq"])

@@ -13,10 +13,17 @@ URL_SQL = URL_PATTERN.replace("'", "''")
 
 
 def user_totals(spark, sf_dir):
+    """First pages, which state how many events the user has."""
     totals = load(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("harvest_id"))
-    return totals.agg(F.count("*").alias("total")).withColumn(
-        "url", F.concat(F.lit("https://catalogue.example.org/list?user="), "harvest_id")
-    )
+    n = F.count("*").cast("string")
+    return totals.agg(
+        F.concat(F.lit('{"pagination":{"of":'), n, F.lit("}}")).alias("json_body"),
+        F.concat(F.lit('<p:results xmlns:p="u"><p:maxPageableSet>'), n, F.lit("</p:maxPageableSet></p:results>")).alias("xml_body"),
+    ).withColumn("url", F.concat(F.lit("https://catalogue.example.org/list?user="), "harvest_id"))
+
+
+def json_totals(spark, sf_dir):
+    return paging.with_total(user_totals(spark, sf_dir).withColumnRenamed("json_body", "body"), "pagination.of")
 
 
 _TOTALS_SQL = """
@@ -36,7 +43,7 @@ _TOTALS_SQL = """
     """,
 )
 def page_plan_offset(spark, sf_dir):
-    return paging.plan_offsets(user_totals(spark, sf_dir), 25, "offset")
+    return paging.plan_offsets(json_totals(spark, sf_dir), 25, "offset")
 
 
 @query(
@@ -49,7 +56,7 @@ def page_plan_offset(spark, sf_dir):
     """,
 )
 def page_plan_skip_first(spark, sf_dir):
-    return paging.plan_offsets(user_totals(spark, sf_dir), 1, "sp", skip_first=True)
+    return paging.plan_offsets(json_totals(spark, sf_dir), 1, "sp", skip_first=True)
 
 
 @query(
@@ -60,7 +67,8 @@ def page_plan_skip_first(spark, sf_dir):
     """,
 )
 def page_plan_max(spark, sf_dir):
-    return paging.plan_starts(user_totals(spark, sf_dir).withColumnRenamed("total", "max_results"), 20)
+    pages = user_totals(spark, sf_dir).withColumnRenamed("xml_body", "body")
+    return paging.plan_starts(paging.with_max_results(pages, "//p:maxPageableSet", {"p": "u"}), 20)
 
 
 @query(
@@ -80,7 +88,7 @@ def page_plan_listed(spark, sf_dir):
     entries = F.transform(links, lambda h: F.struct(F.when(h != "/the", h).alias("url")))
     body = F.to_json(F.struct(F.struct(entries.alias("page_list")).alias("pagination")))
     payloads = load(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("harvest_id"), "url", body.alias("body"))
-    return paging.plan_listed(payloads, "$.pagination.page_list")
+    return paging.plan_listed(payloads, "pagination.page_list")
 
 
 @query(

@@ -254,6 +254,42 @@ def thumbnail_quality(spark, sf_dir):
     return links.thumbnail_quality(sizes)
 
 
+@query(
+    "report_document",
+    f"""
+    WITH {_R}, {_LANGS}, res AS ({_RESOURCES}), rig AS ({_RIGHTS}),
+    bad AS (
+        SELECT collection_id, 'resource' AS field, count(*) FILTER (WHERE n_chars NOT BETWEEN 800 AND 5000) AS n FROM r GROUP BY 1
+        UNION ALL SELECT collection_id, 'thumbnail', count(*) FILTER (WHERE quality <> 1 OR n_chars < 800)
+        FROM r WHERE quality IS NOT NULL GROUP BY 1)
+    SELECT section, count(*) AS n, count(DISTINCT collection_id) AS collections, coalesce(sum(value), 0)::BIGINT AS total FROM (
+        SELECT collection_id, 'coverage' AS section, n::DOUBLE AS value FROM k WHERE key = 'fields_covered'
+        UNION ALL SELECT collection_id, 'coverage', (n * 100 // records) FROM k JOIN t USING (collection_id) WHERE key = 'fields_covered'
+        UNION ALL SELECT collection_id, 'averages', 0 FROM k WHERE key IN ('values', 'wr_id')
+        UNION ALL SELECT collection_id, 'languages', unnest([n, 0]) FROM k3
+        UNION ALL SELECT collection_id, 'resources', unnest([records, thumbnails, resources, manifests]) FROM res
+        UNION ALL SELECT collection_id, 'rights', unnest([object_rights, web_resource_rights, aggregation_rights]) FROM rig
+        UNION ALL SELECT collection_id, 'links', n FROM bad
+        UNION ALL SELECT p_brand, 'thumbnail quality', count(*) FILTER (WHERE greatest(p_size * 12, p_retailprice / 4) >= 400)
+        FROM part GROUP BY 1
+        UNION ALL SELECT p_type, 'crosswalk', 0 FROM part WHERE p_size < 35)
+    GROUP BY section
+    """,
+)
+def report_document(spark, sf_dir):
+    counts, checked = counted(spark, sf_dir), checked_links(spark, sf_dir)
+    # the folder of a mapping text names its collection
+    rows = mapping.crosswalk(mapping_lines(spark, sf_dir)).withColumn(
+        "collection_id", F.regexp_extract("file_path", "p_type=([^/]+)", 1)
+    )
+    document = report.report_document(counts, checked, thumbnail_quality(spark, sf_dir), rows)
+    whole = F.col("measure").isin("average") | F.col("value").isNull()
+    return document.groupBy("section").agg(
+        F.count("*").alias("n"), F.countDistinct("collection_id").alias("collections"),
+        F.sum(F.when(whole, 0).otherwise(F.col("value"))).cast("bigint").alias("total"),
+    )
+
+
 # --- required fields ------------------------------------------------------
 
 _REQUIRED = ("agg_preview", "agg_is_shown_at", "cho_dc_rights", "cho_title")

@@ -18,9 +18,12 @@ MARC_XML = (
 )
 
 
-def scan_index(spark: SparkSession, path: str, id_column: str) -> DataFrame:
-    """Record ids of a tab separated collection index, each with its address order."""
-    return scan_csv(spark, path, sep="\t").select(F.col(f"`{id_column}`").alias("record_id"))
+def scan_index(spark: SparkSession, path: str, id_column: str, template: str = "{id}") -> DataFrame:
+    """Record ids of a tab separated collection index, and the address the template makes of each."""
+    before, _, after = template.partition("{id}")
+    record_id = F.col(f"`{id_column}`")
+    address = F.concat(F.lit(before), record_id, F.lit(after))
+    return scan_csv(spark, path, sep="\t").select(record_id.alias("record_id"), address.alias("url"))
 
 
 def marc_pairs(record: Column, keep: str = "last") -> Column:
@@ -46,10 +49,10 @@ def marc_pairs(record: Column, keep: str = "last") -> Column:
 
 
 def marc_records(payloads: DataFrame, index: DataFrame | None = None, keep: str = "last") -> DataFrame:
-    """First MARC record of each landed document as ``leader`` and ``fields``; ``index`` keeps its ids only."""
+    """First MARC record of each landed document as ``leader`` and ``fields``; ``index`` keeps its addresses only."""
     docs = ok_pages(payloads)
     if index is not None:
-        docs = docs.join(index.select("record_id").distinct(), docs["url"] == F.col("record_id"), "left_semi")
+        docs = docs.join(index.select("url"), "url", "left_semi")
     first = F.regexp_extract("body", element_pattern("record"), 0)
     parsed = docs.select(
         "harvest_id", "seq", "url", F.from_xml(first, MARC_XML, {"ignoreNamespace": "true"}).alias("record")

@@ -24,8 +24,10 @@ def members(line: Column) -> Column:
 
 
 def scan_mapping_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file_name, line_no, line`` of mapping texts. A text is one small file, so it is read whole."""
+    """``file_path, file_name, line_no, line`` of mapping texts. A text is one small file, so it is read whole."""
     texts = spark.read.text(path, wholetext=True)
     return texts.select(
-        F.col("_metadata.file_name").alias("file_name"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"),
     )

@@ -45,7 +45,7 @@ def test_starts_include_the_maximum(spark):
 
 def test_listed_pages_drop_null(payloads):
     pages = payloads('{"pagination":{"page_list":[{"url":null,"n":1},{"url":"https://x.example.org/2"},{"n":3}]}}')
-    out = paging.plan_listed(pages, "$.pagination.page_list").orderBy("pos").collect()
+    out = paging.plan_listed(pages, "pagination.page_list").orderBy("pos").collect()
     assert [r.page_url for r in out] == ["https://x.example.org/0", "https://x.example.org/2"]
 
 

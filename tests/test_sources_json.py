@@ -86,9 +86,10 @@ def test_json_record_pairs(payloads):
             {"label": "None", "value": None},
         ],
     }
-    s = spec("custom_json", "items", id="id")
-    out = fields_of(json_records(payloads(json.dumps({"items": [record]})), s, with_pairs=True))
-    assert out == [{"id": ["7"], "call-number-old": ["A/1"], "title": ["one", "p", "q"]}]
+    s = spec("custom_json", "items", id="id", metadata="metadata[*]")
+    (out,) = fields_of(json_records(payloads(json.dumps({"items": [record]})), s))
+    assert len(out.pop("metadata")) == 5
+    assert out == {"id": ["7"], "call-number-old": ["A/1"], "title": ["one", "p", "q"]}
 
 
 def test_listing_versions(payloads):

@@ -158,11 +158,12 @@ def test_marc(payloads, spark):
     assert row.fields == {"001": ["000123"], "008": ["0080"], "245_a": ["T1", "T2"], "974_u": ["v2"], "974_z": ["only first"]}
     joined = marc.marc_records(pages, keep="append").first().fields
     assert joined["974_u"] == ["v1", "v2"]
-    index = spark.createDataFrame([("123",), ("123",)], "record_id string")
+    index = spark.createDataFrame([("123",), ("123",)], "url string")
     assert [r.url for r in marc.marc_records(pages, index).collect()] == ["123"]
 
 
 def test_marc_index(spark, tmp_path):
     (tmp_path / "c.txt").write_text("title\tht_bib_key\nA\t5245329\nB\t2583088\n")
-    assert sorted(r.record_id for r in marc.scan_index(spark, str(tmp_path / "c.txt"), "ht_bib_key").collect()) == ["2583088", "5245329"]
+    index = marc.scan_index(spark, str(tmp_path / "c.txt"), "ht_bib_key", "https://x.example.org/{id}.xml").orderBy("record_id")
+    assert [tuple(r) for r in index.collect()] == [(i, f"https://x.example.org/{i}.xml") for i in ("2583088", "5245329")]
     assert scan_csv(spark, str(tmp_path / "c.txt"), sep="\t").count() == 2
