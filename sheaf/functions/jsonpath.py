@@ -10,14 +10,19 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sheaf.functions.variants import as_list, as_map, texts
 
+# executors need not have this package: what a UDF uses travels with it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _STEP = re.compile(
     r"""(?P<deep>\.\.)|\[(?P<index>\d+)\]|\[(?P<all>\*)\]|\['(?P<quoted>[^']+)'\]|\["(?P<quoted2>[^"]+)"\]"""
     r"""|\.?(?P<star>\*)|\.?'(?P<bare>[^']+)'|\.?(?P<name>[^.\[\]'"*$]+)"""

@@ -69,9 +69,22 @@ def well_formed(body: Column) -> Column:
     return F.coalesce(body.isNotNull() & parsed["_corrupt_record"].isNull(), F.lit(False))
 
 
+def needed_name(path: str) -> str | None:
+    """Name in the last step, which any document with a match must contain."""
+    last = re.sub(r"\[[^\]]*\]", "", path).rstrip("/").rsplit("/", 1)[-1].rsplit(":", 1)[-1].lstrip("@")
+    return last if re.fullmatch(r"[A-Za-z_][\w.-]*", last) else None
+
+
 def find_values(body: Column, path: str, namespaces: Mapping[str, str] | None = None) -> Column:
-    """Text of all matches in document order. The body must be well formed."""
-    return F.coalesce(F.xpath(body, F.lit(value_path(path, namespaces))), empty_strings())
+    """Text of all matches in document order. The body must be well formed.
+
+    Each call parses the record again, so a record without the wanted name is not parsed.
+    """
+    found = F.xpath(body, F.lit(value_path(path, namespaces)))
+    name = needed_name(path)
+    if name:
+        found = F.when(F.contains(body, F.lit(name)), found)
+    return F.coalesce(found, empty_strings())
 
 
 def element_pattern(selector: str) -> str:

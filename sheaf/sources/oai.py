@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from xml.parsers import expat
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from sheaf.functions.lists import PAIRS, merge_pairs, override, strip_all
 from sheaf.sources.payloads import ok_pages, xml_fields
 from sheaf.spec import CollectionSpec
 
+# executors need not have this package: what a UDF uses travels with it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The root element of the metadata per prefix.
 METADATA_ROOTS = {
     "oai_dc": "dc",
