@@ -10,14 +10,16 @@ from sheaf.sources.manifests import listed_members
 from sheaf.sources.payloads import ok_pages
 
 
-def join_on_id(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """Inner join; other columns both sides have get ``_x`` and ``_y``."""
-    both = (set(left.columns) & set(right.columns)) - {key}
+def join_on_id(left: DataFrame, right: DataFrame, key: str = "id", within: tuple[str, ...] = ()) -> DataFrame:
+    """Inner join on the id (and ``within`` columns, such as the collection); other columns
+    both sides have get ``_x`` and ``_y``."""
+    keys = [*within, key]
+    both = (set(left.columns) & set(right.columns)) - set(keys)
 
     def suffixed(df: DataFrame, suffix: str) -> DataFrame:
         return df.select([F.col(f"`{c}`").alias(c + suffix if c in both else c) for c in df.columns])
 
-    return suffixed(left, "_x").join(suffixed(right, "_y"), key)
+    return suffixed(left, "_x").join(suffixed(right, "_y"), keys)
 
 
 def listing_thumbnails(listings: DataFrame, payloads: DataFrame) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.lists import first_of
+from sheaf.session import settle
 
 
 def merge_lists(
@@ -16,8 +20,9 @@ def merge_lists(
     list_columns: list[str],
     max_rows: int = 10_000,
     page_rows: int = 1,
+    within: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per first locator value: the first id, and every list chained in row order.
+    """One row per first locator value (and ``within`` columns, such as the collection): the first id, and every list chained in row order.
 
     A group of more than ``max_rows`` source rows is not pulled into one task: it comes out
     as consecutive parts, numbered by ``part`` and cut by the leading order column, of which
@@ -25,19 +30,22 @@ def merge_lists(
     lists. Usual groups have the one part 0.
     """
     keyed = df.withColumn("locator", first_of(F.col(f"`{locator}`")))
-    large = keyed.groupBy("locator").agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
+    keys = [*within, "locator"]
+    sizes = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
+    large = settle(sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], "_n"))
     lead = F.floor(F.col(order[0]) / F.lit(max(1, max_rows // page_rows))).cast("bigint")
-    marked = keyed.join(large.withColumn("_key", F.col("locator")).drop("locator"), keyed["locator"].eqNullSafe(F.col("_key")), "left")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    marked = keyed.join(large, same, "left").drop(*[f"_{k}" for k in keys])
     parted = marked.withColumn("part", F.when(F.col("_n").isNotNull(), lead).otherwise(F.lit(0).cast("bigint")))
-    # both keys by name: else the join's partitioning by locator alone would be kept, and the
+    # all keys by name: else the join's partitioning by locator alone would be kept, and the
     # parts of a large group would meet in one task again
-    parted = parted.repartition("locator", "part")
+    parted = parted.repartition(*keys, "part")
     at = F.struct(*order)
     lists = F.array_sort(F.collect_list(F.struct(at.alias("at"), *[F.col(f"`{c}`") for c in list_columns])))
-    grouped = parted.groupBy("locator", "part").agg(F.min_by(id_column, at).alias(id_column), lists.alias("_rows"))
+    grouped = parted.groupBy(*keys, "part").agg(F.min_by(id_column, at).alias(id_column), lists.alias("_rows"))
 
     def chained(column: str):
         rows = F.filter("_rows", lambda r: r[column].isNotNull())
         return F.flatten(F.transform(rows, lambda r: r[column])).alias(column)
 
-    return grouped.select("locator", "part", id_column, *[chained(c) for c in list_columns])
+    return grouped.select(*keys, "part", id_column, *[chained(c) for c in list_columns])

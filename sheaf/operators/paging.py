@@ -13,6 +13,7 @@ from sheaf.functions.lists import let
 from sheaf.functions.text import is_url
 from sheaf.functions.variants import opened
 from sheaf.functions.xmlpath import find_values, well_formed
+from sheaf.session import settle
 
 BLOCK = 4096
 
@@ -80,12 +81,12 @@ def listing_entries(pages: DataFrame, path: str) -> DataFrame:
 def until_first(pages: DataFrame, stop: Column, keep_stop: bool) -> DataFrame:
     """Pages of each harvest up to the first one where ``stop`` holds.
 
-    The first stop per harvest is a partial minimum, so no harvest is sorted or gathered;
-    the join back only brings one number per harvest.
+    The first stop per harvest is a partial minimum, so no harvest is sorted or gathered. It
+    is settled first: one number per harvest then meets the pages without moving their bodies.
     """
-    ends = pages.groupBy("harvest_id").agg(F.min(F.when(stop, F.col("seq"))).alias("_end"))
+    ends = pages.where(stop).groupBy("harvest_id").agg(F.min("seq").alias("_end"))
     inside = (F.col("seq") <= F.col("_end")) if keep_stop else (F.col("seq") < F.col("_end"))
-    return pages.join(ends, "harvest_id").where(F.col("_end").isNull() | inside).drop("_end")
+    return pages.join(settle(ends), "harvest_id", "left").where(F.col("_end").isNull() | inside).drop("_end")
 
 
 def until_short(pages: DataFrame, limit: int, size: Column) -> DataFrame:
@@ -168,7 +169,8 @@ def running_before(pages: DataFrame, value: str, key: str = "harvest_id", seq: s
 
 
 def limit_records(records: DataFrame, limit: int, order: list[str]) -> DataFrame:
-    """First ``limit`` records of one harvest; zero means all."""
+    """First ``limit`` records of one harvest; zero means all. The records of a small limit
+    fit one task; ``limit_by_page`` serves a large one."""
     return records.orderBy(*order).limit(limit) if limit else records
 
 
@@ -176,14 +178,15 @@ def limit_by_page(records: DataFrame, limit: int) -> DataFrame:
     """First ``limit`` records of every harvest by ``(seq, pos)``.
 
     Page counts name the page on which the limit falls; only that page is ranked, to find
-    the last record inside. Every record is then compared with that one row of its harvest.
+    the last record inside. Every record is then compared with that one settled row of its
+    harvest, where it lies.
     """
     counts = records.groupBy("harvest_id", "seq").agg(F.count("*").alias("_n"))
     pages = running_before(counts, "_n")
     falls_here = (F.col("before") < limit) & (F.col("before") + F.col("_n") >= limit)
-    edge = pages.where(falls_here).select("harvest_id", "seq", (F.lit(limit) - F.col("before")).alias("_room"))
+    edge = settle(pages.where(falls_here).select("harvest_id", "seq", (F.lit(limit) - F.col("before")).alias("_room")))
     rank = F.row_number().over(Window.partitionBy("harvest_id", "seq").orderBy("pos"))
     on_edge = records.select("harvest_id", "seq", "pos").join(edge, ["harvest_id", "seq"]).withColumn("_rank", rank)
     last = on_edge.where(F.col("_rank") == F.col("_room")).select("harvest_id", F.struct("seq", "pos").alias("_last"))
     inside = F.col("_last").isNull() | (F.struct("seq", "pos") <= F.col("_last"))
-    return records.join(last, "harvest_id", "left").where(inside).drop("_last")
+    return records.join(settle(last), "harvest_id", "left").where(inside).drop("_last")

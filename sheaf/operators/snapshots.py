@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sheaf.session import settle
+
 
 def row_hash(df: DataFrame, columns: list[str]) -> Column:
     """60 bits of the SHA-256 of the row's text; null and empty text differ."""
@@ -22,9 +24,15 @@ def digests(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
 
 
 def differing_rows(current: DataFrame, previous: DataFrame) -> DataFrame:
-    """Rows of one table that the other lacks, as multisets, with their side."""
-    added = current.exceptAll(previous).withColumn("side", F.lit("current"))
-    return added.unionByName(previous.exceptAll(current).withColumn("side", F.lit("previous")))
+    """Rows one table holds more often than the other, with that side and the number of extra copies.
+
+    One signed count over both tables, summed before the shuffle; empty when they are equal.
+    Add the order columns when order matters.
+    """
+    signed = current.withColumn("_sign", F.lit(1)).unionByName(previous.withColumn("_sign", F.lit(-1)))
+    net = signed.groupBy(*current.columns).agg(F.sum("_sign").alias("_net")).where(F.col("_net") != 0)
+    side = F.when(F.col("_net") > 0, F.lit("current")).otherwise(F.lit("previous"))
+    return net.select(*current.columns, side.alias("side"), F.abs("_net").alias("copies"))
 
 
 def decide_load(current: DataFrame, previous: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -38,7 +46,7 @@ def decide_load(current: DataFrame, previous: DataFrame, key: str, columns: list
 
 def changed_only(current: DataFrame, decisions: DataFrame, key: str) -> DataFrame:
     """Records of the collections to load."""
-    return current.join(decisions.where(F.col("decision") == "load").select(key), key, "left_semi")
+    return current.join(settle(decisions.where(F.col("decision") == "load").select(key)), key, "left_semi")
 
 
 def archive_decisions(snapshots: DataFrame, key: list[str], ts: str = "snapshot_ts") -> DataFrame:
@@ -61,5 +69,5 @@ def newest(snapshots: DataFrame, key: list[str], ts: str = "snapshot_ts") -> Dat
 
 def archive(records: DataFrame, decisions: DataFrame, key: list[str], path: str, ts: str = "snapshot_ts") -> None:
     """Append the rows of the snapshots to keep, one folder per stamp."""
-    keep = decisions.where(F.col("decision") == "archive").select(*key, ts)
+    keep = settle(decisions.where(F.col("decision") == "archive").select(*key, ts))
     records.join(keep, [*key, ts], "left_semi").write.mode("append").partitionBy(ts).parquet(path)

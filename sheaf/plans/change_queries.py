@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sheaf.operators import reconcile, snapshots
 from sheaf.operators.hooks import run_hook
 from sheaf.plans.catalogue import load, query
+from sheaf.plans.extract_queries import order_pages
 from sheaf.plans.harvest import finish
 from sheaf.session import shared_dir
 from sheaf.spec import CollectionSpec, FieldFilter, FieldSpec
@@ -36,8 +37,8 @@ _BEFORE = """
     "snapshot_differences",
     f"""
     WITH {_BEFORE}
-    SELECT *, 'current' AS side FROM (SELECT * FROM now EXCEPT ALL SELECT * FROM before)
-    UNION ALL SELECT *, 'previous' FROM (SELECT * FROM before EXCEPT ALL SELECT * FROM now)
+    SELECT *, 'current' AS side, count(*) AS copies FROM (SELECT * FROM now EXCEPT ALL SELECT * FROM before) GROUP BY ALL
+    UNION ALL SELECT *, 'previous', count(*) FROM (SELECT * FROM before EXCEPT ALL SELECT * FROM now) GROUP BY ALL
     """,
 )
 def snapshot_differences(spark, sf_dir):
@@ -218,6 +219,26 @@ def stream_upsert(spark, sf_dir):
     return incremental.current_records(spark, f"{base}/log", ["user_id"])
 
 
+@query(
+    "stream_harvest",
+    """
+    WITH p AS (SELECT o_orderkey // 50 AS seq, max(o_totalprice) > 499000 AS failed FROM orders GROUP BY 1)
+    SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR AS first_code FROM orders JOIN p ON o_orderkey // 50 = seq WHERE NOT failed
+    """,
+)
+def stream_harvest(spark, sf_dir):
+    base = shared_dir(spark, "landed")
+    landed = order_pages(spark, sf_dir)
+    landed.write.parquet(f"{base}/payloads")
+    spec = CollectionSpec(
+        "orders", "custom_json", {"id": FieldSpec("id"), "first_code": FieldSpec("parts[0].codes[1]")}, "content.results"
+    )
+    source = spark.readStream.schema(landed.schema).parquet(f"{base}/payloads")
+    incremental.stream_harvest(source, spec, ["id", "first_code"], f"{base}/log", f"{base}/checkpoint")
+    current = incremental.current_records(spark, f"{base}/log", ["harvest_id", "id"])
+    return current.select("id", F.get("first_code", F.lit(0)).alias("first_code"))
+
+
 @query("stream_first_seen", "SELECT count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS types FROM events")
 def stream_first_seen(spark, sf_dir):
     base = shared_dir(spark, "seen")

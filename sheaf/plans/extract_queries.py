@@ -16,7 +16,7 @@ from sheaf.sources.json_pages import json_records, record_pairs
 from sheaf.sources.manifests import manifest_records, manifest_records_v3, manifest_urls, tagged_pairs, unknown_listings
 from sheaf.sources.marc import marc_records, scan_index
 from sheaf.sources.oai import get_record, live_records, oai_records
-from sheaf.sources.payloads import failed_pages
+from sheaf.sources.payloads import failed_pages, unreadable_json, unreadable_xml
 from sheaf.sources.registry import read_records
 from sheaf.sources.xml_pages import extract, scan_xml_files, xml_page_records, xml_records
 from sheaf.spec import CollectionSpec, FieldSpec
@@ -120,6 +120,22 @@ def failed_page_audit(spark, sf_dir):
     return failed_pages(order_pages(spark, sf_dir)).select("seq", "status")
 
 
+@query(
+    "unreadable_pages",
+    """
+    SELECT o_orderkey AS seq, 'json' AS kind FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'
+    UNION ALL SELECT o_orderkey, 'xml' FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority <> '5-LOW'
+    """,
+)
+def unreadable_pages(spark, sf_dir):
+    state, orders = F.col("o_orderstatus"), load(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderpriority") == "5-LOW", 500).otherwise(200)
+    json_pages = single(orders, "o_orderkey", F.when(state == "F", F.lit('{"a":')).otherwise(F.lit('{"a":[]}')), status)
+    xml_pages = single(orders, "o_orderkey", F.when(state == "P", F.lit("<a><b>")).otherwise(F.lit("<a/>")), status)
+    broken = unreadable_json(json_pages).withColumn("kind", F.lit("json"))
+    return broken.unionByName(unreadable_xml(xml_pages).withColumn("kind", F.lit("xml"))).select("seq", "kind")
+
+
 @query(
     "json_descend",
     """

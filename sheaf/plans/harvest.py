@@ -1,36 +1,41 @@
-"""One harvest from landed payloads to a checked table, as a single lazy plan."""
+"""One harvest from landed payloads to a checked table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+from typing import Any
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.operators.dedupe import first_per_key
 from sheaf.operators.filters import apply_filters
+from sheaf.operators.hooks import run_hook
+from sheaf.operators.paging import limit_by_page
 from sheaf.operators.records import scalar_id, wide
-from sheaf.operators.report import field_counts, ignored_fields
 from sheaf.sources.registry import read_records
 from sheaf.spec import CollectionSpec
 
-ORDER: list[str | Column] = ["seq", "pos"]
-
+ORDER = ("seq", "pos")
+KEYS = ("harvest_id", "seq", "pos")
 
-def harvest_table(payloads: DataFrame, spec: CollectionSpec, columns: list[str]) -> DataFrame:
-    """Records as list columns: read, first per id in harvest order, then filtered.
 
-    The filters come after de-duplication on purpose: the first record of an id decides.
-    """
+def harvest_table(
+    payloads: DataFrame, spec: CollectionSpec, columns: list[str], hook_arguments: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """Records as list columns: read, cut to the record limit, first per id in harvest order,
+    filtered, and passed through the spec's own step."""
     records = read_records(payloads, spec)
-    table = wide(records, columns, ["harvest_id", *[c for c in ("seq", "pos") if c in records.columns]], lists=True)
-    return finish(table, spec)
+    if spec.record_limit:
+        records = limit_by_page(records, spec.record_limit)
+    table = wide(records, columns, [c for c in KEYS if c in records.columns], lists=True)
+    return run_hook(finish(table, spec), spec, hook_arguments)
 
 
 def finish(table: DataFrame, spec: CollectionSpec) -> DataFrame:
+    """First record per harvest and id, then the filters. They come after de-duplication on
+    purpose: the first record of an id decides."""
     table = scalar_id(table, spec.id_column)
-    order = [c for c in ORDER if c in table.columns]
-    return apply_filters(first_per_key(table, [F.col(f"`{spec.id_column}`")], order), spec.filters)
-
-
-def mapped_report(lines: DataFrame, project_prefix: str | None = None) -> DataFrame:
-    """Counter table of mapped records, the base of every report section."""
-    return field_counts(lines, ignored_fields(project_prefix))
+    keys = [F.col("harvest_id")] if "harvest_id" in table.columns else []
+    first = first_per_key(table, [*keys, F.col(f"`{spec.id_column}`")], [c for c in ORDER if c in table.columns])
+    return apply_filters(first, spec.filters)

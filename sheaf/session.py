@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks partition counts, join sides and skew splits from the
 # sizes it measures, so none of them is fixed here for a cluster. Extraction is heavy on
@@ -50,3 +50,15 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.mkdtemp(prefix="sheaf-")
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """A side result, written to the shared folder and read back.
+
+    It is computed once, survives the loss of an executor, and has a known size: a small one
+    is broadcast by Spark's own size test, so the large side of the next join stays where it
+    lies; one that is not small is joined by shuffle as usual.
+    """
+    path = shared_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

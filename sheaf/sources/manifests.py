@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.lists import PAIRS, empty_strings, kept, merge_pairs, override, strip_all
+from sheaf.functions.lists import PAIRS, empty_strings, kept, let, merge_pairs, override, strip_all
 from sheaf.functions.text import normalise_label
 from sheaf.functions.variants import flatten_nested, listify, text_of
 from sheaf.sources.payloads import json_fields, ok_pages
@@ -32,7 +32,7 @@ def manifest_urls(listings: DataFrame, explicit: list[str] | None = None, strict
     if strict:
         listings = listings.where(
             F.when(
-                (F.col("status") == 200) & ~F.coalesce(known_listing(F.col("body")), F.lit(False)),
+                (F.col("status") == 200) & ~known_listing(F.col("body")),
                 F.raise_error(F.concat(F.lit("unknown listing form: "), "url")).cast("boolean"),
             ).otherwise(F.lit(True))
         )
@@ -52,16 +52,16 @@ def manifest_urls(listings: DataFrame, explicit: list[str] | None = None, strict
 
 
 def known_listing(body: Column) -> Column:
-    doc = F.try_parse_json(body)
-    lists = ("manifests", "items")
-    return F.coalesce(*[F.try_variant_get(doc, f"$.{name}", "array<variant>").isNotNull() for name in lists]) | (
-        F.try_variant_get(doc, "$.items", "array<variant>").isNotNull()
-    )
+    def has_list(doc: Column) -> Column:
+        lists = [F.try_variant_get(doc, f"$.{name}", "array<variant>") for name in ("manifests", "items")]
+        return F.coalesce(*lists).isNotNull()
+
+    return F.coalesce(let(F.try_parse_json(body), has_list), F.lit(False))
 
 
 def unknown_listings(listings: DataFrame) -> DataFrame:
     """Audit of answered listings that hold neither form."""
-    return ok_pages(listings).where(~F.coalesce(known_listing(F.col("body")), F.lit(False))).select(
+    return ok_pages(listings).where(~known_listing(F.col("body"))).select(
         "harvest_id", "seq", "url"
     )
 

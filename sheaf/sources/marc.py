@@ -58,5 +58,5 @@ def marc_records(payloads: DataFrame, index: DataFrame | None = None, keep: str
         "harvest_id", "seq", "url", F.from_xml(first, MARC_XML, {"ignoreNamespace": "true"}).alias("record")
     )
     return parsed.select(
-        "harvest_id", "seq", "url", F.col("record.leader").alias("leader"), marc_pairs(F.col("record"), keep).alias("fields")
+        "harvest_id", "seq", F.lit(0).cast("bigint").alias("pos"), "url", F.col("record.leader").alias("leader"), marc_pairs(F.col("record"), keep).alias("fields")
     )

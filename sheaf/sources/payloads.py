@@ -27,6 +27,16 @@ def failed_pages(payloads: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_json(payloads: DataFrame) -> DataFrame:
+    """Audit of pages that answered 200 with something else than JSON."""
+    return ok_pages(payloads).where(F.try_parse_json("body").isNull()).select("harvest_id", "seq", "url")
+
+
+def unreadable_xml(payloads: DataFrame) -> DataFrame:
+    """Audit of pages that answered 200 with broken XML, or none."""
+    return ok_pages(payloads).where(~xmlpath.well_formed(F.col("body"))).select("harvest_id", "seq", "url")
+
+
 def json_fields(doc: Column, raw: Column, spec: CollectionSpec) -> Column:
     """Declared fields of one parsed body as a map; a field without a match is absent."""
     pairs = [

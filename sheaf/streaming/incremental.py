@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.operators.dedupe import first_per_key
+from sheaf.operators.records import scalar_id, wide
+from sheaf.sources.registry import read_records
 from sheaf.spec import CollectionSpec
 
 
@@ -32,7 +34,7 @@ def first_within_delay(stream: DataFrame, keys: list[str], event_time: str, dela
 
 
 def stream_upsert(
-    source: DataFrame, log_path: str, checkpoint: str, key: list[str], order: list[Column | str]
+    source: DataFrame, log_path: str, checkpoint: str, key: list[Column | str], order: list[Column | str]
 ) -> None:
     """Run all files that have landed and stop.
 
@@ -53,7 +55,16 @@ def stream_upsert(
     query.awaitTermination()
 
 
-def current_records(spark: SparkSession, log_path: str, key: list[str]) -> DataFrame:
+def stream_harvest(
+    payloads: DataFrame, spec: CollectionSpec, columns: list[str], log_path: str, checkpoint: str
+) -> None:
+    """Landed payloads to the change log: read as records and upserted by harvest and id."""
+    records = wide(read_records(payloads, spec), columns, ["harvest_id", "seq", "pos"], lists=True)
+    table = scalar_id(records, spec.id_column)
+    stream_upsert(table, log_path, checkpoint, ["harvest_id", F.col(f"`{spec.id_column}`")], ["seq", "pos"])
+
+
+def current_records(spark: SparkSession, log_path: str, key: list[Column | str]) -> DataFrame:
     """Newest version per key of the change log."""
     log = spark.read.parquet(log_path)
     return first_per_key(log, key, [F.col("batch").desc()]).drop("batch")

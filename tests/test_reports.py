@@ -167,7 +167,8 @@ def test_snapshots(spark):
     got = {r.c: r.decision for r in snapshots.decide_load(now, once, "c", ["k", "v"]).collect()}
     assert got == {"a": "load", "b": "skip"}
     assert snapshots.differing_rows(now, shuffled).count() == 0
-    assert sorted((r.side, r.k, r.v) for r in snapshots.differing_rows(now, once).collect()) == [("current", 1, "x"), ("previous", 2, "")]
+    got = sorted((r.side, r.k, r.v, r.copies) for r in snapshots.differing_rows(now, once).collect())
+    assert got == [("current", 1, "x", 1), ("previous", 2, "", 1)]
 
 
 def test_archive(spark, tmp_path):

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +167,25 @@ def test_whole_harvest(payloads):
     assert {(r.id, tuple(r.k)) for r in out.collect()} == {("1", ("x",)), ("3", ("x", "z"))}
 
 
+def test_harvests_do_not_share_ids(payloads):
+    body = '{"r":[{"id":"1","k":["x"]},{"id":"1","k":["y"]},{"id":"2","k":["z"]}]}'
+    both = payloads(body, harvest="a").unionByName(payloads(body, harvest="b"))
+    fields = {"id": FieldSpec("id"), "k": FieldSpec("k")}
+    out = harvest_table(both, CollectionSpec("c", "custom_json", fields, "r"), ["id", "k"])
+    assert {(r.harvest_id, r.id, tuple(r.k)) for r in out.collect()} == {(h, i, (k,)) for h in "ab" for i, k in (("1", "x"), ("2", "z"))}
+    limited = harvest_table(both, CollectionSpec("c", "custom_json", fields, "r", record_limit=2), ["id", "k"])
+    assert {(r.harvest_id, r.id) for r in limited.collect()} == {("a", "1"), ("b", "1")}
+
+
+def test_hook_runs_last(payloads):
+    pages = payloads('{"r":[{"id":"1","k":["x"],"t":["a"]},{"id":"2","k":["x"],"t":["b"]}]}')
+    fields = {"id": FieldSpec("id"), "k": FieldSpec("k"), "t": FieldSpec("t")}
+    spec = CollectionSpec("c", "custom_json", fields, "r", post_harvest="merge_records")
+    arguments = {"locator": "k", "id_column": "id", "order": ["seq", "pos"], "list_columns": ["t"], "within": ("harvest_id",)}
+    (row,) = harvest_table(pages, spec, ["id", "k", "t"], arguments).collect()
+    assert (row.harvest_id, row.locator, row.id, row.t) == ("h", "x", "1", ["a", "b"])
+
+
 def test_filter_comes_after_dedupe(spark):
     df = spark.createDataFrame([(0, 0, "a", "drop"), (1, 0, "a", "keep")], "seq int, pos int, id string, c string")
     spec = CollectionSpec("c", "custom_json", filters={"c": FieldFilter(exclude=("drop",))})
@@ -203,3 +226,30 @@ def test_body_is_parsed_once(spark, payloads):
 
 def test_truthiness_needs_no_shuffle(spark):
     assert "Exchange" not in plan(drop_empty(spark.range(3).select(F.col("id")), ["id"]))
+
+
+def test_page_bodies_do_not_move(payloads):
+    from sheaf.operators.paging import until_malformed
+
+    text = plan(until_malformed(payloads("<r/>", "x")))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_workers_need_no_package(tmp_path):
+    """Python code of a plan must run on executors that have only PySpark."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from pyspark.sql import functions as F\n"
+        "from sheaf.session import build_session\n"
+        "from sheaf.functions.jsonpath import find_texts\n"
+        "from sheaf.sources.oai import flatten_metadata\n"
+        "s = build_session('w', 'local[1]', 1)\n"
+        "d = s.createDataFrame([('{\"a\":[{\"b\":1}]}', '<dc><t>x</t></dc>')], 'j string, x string')\n"
+        "r = d.select(find_texts(F.try_parse_json('j'), 'a..b', F.col('j')).alias('v'), flatten_metadata('dc')('x').alias('p')).first()\n"
+        "print('RESULT', r.v, r.p[0].field)\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "RESULT ['1'] t" in done.stdout, done.stderr[-2000:]
