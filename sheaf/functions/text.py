@@ -81,7 +81,7 @@ def decode_entities(c: Column) -> Column:
     references = r"&(?!amp;|#38;|#x26;)(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
     found = F.array_distinct(F.regexp_extract_all(c, F.lit(references), F.lit(0)))
     text = F.aggregate(found, c, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
-    return F.regexp_replace(text, "&(?:amp|#38|#x26);", "&")
+    return F.when(F.contains(c, F.lit("&")), F.regexp_replace(text, "&(?:amp|#38|#x26);", "&")).otherwise(c)
 
 
 def markup_to_text(c: Column) -> Column:
@@ -89,7 +89,7 @@ def markup_to_text(c: Column) -> Column:
     text = F.regexp_replace(c, r"(?s)<!--.*?-->|<\?.*?>|<![A-Za-z][^>]*>", "")
     text = F.regexp_replace(text, rf"(?is)<({'|'.join(DROPPED_ELEMENTS)})\b[^>]*>.*?</\1\s*>", "")
     text = F.regexp_replace(text, r"</?[A-Za-z][^>]*>", "")
-    plain = F.get(F.transform(F.array(text), lambda t: F.when(F.contains(t, F.lit("&")), decode_entities(t)).otherwise(t)), F.lit(0))
+    plain = F.get(F.transform(F.array(text), decode_entities), F.lit(0))
     return F.when(c.rlike("[<&]"), plain).otherwise(c)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from sheaf.functions import jsonpath
 from sheaf.functions.lists import let
-from sheaf.functions.text import is_url
+from sheaf.functions.text import decode_entities, is_url
 from sheaf.functions.variants import opened
 from sheaf.functions.xmlpath import find_values, well_formed
 from sheaf.session import settle
@@ -146,7 +146,7 @@ def page_links(pages: DataFrame, text: str, base: str) -> DataFrame:
     """Targets of anchors whose whole text is ``text``, after the base address."""
     quoted = "".join(f"\\{ch}" if not ch.isalnum() and ord(ch) < 128 else ch for ch in text)
     pattern = rf"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(?-i){quoted}</a\s*>"""
-    links = F.regexp_extract_all("body", F.lit(pattern), F.lit(1))
+    links = F.transform(F.regexp_extract_all("body", F.lit(pattern), F.lit(1)), decode_entities)
     return pages.select("harvest_id", "url", F.posexplode(links).alias("pos", "href")).select(
         "harvest_id", "url", "pos", F.concat(F.lit(base), "href").alias("page_url")
     )

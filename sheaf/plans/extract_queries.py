@@ -538,7 +538,7 @@ def xml_file_table(spark, sf_dir):
 @query(
     "xml_linked_pages",
     """
-    SELECT c_custkey AS seq, c_custkey::VARCHAR AS id, 'https://catalogue.example.org/record/' || c_custkey AS harvest_url
+    SELECT c_custkey AS seq, c_custkey::VARCHAR AS id, 'https://catalogue.example.org/record/' || c_custkey AS address
     FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'FURNITURE')
     """,
 )
@@ -546,7 +546,7 @@ def xml_linked_pages(spark, sf_dir):
     body = F.concat(F.lit('<?xml version="1.0"?>\n'), F.when(F.col("c_mktsegment") == "FURNITURE", F.lit("<item><guid>")).otherwise(customer_item()))
     status = F.when(F.col("c_mktsegment") == "BUILDING", 404).otherwise(200)
     pages = single(load(spark, sf_dir, "customer"), "c_custkey", body, status)
-    return wide(xml_page_records(pages, spec("xml", {"id": ".//guid"})), ["id", "harvest_url"], ["seq"])
+    return wide(xml_page_records(pages, spec("xml", {"id": ".//guid", "address": "/item/harvest_url"})), ["id", "address"], ["seq"])
 
 
 # --- OAI-PMH --------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions import xmlpath
@@ -12,7 +12,7 @@ from sheaf.sources.payloads import ok_pages, xml_fields
 from sheaf.spec import CollectionSpec
 
 
-def clean_values(values):
+def clean_values(values: Column) -> Column:
     """Markup inside a value becomes text, then the text is sanitised."""
     return F.transform(values, lambda v: sanitize(markup_to_text(v)))
 
@@ -36,15 +36,22 @@ def xml_records(payloads: DataFrame, spec: CollectionSpec) -> DataFrame:
     return extract(record_elements(ok_pages(payloads), spec.record_selector), spec)
 
 
+def with_address(record: Column, url: Column) -> Column:
+    """The record with a last child ``harvest_url`` that holds the page's address."""
+    escaped = F.replace(F.replace(url, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    end = F.regexp_extract(record, r"(?s)^.*(</[^<>]+>.*)$", 1)  # from the last closing tag on
+    start = F.substring(record, F.lit(1), F.length(record) - F.length(end))
+    added = F.concat(start, F.lit("<harvest_url>"), escaped, F.lit("</harvest_url>"), end)
+    return F.when(end != "", added).otherwise(record)
+
+
 def xml_page_records(payloads: DataFrame, spec: CollectionSpec) -> DataFrame:
-    """One record per linked page; its address is added as ``harvest_url``."""
+    """One record per linked page; the page's address is in it as ``harvest_url``, for a field to name."""
     body = F.regexp_replace("body", r"(?s)^\s*<\?xml.*?\?>", "")
     records = ok_pages(payloads).select(
-        "harvest_id", "seq", F.lit(0).cast("bigint").alias("pos"), "url", body.alias("record")
+        "harvest_id", "seq", F.lit(0).cast("bigint").alias("pos"), "url", with_address(body, F.col("url")).alias("record")
     )
-    address = F.create_map(F.lit("harvest_url"), F.array("url"))
-    out = extract(records, spec)
-    return out.withColumn("fields", F.map_concat(F.map_filter("fields", lambda k, _: k != "harvest_url"), address))
+    return extract(records, spec)
 
 
 def scan_xml_files(spark: SparkSession, path: str, selector: str) -> DataFrame:

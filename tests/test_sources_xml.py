@@ -72,8 +72,9 @@ def test_broken_record_is_dropped(payloads):
 
 
 def test_linked_pages(payloads):
-    pages = payloads(('<?xml version="1.0"?><TEI><title>A</title></TEI>', 200, "u1"), ("<TEI>", 200, "u2"))
-    assert fields_of(xml_page_records(pages, spec(title="//title"))) == [{"title": ["A"], "harvest_url": ["u1"]}]
+    pages = payloads(('<?xml version="1.0"?><TEI><title>A</title></TEI>\n<!-- x -->', 200, "u?a=1&b=$2"), ("<TEI>", 200, "u2"))
+    s = spec(title="//title", harvest_url="/TEI/harvest_url")
+    assert fields_of(xml_page_records(pages, s)) == [{"title": ["A"], "harvest_url": ["u?a=1&b=$2"]}]
 
 
 def test_xml_file_scan(spark, tmp_path):
