@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sheaf.functions.lists import empty_strings
+from sheaf.functions.text import decode_entities
 
 _TOKEN = re.compile(r"""'[^']*'|"[^"]*"|::|//|[@./\[\](),|=!<>+*\s-]|\d[\w.]*|[A-Za-z_][\w.-]*(?::[A-Za-z_][\w.-]*)?""")
 _FUNCTIONS = ("text", "node", "comment", "processing-instruction")
@@ -75,13 +76,33 @@ def needed_name(path: str) -> str | None:
     return last if re.fullmatch(r"[A-Za-z_][\w.-]*", last) else None
 
 
+def _text(raw: Column) -> Column:
+    """Source text of an element as its value: line ends and character references resolved."""
+    lines = F.replace(F.replace(raw, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return decode_entities(lines)
+
+
+def _scan(body: Column, local: str, tree: Column) -> Column:
+    """Values of the descendant step ``//local`` by a scan of the source text, ``tree`` where that
+    could err: in documents with comments, CDATA sections or a document type, and where the
+    root itself has the name."""
+    attributes = r"""(?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*"""
+    start = rf"<(?:[\w.-]+:)?{re.escape(local)}{attributes}\s*>([^<]+)"
+    plain = ~F.contains(body, F.lit("<!")) & ~body.rlike(rf"^[^<]*(?:<\?[^<]*)?<(?:[\w.-]+:)?{re.escape(local)}[\s/>]")
+    return F.when(plain, F.transform(F.regexp_extract_all(body, F.lit(start), F.lit(1)), _text)).otherwise(tree)
+
+
 def find_values(body: Column, path: str, namespaces: Mapping[str, str] | None = None) -> Column:
     """Text of all matches in document order. The body must be well formed.
 
-    Each call parses the record again, so a record without the wanted name is not parsed.
+    ``xpath`` builds a tree per call, which costs far more than anything else here. So a
+    document without the wanted name is not parsed, and the common path of one descendant
+    step is read off the source text.
     """
     found = F.xpath(body, F.lit(value_path(path, namespaces)))
     name = needed_name(path)
+    if name and re.fullmatch(r"\.?//(?:[A-Za-z_][\w.-]*:)?[A-Za-z_][\w.-]*", path):
+        found = _scan(body, name, found)
     if name:
         found = F.when(F.contains(body, F.lit(name)), found)
     return F.coalesce(found, empty_strings())

@@ -63,7 +63,7 @@ def crosswalk(
     line = F.col("line")
     to_field = F.regexp_extract(line, r"""\bto_field\s*\(?\s*['"]([^'"]+)['"]""", 1)
     sources = _used(line, extract, 0)
-    literal = F.regexp_extract(line, r"literal\((.*)$", 1)
+    literal = F.regexp_extract(line, r"^.*literal\((.*)$", 1)
     literal_text = F.concat(F.lit("Assigned literal value: '"), F.substring_index(literal, "),", 1), F.lit("'"))
     argument = F.trim(F.regexp_extract(line, r"\(([^()]*)", 1), F.lit("'"))
     from_field = F.when(F.size(sources) > 0, F.element_at(sources, -1)).when(

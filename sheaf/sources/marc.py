@@ -10,6 +10,9 @@ from sheaf.functions.xmlpath import element_pattern
 from sheaf.sources.payloads import ok_pages
 from sheaf.sources.tabular import scan_csv
 
+# Blanks are data in fixed-length fields.
+OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
+
 # All text: inference would read tag 008 as a number.
 MARC_XML = (
     "leader string, controlfield array<struct<_VALUE:string,_tag:string>>, "
@@ -55,7 +58,7 @@ def marc_records(payloads: DataFrame, index: DataFrame | None = None, keep: str
         docs = docs.join(index.select("url"), "url", "left_semi")
     first = F.regexp_extract("body", element_pattern("record"), 0)
     parsed = docs.select(
-        "harvest_id", "seq", "url", F.from_xml(first, MARC_XML, {"ignoreNamespace": "true"}).alias("record")
+        "harvest_id", "seq", "url", F.from_xml(first, MARC_XML, OPTIONS).alias("record")
     )
     return parsed.select(
         "harvest_id", "seq", F.lit(0).cast("bigint").alias("pos"), "url", F.col("record.leader").alias("leader"), marc_pairs(F.col("record"), keep).alias("fields")

@@ -41,6 +41,28 @@ def test_paths(spark):
     assert values(spark, xml, "//none") == []
 
 
+SCANNED = [
+    "<r><t>a</t><x><t k='v>w' j=\"y\">b &amp; c &#233;&#x41;</t></x><t/><t a='1'/><t  >d</t><tt>no</tt><p:t xmlns:p='u'>e</p:t></r>",
+    "<r><t><i>x</i>tail</t><t>head<i>y</i>tail</t><t> </t><t></t><t>l1\r\nl2\rl3</t></r>",
+    "<r><!-- <t>no</t> --><t>a</t></r>",
+    "<r><d><![CDATA[<t>no</t>]]></d><t>b<![CDATA[c]]></t></r>",
+    "<t>root<t>inner</t></t>",
+    '<?xml version="1.0"?>\n<t>root<x><t>inner</t></x></t>',
+    "<r><a t='1'>&lt;t&gt;no&lt;/t&gt;</a></r>",
+    "<r><x/></r>",
+]
+
+
+@pytest.mark.parametrize("path", ["//t", ".//t", "//p:t"])
+def test_scanned_text_equals_the_tree(spark, path):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(SCANNED)], "i int, x string")
+    both = df.select(
+        "i", xmlpath.find_values(F.col("x"), path).alias("scan"), F.xpath("x", F.lit(xmlpath.value_path(path))).alias("tree")
+    )
+    for r in both.orderBy("i").collect():
+        assert r.scan == r.tree, SCANNED[r.i]
+
+
 def test_undeclared_prefix_is_an_error():
     with pytest.raises(ValueError):
         xmlpath.local_path("//dc:t", {"mods": "v"})
@@ -145,7 +167,8 @@ def test_unknown_prefix(payloads):
 
 MARC = (
     '<collection xmlns="http://www.loc.gov/MARC21/slim"><record><leader>00000cam</leader><controlfield tag="001">000123</controlfield>'
-    '<controlfield tag="008">0080</controlfield><datafield tag="245" ind1="1" ind2="0"><subfield code="a">T1</subfield>'
+    '\n  <controlfield tag="006">m        d        </controlfield>'
+    '<controlfield tag="008">0080</controlfield> <datafield tag="245" ind1="1" ind2="0"><subfield code="a">T1</subfield>'
     '<subfield code="a">T2</subfield><subfield code="c"></subfield></datafield>'
     '<datafield tag="974" ind1=" " ind2=" "><subfield code="u">v1</subfield><subfield code="z">only first</subfield></datafield>'
     '<datafield tag="974" ind1=" " ind2=" "><subfield code="u">v2</subfield></datafield></record></collection>'
@@ -156,7 +179,7 @@ def test_marc(payloads, spark):
     pages = payloads((MARC, 200, "123"), (MARC, 200, "999"))
     row = marc.marc_records(pages).first()
     assert row.leader == "00000cam"
-    assert row.fields == {"001": ["000123"], "008": ["0080"], "245_a": ["T1", "T2"], "974_u": ["v2"], "974_z": ["only first"]}
+    assert row.fields == {"001": ["000123"], "006": ["m        d        "], "008": ["0080"], "245_a": ["T1", "T2"], "974_u": ["v2"], "974_z": ["only first"]}
     joined = marc.marc_records(pages, keep="append").first().fields
     assert joined["974_u"] == ["v1", "v2"]
     index = spark.createDataFrame([("123",), ("123",)], "url string")
