@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.operators.dedupe import first_per_key
@@ -13,7 +13,7 @@ from sheaf.operators.filters import apply_filters
 from sheaf.operators.hooks import run_hook
 from sheaf.operators.paging import limit_by_page
 from sheaf.operators.records import scalar_id, wide
-from sheaf.sources.registry import read_records
+from sheaf.sources.registry import read_records, read_table
 from sheaf.spec import CollectionSpec
 
 ORDER = ("seq", "pos")
@@ -21,17 +21,29 @@ KEYS = ("harvest_id", "seq", "pos")
 
 
 def harvest_table(
-    payloads: DataFrame, spec: CollectionSpec, columns: list[str], hook_arguments: Mapping[str, Any] | None = None
+    payloads: DataFrame,
+    spec: CollectionSpec,
+    columns: list[str],
+    hook_arguments: Mapping[str, Any] | None = None,
+    listings: DataFrame | None = None,
 ) -> DataFrame:
     """Records as list columns: read, cut to the record limit, first per id in harvest order,
     filtered, and passed through the spec's own step."""
-    records = read_records(payloads, spec)
+    records = read_records(payloads, spec, listings)
     if spec.record_limit:
         records = limit_by_page(records, spec.record_limit)
     table = wide(records, columns, [c for c in KEYS if c in records.columns], lists=True)
     return run_hook(finish(table, spec), spec, hook_arguments)
 
 
+def harvest_files(spark: SparkSession, spec: CollectionSpec) -> DataFrame:
+    """The same for the table files of a CSV spec."""
+    table = read_table(spark, spec)
+    if spec.record_limit:
+        table = limit_by_page(table.withColumn("harvest_id", F.lit(spec.collection_id)), spec.record_limit)
+    return finish(table, spec)
+
+
 def finish(table: DataFrame, spec: CollectionSpec) -> DataFrame:
     """First record per harvest and id, then the filters. They come after de-duplication on
     purpose: the first record of an id decides."""

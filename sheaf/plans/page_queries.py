@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sheaf.functions.text import URL_PATTERN, is_url
 from sheaf.operators import paging
 from sheaf.plans.catalogue import load, query
+from sheaf.plans.pages import plan_pages
 
 BASE = "https://catalogue.example.org/item/"
 URL_SQL = URL_PATTERN.replace("'", "''")
@@ -43,7 +44,8 @@ _TOTALS_SQL = """
     """,
 )
 def page_plan_offset(spark, sf_dir):
-    return paging.plan_offsets(json_totals(spark, sf_dir), 25, "offset")
+    options = {"increment": 25, "query_param": "offset", "result_count": "pagination.of"}
+    return plan_pages(user_totals(spark, sf_dir).withColumnRenamed("json_body", "body"), options)
 
 
 @query(
@@ -173,7 +175,8 @@ def page_entries(spark, sf_dir):
     """,
 )
 def page_entry_urls(spark, sf_dir):
-    return paging.entry_urls(paging.listing_entries(listing_pages(spark, sf_dir), "$.data"), BASE)
+    # no page has fewer than one entry, so none is the last
+    return plan_pages(listing_pages(spark, sf_dir), {"pages_url": "https://x/{offset}", "page_data": "data", "limit": 1}, BASE)
 
 
 def event_pages(spark, sf_dir, body):

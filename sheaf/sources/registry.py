@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sheaf.sources import json_pages, manifests, marc, oai, xml_pages
+from sheaf.sources import json_pages, manifests, marc, oai, tabular, xml_pages
 from sheaf.spec import CollectionSpec
 
 Reader = Callable[[DataFrame, CollectionSpec], DataFrame]
@@ -16,13 +17,26 @@ READERS: dict[str, Reader] = {
     "iiif_json": manifests.manifest_records,
     "oai_xml": oai.oai_records,
     "xml": xml_pages.xml_records,
-    "marc_xml": lambda payloads, spec: marc.marc_records(payloads),
+    "hathi_trust": lambda payloads, spec: marc.marc_records(payloads),
 }
 
 
-def read_records(payloads: DataFrame, spec: CollectionSpec) -> DataFrame:
-    """Records of landed payloads by the spec's driver. Table files (CSV) and version 3
-    manifests, which need their listing too, are read by their own functions."""
+TABLE_DRIVERS = ("csv", "sequential_csv")
+
+
+def read_table(spark: SparkSession, spec: CollectionSpec) -> DataFrame:
+    """The files of a table spec in list order, with ``seq, pos``."""
+    table = tabular.scan_delimited(spark, list(spec.paths))
+    ordered = table.withColumns({"seq": F.col("file_idx"), "pos": F.struct("file_block", "file_row")})
+    return ordered.drop(*tabular.FILE_ORDER)
+
+
+def read_records(payloads: DataFrame, spec: CollectionSpec, listings: DataFrame | None = None) -> DataFrame:
+    """Records of landed payloads by the spec's driver; version 3 manifests need their listings too."""
+    if spec.driver == "iiif_json_v3":
+        if listings is None:
+            raise ValueError("version 3 manifests are read with their listings")
+        return manifests.manifest_records_v3(listings, payloads, spec)
     if spec.driver not in READERS:
         raise ValueError(f"no reader for driver {spec.driver}")
     return READERS[spec.driver](payloads, spec)

@@ -38,6 +38,7 @@ class CollectionSpec:
     record_count_formula: str | None = None
     record_limit: int | None = None
     full_harvest: bool = False
+    paths: tuple[str, ...] = ()
 
     @property
     def id_column(self) -> str:
@@ -51,6 +52,7 @@ class CollectionSpec:
         selector = args.get("record_selector") or meta.get("record_selector")
         if isinstance(selector, Mapping):
             selector = selector.get("path")
+        paths = args.get("urlpath") or ()
         fields = {
             name: FieldSpec(
                 path=info.get("path", name),
@@ -69,6 +71,7 @@ class CollectionSpec:
             driver=raw["driver"],
             fields=fields,
             record_selector=selector,
+            paths=(paths,) if isinstance(paths, str) else tuple(paths),
             metadata_prefix=args.get("metadata_prefix"),
             filters=filters,
             post_harvest=meta.get("post_harvest"),

@@ -3,6 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sheaf.operators import paging
+from sheaf.plans.pages import cut_pages, plan_pages
 
 
 def urls(df):
@@ -115,3 +116,28 @@ def test_running_sum_over_blocks(spark):
     last = out.where(F.col("seq") == n - 1).first()
     assert last.before == sum(i % 3 for i in range(n - 1))
     assert out.where("seq = 0").first().before == 0
+
+
+def test_plans_by_options(payloads):
+    page = payloads('{"n":{"of":60},"list":[{"url":"u1"}]}')
+    offsets = plan_pages(page, {"increment": 30, "query_param": "p", "result_count": "n.of"})
+    assert urls(offsets) == ["https://x.example.org/0", "https://x.example.org/0&p=30"]
+    assert plan_pages(page, {"urls": "list"}).count() == 2
+    listing = payloads('{"items":[{"id":"a"},{"id":"b"}]}', '{"items":[{"id":"c"}]}', '{"items":[{"id":"d"}]}')
+    options = {"pages_url": "https://x/{offset}/{limit}", "page_data": "items", "limit": 2}
+    assert sorted(r.record_url for r in plan_pages(listing, options, "b/").collect()) == ["b/a", "b/b", "b/c"]
+    html = payloads('<a href="/t.xml">TEI</a>')
+    assert plan_pages(html, {"link_text": "TEI", "base_url": "https://b"}).first().page_url == "https://b/t.xml"
+    with pytest.raises(ValueError):
+        plan_pages(page, {"something": 1})
+
+
+def test_cuts_by_options(payloads):
+    page = '<r><p:most xmlns:p="u">150</p:most></r>'
+    most = {"path": "//p:most", "namespace": {"p": "u"}}
+    options = {"pagination": True, "increment": 100, "max_results": most}
+    assert sorted(r.seq for r in cut_pages(payloads(page, page, page), options).collect()) == [0, 1]
+    assert cut_pages(payloads("<r/>", "<r/>", "bad"), {}).count() == 2
+    assert cut_pages(payloads("<r/>", "<r/>"), {"resumptionToken": True}).count() == 1
+    with pytest.raises(ValueError):
+        cut_pages(payloads(page), {"pagination": True, "increment": 1})

@@ -13,7 +13,7 @@ from sheaf.operators.joins import join_on_id
 from sheaf.operators.merge import merge_lists
 from sheaf.operators.records import long, scalar_id
 from sheaf.operators.serials import split_serials
-from sheaf.plans.harvest import finish, harvest_table
+from sheaf.plans.harvest import finish, harvest_files, harvest_table
 from sheaf.sources import tabular
 from sheaf.sources.ndjson import scan_mapping_lines, scan_ndjson
 from sheaf.spec import CollectionSpec, FieldFilter, FieldSpec
@@ -167,6 +167,17 @@ def test_whole_harvest(payloads):
     assert {(r.id, tuple(r.k)) for r in out.collect()} == {("1", ("x",)), ("3", ("x", "z"))}
 
 
+def test_table_files_by_spec(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,c\n1,x\n2,y\n1,late\n")
+    (tmp_path / "b.csv").write_text("id,c,d\n2,later,d\n3,x,d\n")
+    raw = {"driver": "sequential_csv", "args": {"urlpath": [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]},
+           "metadata": {"fields": {"id": {"path": "id"}}, "filters": {"c": {"exclude": ["y"]}}}}
+    out = harvest_files(spark, CollectionSpec.from_dict("t", raw))
+    assert {(r.id, r.c, r.d) for r in out.collect()} == {("1", "x", None), ("3", "x", "d")}
+    limited = harvest_files(spark, CollectionSpec.from_dict("t", {**raw, "metadata": {**raw["metadata"], "record_limit": 4}}))
+    assert {r.id for r in limited.collect()} == {"1"}
+
+
 def test_harvests_do_not_share_ids(payloads):
     body = '{"r":[{"id":"1","k":["x"]},{"id":"1","k":["y"]},{"id":"2","k":["z"]}]}'
     both = payloads(body, harvest="a").unionByName(payloads(body, harvest="b"))
