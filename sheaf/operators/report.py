@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from sheaf.functions.lists import let
 from sheaf.functions.variants import as_list, as_map
+from sheaf.session import settle
 
 # Fields that are not reported.
 IGNORED_FIELDS = (
@@ -171,7 +172,12 @@ def report_document(counts: DataFrame, checked: DataFrame, quality: DataFrame, c
 
 
 def report_sections(counts: DataFrame) -> DataFrame:
-    """The whole report as one long table keyed by ``section``."""
+    """The figures of the report as one long table keyed by ``section``.
+
+    The counter table is settled first: each section reads that, not the records again.
+    """
+    counts = settle(counts)
+
     def long(section: str, df: DataFrame, measures: list[str], field: Column, key: Column) -> DataFrame:
         cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
         named = df.select("collection_id", F.lit(section).alias("section"), field.alias("field"), key.alias("key"), F.inline(cells))
