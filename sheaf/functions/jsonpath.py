@@ -101,6 +101,15 @@ def _descend(steps):
     return descend
 
 
+def _worth_reading(body: Column, steps) -> Column:
+    """The text if it can hold the last named key, else null, which costs Python nothing."""
+    names = [arg for what, arg in steps if what == "name"]
+    if not names:
+        return body
+    key = json.dumps(names[-1], ensure_ascii=False)
+    return F.when(F.contains(body, F.lit(key)) | F.contains(body, F.lit("\\u")), body)
+
+
 def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
     """Matches of ``path`` in the variant ``doc`` as an array of variants, in order.
 
@@ -110,7 +119,7 @@ def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
     steps = parse_path(path)
     if any(what == "deep" for what, _ in steps):
         body = F.when(doc.isNotNull(), raw) if raw is not None else F.to_json(doc)
-        return F.transform(_descend(steps)(body), F.parse_json)
+        return F.transform(_descend(steps)(_worth_reading(body, steps)), F.parse_json)
     nodes = F.array(doc)
     run: list[tuple[str, str | int | None]] = []
     for what, arg in steps:

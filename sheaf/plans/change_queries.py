@@ -184,7 +184,7 @@ def stamped_events(spark, sf_dir):
 def incremental_since(spark, sf_dir):
     spec = CollectionSpec("events", "oai_xml")
     df = load(spark, sf_dir, "events")
-    return incremental.changed_since(df, F.to_date("ts"), spec, "2024-01-20 15:30:00").select("event_id")
+    return incremental.changed_since(df, F.col("ts"), spec, "2024-01-20 15:30:00").select("event_id")
 
 
 @query(

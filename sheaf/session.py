@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks partition counts, join sides and skew splits from the
 # sizes it measures, so none of them is fixed here for a cluster. Extraction is heavy on
-# the CPU and light on bytes, so small shuffles are merged less eagerly. Recording the call
-# site of every Column call makes long field lists slow to build and is switched off.
+# the CPU and light on bytes, so small shuffles are merged less eagerly. Bodies can be large,
+# so a batch for Python holds few of them. Recording the call site of every Column call makes
+# long field lists slow to build and is switched off.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,6 +21,7 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -29,6 +31,8 @@ def build_session(app: str = "sheaf", master: str | None = None, shuffle_partiti
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):  # driver and executor are one process
+            builder = builder.config("spark.driver.memory", "8g")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

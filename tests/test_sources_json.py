@@ -45,6 +45,8 @@ def find(spark, doc, path):
         ({"t": {"@id": "u"}}, "t..@id", ["u"]),
         ({"s": [{"i": [{"r": {"@id": "u"}}]}]}, "s..r.@id", ["u"]),
         ({}, "a..b", []),
+        ({"a": {"é": {"q\"r": "v"}}}, "a..é", ['{"q\\"r":"v"}']),
+        ({"a": [{"b": {"b": 1}}]}, "a..b", ['{"b":1}', "1"]),
     ],
 )
 def test_paths(spark, doc, path, expected):
