@@ -119,7 +119,8 @@ def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
     steps = parse_path(path)
     if any(what == "deep" for what, _ in steps):
         body = F.when(doc.isNotNull(), raw) if raw is not None else F.to_json(doc)
-        return F.transform(_descend(steps)(_worth_reading(body, steps)), F.parse_json)
+        found = F.transform(_descend(steps)(_worth_reading(body, steps)), F.parse_json)
+        return F.coalesce(found, F.array().cast("array<variant>"))
     nodes = F.array(doc)
     run: list[tuple[str, str | int | None]] = []
     for what, arg in steps:
