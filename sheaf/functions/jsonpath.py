@@ -2,8 +2,8 @@
 
 A body is parsed once; every path then reads the binary value. Runs of plain
 steps become one ``try_variant_get``; a wildcard opens a list level. Only the
-descendant step ``..`` leaves the JVM, in Arrow batches, because its depth is
-not known in the plan.
+descendant step ``..``, whose depth no plan knows, and the member step ``.*``, which
+must keep the order of the text, leave the JVM, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.variants import as_list, as_map, texts
+from sheaf.functions.variants import as_list, texts
 
 # executors need not have this package: what a UDF uses travels with it
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,7 +44,7 @@ def parse_path(path: str) -> list[tuple[str, str | int | None]]:
         if group == "deep":
             steps.append(("deep", None))
         elif group in ("all", "star"):
-            steps.append(("all", None))
+            steps.append(("all" if group == "all" else "members", None))
         elif group == "index":
             steps.append(("index", int(found.group("index"))))
         else:
@@ -55,7 +55,11 @@ def parse_path(path: str) -> list[tuple[str, str | int | None]]:
 
 
 def _literal(steps: list[tuple[str, str | int | None]]) -> str:
-    return "$" + "".join(f"[{arg}]" if what == "index" else f"['{arg}']" for what, arg in steps)
+    def step(what: str, arg: str | int | None) -> str:
+        quote = '"' if "'" in str(arg) else "'"
+        return f"[{arg}]" if what == "index" else f"[{quote}{arg}{quote}]"
+
+    return "$" + "".join(step(what, arg) for what, arg in steps)
 
 
 def _open(nodes: Column, steps) -> Column:
@@ -64,10 +68,9 @@ def _open(nodes: Column, steps) -> Column:
     return F.array_compact(F.transform(nodes, lambda n: F.try_variant_get(n, _literal(steps), "variant")))
 
 
-def _children(nodes: Column) -> Column:
-    """All members of lists and objects."""
-    opened = F.transform(nodes, lambda n: F.coalesce(as_list(n), F.map_values(as_map(n))))
-    return F.array_compact(F.flatten(F.array_compact(opened)))
+def _elements(nodes: Column) -> Column:
+    """Elements of lists; anything else counts as a list of one."""
+    return F.array_compact(F.flatten(F.transform(nodes, lambda n: F.coalesce(as_list(n), F.array(n)))))
 
 
 def _matches(node, steps):
@@ -76,13 +79,15 @@ def _matches(node, steps):
         yield node
         return
     (what, arg), rest = steps[0], steps[1:]
-    inner = list(node.values()) if isinstance(node, dict) else node if isinstance(node, list) else []
     if what == "deep":
         yield from _matches(node, rest)
-        for child in inner:
+        for child in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
             yield from _matches(child, steps)
     elif what == "all":
-        for child in inner:
+        for child in node if isinstance(node, list) else [node]:
+            yield from _matches(child, rest)
+    elif what == "members" and isinstance(node, dict):
+        for child in node.values():
             yield from _matches(child, rest)
     elif what == "index" and isinstance(node, list) and arg < len(node):
         yield from _matches(node[arg], rest)
@@ -117,7 +122,7 @@ def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
     members keep the order they have in the text.
     """
     steps = parse_path(path)
-    if any(what == "deep" for what, _ in steps):
+    if any(what in ("deep", "members") for what, _ in steps):
         body = F.when(doc.isNotNull(), raw) if raw is not None else F.to_json(doc)
         found = F.transform(_descend(steps)(_worth_reading(body, steps)), F.parse_json)
         return F.coalesce(found, F.array().cast("array<variant>"))
@@ -125,7 +130,7 @@ def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
     run: list[tuple[str, str | int | None]] = []
     for what, arg in steps:
         if what == "all":
-            nodes, run = _children(_open(nodes, run)), []
+            nodes, run = _elements(_open(nodes, run)), []
         else:
             run.append((what, arg))
     return F.array_compact(_open(nodes, run))

@@ -175,18 +175,25 @@ def limit_records(records: DataFrame, limit: int, order: list[str]) -> DataFrame
 
 
 def limit_by_page(records: DataFrame, limit: int) -> DataFrame:
-    """First ``limit`` records of every harvest by ``(seq, pos)``.
+    """First ``limit`` records of every harvest by ``(seq, pos)``, both whole numbers.
 
-    Page counts name the page on which the limit falls; only that page is ranked, to find
-    the last record inside. Every record is then compared with that one settled row of its
-    harvest, where it lies.
+    Counts name the page on which the limit falls, then the run of positions inside it, so a
+    page of any size is never ranked as a whole; one run is, to find the last record inside.
+    Every record is then compared with that one settled row of its harvest, where it lies.
     """
-    counts = records.groupBy("harvest_id", "seq").agg(F.count("*").alias("_n"))
-    pages = running_before(counts, "_n")
+    run = F.floor(F.col("pos") / BLOCK)
+    runs = records.groupBy("harvest_id", "seq", run.alias("_run")).agg(F.count("*").alias("_n"))
     falls_here = (F.col("before") < limit) & (F.col("before") + F.col("_n") >= limit)
-    edge = settle(pages.where(falls_here).select("harvest_id", "seq", (F.lit(limit) - F.col("before")).alias("_room")))
-    rank = F.row_number().over(Window.partitionBy("harvest_id", "seq").orderBy("pos"))
-    on_edge = records.select("harvest_id", "seq", "pos").join(edge, ["harvest_id", "seq"]).withColumn("_rank", rank)
-    last = on_edge.where(F.col("_rank") == F.col("_room")).select("harvest_id", F.struct("seq", "pos").alias("_last"))
+    pages = running_before(runs.groupBy("harvest_id", "seq").agg(F.sum("_n").alias("_n")), "_n")
+    edge = settle(pages.where(falls_here).select("harvest_id", "seq", F.col("before").alias("_base")))
+    earlier = Window.partitionBy("harvest_id", "seq").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    on_page = runs.join(edge, ["harvest_id", "seq"]).withColumn(
+        "before", F.col("_base") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    )
+    edge_run = settle(on_page.where(falls_here).select("harvest_id", "seq", "_run", (F.lit(limit) - F.col("before")).alias("_room")))
+    rank = F.row_number().over(Window.partitionBy("harvest_id", "seq", "_run").orderBy("pos"))
+    on_run = records.select("harvest_id", "seq", "pos", run.alias("_run")).join(edge_run, ["harvest_id", "seq", "_run"])
+    last = on_run.withColumn("_rank", rank).where(F.col("_rank") == F.col("_room"))
+    last = settle(last.select("harvest_id", F.struct("seq", "pos").alias("_last")))
     inside = F.col("_last").isNull() | (F.struct("seq", "pos") <= F.col("_last"))
-    return records.join(settle(last), "harvest_id", "left").where(inside).drop("_last")
+    return records.join(last, "harvest_id", "left").where(inside).drop("_last")

@@ -25,10 +25,11 @@ TABLE_DRIVERS = ("csv", "sequential_csv")
 
 
 def read_table(spark: SparkSession, spec: CollectionSpec) -> DataFrame:
-    """The files of a table spec in list order, with ``seq, pos``."""
+    """The files of a table spec in list order, with ``seq``, file and byte offset of the part a
+    task read, and ``pos``, the row in it."""
     table = tabular.scan_delimited(spark, list(spec.paths))
-    ordered = table.withColumns({"seq": F.col("file_idx"), "pos": F.struct("file_block", "file_row")})
-    return ordered.drop(*tabular.FILE_ORDER)
+    part = F.shiftleft(F.col("file_idx"), 44) + F.col("file_block")
+    return table.withColumns({"seq": part, "pos": F.col("file_row")}).drop(*tabular.FILE_ORDER)
 
 
 def read_records(payloads: DataFrame, spec: CollectionSpec, listings: DataFrame | None = None) -> DataFrame:

@@ -108,6 +108,14 @@ def test_limit_cuts_inside_a_page(spark):
     assert got == sorted([("g", 0, 0)] + [("h", s, p) for s in range(2) for p in range(3)] + [("h", 2, 0)])
 
 
+def test_limit_inside_a_huge_page(spark):
+    n = 3 * paging.BLOCK
+    df = spark.range(n).selectExpr("'h' AS harvest_id", "cast(0 as bigint) AS seq", "id AS pos")
+    for limit in (1, paging.BLOCK, paging.BLOCK + 1, n - 1, n, n + 5):
+        out = paging.limit_by_page(df, limit)
+        assert out.agg(F.count("*"), F.max("pos")).first()[:] == (min(limit, n), min(limit, n) - 1)
+
+
 def test_running_sum_over_blocks(spark):
     n = 2 * paging.BLOCK + 5
     pages = spark.range(n).selectExpr("'h' AS harvest_id", "id AS seq", "id % 3 AS n")

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -40,6 +41,11 @@ def find(spark, doc, path):
         ({"a": []}, "a", []),
         ({"a": "[bracketed]"}, "a", ["[bracketed]"]),
         ({"a": {"x": 1}}, "a", ['{"x":1}']),
+        ({"a": {"x": 1}}, "a[*].x", ["1"]),
+        ({"a": "s"}, "a[*]", ["s"]),
+        ({"it's": 1}, """["it's"]""", ["1"]),
+        ({"a": {"z": 1, "b": [2, 3]}}, "a.*", ["1", "2", "3"]),
+        ({"a": [{"z": 1}]}, "a.*", []),
         ({"s": [{"c": [{"f": "jpg"}]}, {"f": "png"}]}, "s..f", ["jpg", "png"]),
         ({"line": {"part": {"key": 2, "sup": [{"key": 3}]}, "key": 1}}, "line..key", ["1", "2", "3"]),
         ({"t": {"@id": "u"}}, "t..@id", ["u"]),
@@ -178,3 +184,30 @@ def test_listing_thumbnails(payloads):
     listing = payloads('{"items":[{"id":"u1"},{"@id":"u2"}]}')
     docs = payloads(('{"items":[{"thumbnail":[{"id":"t1"}]}]}', 200, "u1"), ('{"label":"no items"}', 200, "u2"))
     assert {(r.id, r.thumbnail) for r in listing_thumbnails(listing, docs).collect()} == {("u1", "t1"), ("u2", None)}
+
+
+def test_paths_equal_a_plain_walk(spark):
+    """Compiled paths against a walk in Python, on random documents."""
+    rng = random.Random(7)
+
+    def value(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.35:
+            return rng.choice([1, "x", " y ", True, 2.5, "", None])
+        if kind < 0.65:
+            return [value(depth - 1) for _ in range(rng.randint(0, 3))]
+        return {k: value(depth - 1) for k in rng.sample("abc", rng.randint(0, 3))}
+
+    docs = [{"a": value(4), "b": value(3)} for _ in range(200)]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, body string")
+    for path in ("a.b", "a[0]", "a[*].b", "a[*][1].c", "b[*].a[*]", "a..b", "a..b[0]", "a..c.a", "a.*", "b[*].*"):
+        nodes = jsonpath.find_nodes(F.try_parse_json("body"), path, F.col("body"))
+        got = {r.i: [json.loads(x) for x in r.v] for r in df.select("i", F.transform(nodes, lambda n: F.to_json(n)).alias("v")).collect()}
+        steps = jsonpath.parse_path(path)
+        for i, doc in enumerate(docs):
+            found = [m for m in jsonpath._matches(doc, steps) if m is not None]
+            assert [normal(m) for m in got[i] if m is not None] == [normal(m) for m in found], (path, doc)
+
+
+def normal(m):
+    return json.dumps(m, sort_keys=True)
