@@ -264,3 +264,18 @@ def test_workers_need_no_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert "RESULT ['1'] t" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from sheaf.session import shared_dir
+
+    def session(master, folder):
+        settings = {"spark.checkpoint.dir": folder} if folder else {}
+        return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077", None), "x")
+    assert shared_dir(session("spark://host:7077", str(tmp_path)), "x").startswith(f"{tmp_path}/x-")
+    assert shared_dir(spark, "x") != shared_dir(spark, "x")
