@@ -182,10 +182,10 @@ def limit_by_page(records: DataFrame, limit: int) -> DataFrame:
     Every record is then compared with that one settled row of its harvest, where it lies.
     """
     run = F.floor(F.col("pos") / BLOCK)
-    runs = records.groupBy("harvest_id", "seq", run.alias("_run")).agg(F.count("*").alias("_n"))
+    runs = settle(records.groupBy("harvest_id", "seq", run.alias("_run")).agg(F.count("*").alias("_n")))
     falls_here = (F.col("before") < limit) & (F.col("before") + F.col("_n") >= limit)
     pages = running_before(runs.groupBy("harvest_id", "seq").agg(F.sum("_n").alias("_n")), "_n")
-    edge = settle(pages.where(falls_here).select("harvest_id", "seq", F.col("before").alias("_base")))
+    edge = pages.where(falls_here).select("harvest_id", "seq", F.col("before").alias("_base"))
     earlier = Window.partitionBy("harvest_id", "seq").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     on_page = runs.join(edge, ["harvest_id", "seq"]).withColumn(
         "before", F.col("_base") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
