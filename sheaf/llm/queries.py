@@ -6,7 +6,7 @@ import public_tokenizers as TOKENIZERS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import packing, private, sharding
+from sheaf.llm import embed_dedup, nearest, packing, private, sharding, shingle_join
 from sheaf.session import settle
 
 QUERIES: dict = {}
@@ -50,3 +50,18 @@ def op10_private(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZERS.path("byte_bpe_50k.json"), TOKENIZERS.PATTERN)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op2_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query
+def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.shingle_links(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
