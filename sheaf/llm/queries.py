@@ -6,7 +6,7 @@ import public_tokenizers as TOKENIZERS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import embed_dedup, nearest, packing, private, sharding, shingle_join
+from sheaf.llm import chat, embed_dedup, mixing, nearest, packing, private, sharding, shingle_join, toxicity
 from sheaf.session import settle
 
 QUERIES: dict = {}
@@ -65,3 +65,107 @@ def op2_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.shingle_links(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
+def held_out(key):
+    return F.crc32(key.cast("string").cast("binary")) % 4 == 2
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), held_out=held_out)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+TARGETS = {
+    "source": {"src0": 0.2, "*": 0.8},
+    "lang": {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15},
+    "topic": {"prose": 0.85, "table": 0.05, "shout": 0.02, "licence": 0.08},
+}
+
+
+def topic():
+    text = F.col("text")
+    form = F.when(text.contains(" | "), "table").when(text.contains("!!"), "shout")
+    return form.when(text.contains("License") | text.contains("rights reserved"), "licence").otherwise("prose")
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    axes = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic()}
+    tokens = F.floor(F.octet_length(F.coalesce("text", F.lit(""))) / 4) + 1
+    return mixing.mix(docs, {a: (axes[a], t) for a, t in TARGETS.items()}, tokens, share=0.5)
+
+
+def _raking(rounds: int = 50) -> str:
+    """The same fit as SQL: one step per axis and round on the few cells."""
+    steps, last = [], "cells"
+    for i in range(rounds):
+        for axis in TARGETS:
+            name = f"f{i}_{axis}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.t, c.w * coalesce(g.goal / nullif(sum(c.w) OVER (PARTITION BY c.{axis}), 0), 0) AS w "
+                f"FROM {last} c JOIN goal_{axis} g ON g.v = c.{axis})"
+            )
+            last = name
+    return ", ".join(steps) + f", fitted AS MATERIALIZED (SELECT * FROM {last})"
+
+
+def _case(axis: str) -> str:
+    named = ", ".join(f"'{v}'" for v in TARGETS[axis] if v != "*")
+    return f"CASE WHEN {axis} IN ({named}) THEN {axis} ELSE '*' END"
+
+
+def _goal(axis: str) -> str:
+    rows = ", ".join(f"('{v}', {w}::DOUBLE)" for v, w in ({"*": 0.0} | TARGETS[axis]).items())
+    here = f"SELECT v, w FROM (VALUES {rows}) x(v, w) WHERE v IN (SELECT {axis} FROM cells)"
+    return f"goal_{axis} AS MATERIALIZED (SELECT v, w / nullif(sum(w) OVER (), 0) AS goal FROM ({here}))"
+
+
+MIXED_SQL = f"""
+WITH formed AS (SELECT doc_id, source, lang, octet_length(encode(coalesce(text, ''))) // 4 + 1 AS tokens,
+    CASE WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '!!') THEN 'shout'
+         WHEN contains(text, 'License') OR contains(text, 'rights reserved') THEN 'licence' ELSE 'prose' END AS topic FROM documents),
+pooled AS MATERIALIZED (SELECT doc_id, tokens, {", ".join(f"{_case(a)} AS {a}" for a in TARGETS)} FROM formed),
+sums AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS t FROM pooled GROUP BY ALL),
+cells AS MATERIALIZED (SELECT *, t / sum(t) OVER () AS w FROM sums),
+{", ".join(_goal(a) for a in TARGETS)}, {_raking()},
+ranked AS (SELECT *, w / t AS rate, sum(t) OVER () * 0.5 AS budget, row_number() OVER (ORDER BY w / t DESC) AS k FROM fitted),
+levels AS (SELECT *, coalesce(sum(t) OVER before, 0) AS full_t, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS held_w FROM ranked
+    WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+cut AS (SELECT coalesce(min(k) FILTER (WHERE rate <= 0 OR (budget - full_t) * rate <= held_w), 1000000) AS k FROM levels),
+scale AS (SELECT (l.budget - l.full_t) / l.held_w AS s FROM levels l JOIN cut USING (k) WHERE l.held_w > 1e-15),
+chance AS (SELECT source, lang, topic, w, CASE WHEN rate > 0 THEN least(1.0, coalesce((SELECT s FROM scale), 1e300) * rate) ELSE 0 END AS p FROM levels)
+SELECT d.doc_id, d.tokens, round(c.w, 9) AS weight, round(c.p, 9) AS probability FROM pooled d JOIN chance c USING (source, lang, topic)
+WHERE ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 < c.p
+"""
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixed(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", F.col("_tokens").alias("tokens"), F.round("_weight", 9).alias("weight"), F.round("_probability", 9).alias("probability"))
+
+
+ORACLES["op9_mixing"] = MIXED_SQL
+
+
+@query
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op4_chat"] = """
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS speaker, coalesce(text, '') AS text FROM conversations),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> 'system'),
+s AS (SELECT m.conv_id, p.perspective, m.turn, m.speaker, m.text,
+    CASE WHEN m.speaker = p.perspective THEN '<|assistant|>' WHEN m.speaker = 'system' THEN '<|system|>'
+         ELSE '<|user:' || m.speaker || '|>' END || chr(10) AS head FROM m JOIN p ON m.conv_id IS NOT DISTINCT FROM p.conv_id),
+r AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment FROM s),
+o AS (SELECT *, row_number() OVER w - 1 AS position, (sum(length(segment)) OVER w)::BIGINT AS "end" FROM r
+    WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, position, speaker, segment, "end" - length(segment) AS start, "end",
+    CASE WHEN speaker = perspective THEN "end" - length(segment) + length(head) END AS mask_start,
+    CASE WHEN speaker = perspective THEN "end" - 1 END AS mask_end FROM o
+"""
