@@ -20,9 +20,9 @@ from sheaf.llm.common import col
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WINDOW = 32  # bytes, to the end of a word
-GAINS = (2, 4, 6, 8)  # bytes that a window is shorter with the toxic dictionary
-FEATURES = len(GAINS) + 3
+WINDOWS = (32, 48)  # bytes, to the end of a word
+GAINS = (2, 3, 4, 5, 6, 8, 10)  # bytes that a window is shorter with the toxic dictionary
+FEATURES = len(WINDOWS) * (len(GAINS) + 1) + 2
 
 
 @dataclass(frozen=True)
@@ -32,11 +32,11 @@ class Model:
     weights: tuple[float, ...]
 
 
-def windows(body: bytes) -> np.ndarray:
-    """``(offset, length)`` of windows that cover the text, each cut at the first white space after ``WINDOW`` bytes."""
+def windows(body: bytes, width: int) -> np.ndarray:
+    """``(offset, length)`` of windows that cover the text, each cut at the first white space after ``width`` bytes."""
     data = np.frombuffer(body, np.uint8)
     blank = np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13)))
-    at = np.unique(np.searchsorted(blank, np.arange(WINDOW, len(data), WINDOW)))
+    at = np.unique(np.searchsorted(blank, np.arange(width, len(data), width)))
     starts = np.concatenate([[0], blank[at[at < len(blank)]]])
     ends = np.concatenate([starts[1:], [len(data)]])
     return np.stack([starts, ends - starts], 1)[ends > starts].astype(np.uint64)
@@ -51,11 +51,11 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=held, compression_params=plain)
 
 
-def gains(bodies: list[bytes], ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> tuple[np.ndarray, np.ndarray]:
+def gains(bodies: list[bytes], width: int, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> tuple[np.ndarray, np.ndarray]:
     """For each window of all bodies: whose it is, and how much shorter the toxic dictionary makes it."""
     cuts, base = [], 0
     for body in bodies:
-        cut = windows(body)
+        cut = windows(body, width)
         cut[:, 0] += np.uint64(base)
         cuts.append(cut)
         base += len(body)
@@ -73,15 +73,16 @@ def gains(bodies: list[bytes], ordinary: zstandard.ZstdCompressor, toxic: zstand
 
 
 def features(bodies: list[bytes], ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> np.ndarray:
-    """Per document: how many windows gain so much, by logarithm, the largest gain, the number of windows, and 1."""
-    owner, gain = gains(bodies, ordinary, toxic)
-    out = np.zeros((len(bodies), FEATURES))
-    for k, least in enumerate(GAINS):
-        out[:, k] = np.log1p(np.bincount(owner[gain >= least], minlength=len(bodies)))
-    most = np.zeros(len(bodies))
-    np.maximum.at(most, owner, np.clip(gain, 0, 24))
-    out[:, -3], out[:, -2], out[:, -1] = most / 8, np.log1p(np.bincount(owner, minlength=len(bodies))), 1
-    return out
+    """Per document and window width: how many windows gain so much, by logarithm, and the largest gain; then the
+    number of windows, and 1."""
+    out = []
+    for width in WINDOWS:
+        owner, gain = gains(bodies, width, ordinary, toxic)
+        out += [np.log1p(np.bincount(owner[gain >= least], minlength=len(bodies))) for least in GAINS]
+        most = np.zeros(len(bodies))
+        np.maximum.at(most, owner, np.clip(gain, 0, 24))
+        out.append(most / 8)
+    return np.stack([*out, np.log1p(np.bincount(owner, minlength=len(bodies))), np.ones(len(bodies))], 1)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
@@ -121,20 +122,21 @@ def _surprise(k: int, n: int, others: int, of: int) -> float:
     return 2 * sum(a * math.log(a / b) for a, b in terms if a > 0)
 
 
-def learn(texts: list[str], labels: list[int], size: int = 32_768) -> Model:
+def learn(texts: list[str], labels: list[int], rate: float | None = None, size: int = 110_000) -> Model:
     """Dictionaries and calibration from labelled texts.
 
     The ordinary dictionary is trained on pieces of ordinary text. A toxic text is mostly ordinary, so the passages
     that make it toxic are found first: words with a beginning that toxic texts hold far more often. The toxic
     dictionary holds the same ordinary content and then these passages, the most frequent last, so that a window
-    gets shorter only by what is toxic. How many windows must gain how much is fitted on the same texts.
+    gets shorter only by what is toxic. How many windows must gain how much is fitted on the same texts, and the
+    intercept is moved to the ``rate`` of toxic texts where these hold more or fewer of them.
     """
     bodies = [t.encode("utf-8", "surrogatepass") for t in texts]
     kept = _unalike(bodies)
     bodies, y = [bodies[i] for i in kept], np.array([labels[i] for i in kept], float)
     sides = [[b for b, label in zip(bodies, y) if label == side] for side in (0, 1)]
     if not sides[0] or not sides[1]:  # nothing to compare
-        rate = (y.sum() + 0.5) / (len(y) + 10)
+        rate = (y.sum() + 0.5) / (len(y) + 10)  # of the few there are
         return Model(b" ", b" ", (*[0.0] * (FEATURES - 1), math.log(rate / (1 - rate))))
     holds = [Counter(p for b in side for p in {p for w in set(b.split()) for p in _pieces(w)}) for side in sides]
     n, of = len(sides[1]), len(sides[0])
@@ -149,7 +151,10 @@ def learn(texts: list[str], labels: list[int], size: int = 32_768) -> Model:
         ordinary = b" ".join(pieces)[-size:]
     toxic = ordinary + passages[-size:]
     x = features(bodies, compressor(ordinary), compressor(toxic))
-    return Model(ordinary, toxic, tuple(fit(x, y)))
+    weights = fit(x, y)
+    if rate is not None and 0 < rate < 1:
+        weights[-1] += math.log(rate / (1 - rate)) - math.log(y.mean() / (1 - y.mean()))
+    return Model(ordinary, toxic, tuple(weights.tolist()))
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", held_out: Callable[[Column], Column] | None = None, per_class: int = 3000) -> Model:
@@ -167,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     texts = docs.select(col(key).alias("id"), col(text).alias("text")).where(F.col("text").isNotNull())
     rows = texts.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y")).collect()
     rows.sort(key=lambda r: str(r["id"]))
-    return learn([r["text"] for r in rows], [r["y"] for r in rows])
+    rate = named.agg(F.avg("y")).first()[0]
+    return learn([r["text"] for r in rows], [r["y"] for r in rows], rate)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
