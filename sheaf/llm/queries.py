@@ -6,7 +6,7 @@ import public_tokenizers as TOKENIZERS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat, embed_dedup, mixing, nearest, packing, private, sharding, shingle_join, toxicity
+from sheaf.llm import chat, embed_dedup, mixing, nearest, packing, private, quality, sharding, shingle_join, toxicity
 from sheaf.session import settle
 
 QUERIES: dict = {}
@@ -46,10 +46,14 @@ def op10_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def piece_digests(packed: DataFrame) -> DataFrame:
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZERS.path("byte_bpe_50k.json"), TOKENIZERS.PATTERN)
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    docs = table(spark, sf_dir, "documents")
+    return piece_digests(packing.pack_documents(docs, TOKENIZERS.path("byte_bpe_50k.json"), TOKENIZERS.PATTERN))
 
 
 @query
@@ -169,3 +173,13 @@ SELECT conv_id, perspective, position, speaker, segment, "end" - length(segment)
     CASE WHEN speaker = perspective THEN "end" - length(segment) + length(head) END AS mask_start,
     CASE WHEN speaker = perspective THEN "end" - 1 END AS mask_end FROM o
 """
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    split = F.concat_ws("@", "_metadata.file_path", "_metadata.file_block_start")
+    good = table(spark, sf_dir, "labels").where("quality = 1 and doc_id is not null").select("doc_id", F.lit(True).alias("good")).distinct()
+    marked = docs.select("doc_id", "text", "lang", split.alias("split")).join(shingle_join.of_small(settle(good)), "doc_id", "left")
+    rated = quality.perplexities(marked, F.col("good"), F.col("split"), keep=("lang",))
+    return quality.classify(settle(rated)).select("doc_id", "lang", "perplexity", "threshold", "kept")
