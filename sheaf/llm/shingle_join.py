@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS = 48  # of a token on its way
 SHORT, LONG = 288, 259  # sets up to SHORT are joined by all tokens, sets from LONG on by every fourth; 0.9 * SHORT <= LONG + 1
 PER_BUCKET = 1_000_000
+BLOCK = 64  # sets that are compared with as many others at once
 
 
 class WordHashes(dict):
@@ -79,6 +80,61 @@ def in_buckets(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
         yield (int(bucket[a]), *[c[order[a:b]] for c in columns])
 
 
+def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many tokens each set of ``left`` shares with each of ``right`` (positions), by products of 0/1 tiles."""
+    used = np.unique(np.concatenate([left, right]))
+    tokens = np.concatenate([sets[i] for i in used])
+    distinct, at, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(used)), [len(sets[i]) for i in used])
+    common = times > 1  # a token of one set is shared by none
+    column = np.cumsum(common) - 1
+    rows, column = rows[common[at]], column[at[common[at]]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    a, b = np.searchsorted(used, left), np.searchsorted(used, right)
+    for start in range(0, int(common.sum()), 8192):
+        lo, hi = np.searchsorted(column, [start, start + 8192])
+        tile = np.zeros((len(used), min(8192, int(common.sum()) - start)), np.float32)
+        tile[rows[lo:hi], column[lo:hi] - start] = 1
+        out += tile[a] @ tile[b].T
+    return out
+
+
+def block_links(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links among the sets of one group that join its parts, each pair of blocks x, y compared once."""
+    sets = [from_bytes(t) for t in rows["tokens"]]
+    n, ids, own = np.array([len(s) for s in sets]), rows["id"].to_numpy(), rows["own"].to_numpy()
+    left = np.flatnonzero(own == rows["x"].iloc[0])
+    right = np.flatnonzero(own == rows["y"].iloc[0])
+    na, nb = n[left][:, None], n[right][None, :]
+    may = (ids[left][:, None] != ids[right][None, :]) & (den * na >= num * nb) & (den * nb >= num * na)
+    prefixes = [[np.asarray(f, np.uint64) for f in rows["first"]]]
+    prefixes += [[other_prefix(s, lacking(len(s), num, den), k) for s in sets] for k in (0, 1)]
+    for prefix in prefixes:
+        if may.any():
+            may &= shared_counts(prefix, left, right) > 0
+    a, b = may.any(axis=1), may.any(axis=0)
+    out: list[tuple[int, int]] = []
+    if a.any():
+        shared = shared_counts(sets, left[a], right[b])
+        good = may[np.ix_(a, b)] & (den * shared.astype(np.int64) >= num * (na[a] + nb[:, b] - shared.astype(np.int64)))
+        root = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for i, j in zip(*np.nonzero(good)):
+            x, y = sorted((int(ids[left[a]][i]), int(ids[right[b]][j])))
+            u, v = top(x), top(y)
+            if u != v:
+                root[max(u, v)] = min(u, v)
+                out.append((x, y))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """``(key, n_shingles, component_id)``, one row per document; linked are sets whose ``den * shared >= num * union``.
 
@@ -92,9 +148,11 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
        tokens of its own is linked with nothing. Long sets send every fourth token: any choice that depends on the
        token alone is a global order, in which the chosen ones come first. A long set with too few of them, which
        hardly happens, is compared with all sets of about its size.
-    3. Every set meets the least set of its prefix buckets, which joins large groups by stars. Then only sets of
-       different groups that share a prefix token are paired, so large groups are not expanded into their pairs.
-    4. Pairs must share prefix tokens under two more orders; what is left is verified on the whole sets.
+    3. Sets that share a prefix token go to the bucket of the token's least set. A large bucket is cut into blocks
+       by a hash, and each pair of blocks is one group of at most ``2 * BLOCK`` sets, so no group is unbounded and
+       pairs never become rows.
+    4. Within a group, candidates must share prefix tokens under all three orders; these are verified on the
+       whole sets. Only links that join what the group has not yet joined are sent on.
     """
     spark, hundred = docs.sparkSession, (num, den)
     plain = docs.select(col(key).cast("long").alias("id"), col(text).alias("text"))
@@ -195,77 +253,59 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
     marked = prefixes.where("token >= 0")
     rare = prefixes.where("token < 0").select("id", "n").distinct()
 
-    # stars of the prefix buckets
-    least = marked.groupBy("token").agg(F.min("id").alias("a"), F.max("id").alias("_most"))
-    least = settle(least.where("a < _most").select("token", "a"))
-    size_a, size_b = F.col("na") * den >= F.col("nb") * num, F.col("nb") * den >= F.col("na") * num
-    met = marked.join(least, "token").where("a < id").groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a"))
-    stars = settle(met.select("a", "b"))
-    wanted = settle(marked.join(least.select("token"), "token", "left_semi").select("id").union(rare.select("id")).distinct())
+    # buckets: the sets that share prefix tokens with one least set
+    least = marked.groupBy("token").agg(F.min("id").alias("bucket"), F.max("id").alias("_most"))
+    least = settle(least.where("bucket < _most").select("token", "bucket"))
+    met = marked.join(least, "token").groupBy("bucket", "id").agg(F.collect_set("token").alias("first"))
+    met = settle(met)
+    blocks = met.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    wanted = settle(met.select("id").union(rare.select("id")).distinct())
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            columns = [[], [], [], []]
-            for body in batch.column(1):
-                tokens = np.unique(shingle_set(body.as_py(), width, hashes) >> np.uint64(64 - BITS))
-                length = lacking(len(tokens), *hundred)
-                values = len(tokens), to_bytes(tokens), *(other_prefix(tokens, length, k).tobytes() for k in (0, 1))
-                for column, value in zip(columns, values):
-                    column.append(value)
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            arrays = [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "tokens", "second", "third"])
-
-    texts = plain.join(of_small(wanted), "id", "left_semi")
-    sets = settle(texts.mapInArrow(whole, "id long, n long, tokens binary, second binary, third binary").where("n > 0"))
-
-    def tested(pairs: DataFrame, columns: list[str], test: Callable) -> DataFrame:
-        for side in "ab":
-            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), *[F.col(c).alias(c + side) for c in columns]), side)
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                values = [batch[c + side] for c in columns for side in "ab"]
-                yield batch.loc[[test(*v) for v in zip(*values)], ["a", "b"]]
-
-        return pairs.where(size_a & size_b).select("a", "b", *[c + side for c in columns for side in "ab"]).mapInPandas(run, "a long, b long")
-
-    def meet(second_a, second_b, third_a, third_b) -> bool:
-        return all(len(np.intersect1d(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))) for x, y in ((second_a, second_b), (third_a, third_b)))
-
-    def linked(a: bytes, b: bytes) -> bool:
-        a, b = from_bytes(a), from_bytes(b)
-        shared = len(np.intersect1d(a, b, assume_unique=True))
-        return den * shared >= num * (len(a) + len(b) - shared)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return settle(tested(settle(tested(pairs, ["second", "third"], meet).distinct()), ["tokens"], linked).distinct())
-
-    star_links = verified(stars)
-    groups = components(star_links).withColumnsRenamed({"node": "id", "component": "group"})
-
-    # pairs across groups
-    group = F.coalesce("group", "id").alias("group")
-    grouped = settle(marked.join(least.select("token"), "token", "left_semi").join(groups, "id", "left").select("token", "id", "n", group))
-    kinds = grouped.groupBy("token", "group").agg(F.count("*").alias("_n"))
-    mixed = settle(kinds.groupBy("token").agg(F.min("group").alias("_x"), F.max("group").alias("_y")).where("_x < _y").select("token"))
-    kinds = settle(kinds.join(mixed, "token", "left_semi").select("token", "group"))
-    apart = kinds.withColumnRenamed("group", "ga").join(kinds.withColumnRenamed("group", "gb"), "token").where("ga < gb")
-    left = grouped.select("token", F.col("group").alias("ga"), F.col("id").alias("a"), F.col("n").alias("na"))
-    right = grouped.select("token", F.col("group").alias("gb"), F.col("id").alias("b"), F.col("n").alias("nb"))
-    across = apart.join(left, ["token", "ga"]).join(right, ["token", "gb"]).where(size_a & size_b).select("a", "b").distinct()
+            sets = [np.unique(shingle_set(t.as_py(), width, hashes) >> np.uint64(64 - BITS)) for t in batch.column(1)]
+            values = [pa.array([len(s) for s in sets], pa.int64()), pa.array([to_bytes(s) for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *values], ["id", "n", "tokens"])
+
+    shape = "id long, n long, tokens binary"
+    sets = plain.join(of_small(wanted), "id", "left_semi").mapInArrow(whole, shape).where("n > 0")
+    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = met.join(settle(blocks), "bucket").withColumn("own", own).withColumn("other", other)
+    cells = cells.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "first")
+    keys = ["bucket", "x", "y"]
+    dealt = cells.join(sets, "id").repartition(*keys).sortWithinPartitions(*keys)
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            edges = (held[keys] != held[keys].shift()).any(axis=1).to_numpy().nonzero()[0]
+            for a, b in zip(edges, edges[1:]):
+                yield block_links(held.iloc[a:b], num, den)
+            held = held.iloc[edges[-1] :] if len(edges) else held
+        if held is not None and len(held):
+            yield block_links(held, num, den)
+
+    links = settle(dealt.select(*keys, "own", "id", "first", "tokens").mapInPandas(compare, "a long, b long").distinct())
     if not rare.isEmpty():  # sets with too few tokens for the order: all sets of about their size
-        step = np.log(den / num)
-        level = F.floor(F.log(F.col("n")) / F.lit(float(step)))
+        near_size = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
+        level = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num))))
         asked = rare.select(F.col("id").alias("a"), F.col("n").alias("na"), F.explode(F.array(level - 1, level, level + 1)).alias("level"))
         given = nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), level.alias("level"))
-        near = asked.join(given, "level").where(size_a & size_b & (F.col("a") != F.col("b"))).select("a", "b").distinct()
-        missing = near.select("b").distinct().join(sets, F.col("b") == F.col("id"), "left_anti")
-        more = plain.join(missing.withColumnRenamed("b", "id"), "id", "left_semi")
-        sets = settle(sets.union(more.mapInArrow(whole, "id long, n long, tokens binary, second binary, third binary").where("n > 0")))
-        across = across.union(near)
-    links = star_links.union(verified(across))
+        near = settle(asked.join(given, "level").where(near_size & (F.col("a") != F.col("b"))).select("a", "b").distinct())
+        sized = plain.join(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").mapInArrow(whole, shape).where("n > 0")
+        for side in "ab":
+            near = near.join(sized.select(F.col("id").alias(side), F.col("tokens").alias(f"t{side}")), side)
+
+        def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                shared = [len(np.intersect1d(from_bytes(a), from_bytes(b), assume_unique=True)) for a, b in zip(batch["ta"], batch["tb"])]
+                union = batch["ta"].map(len) // 6 + batch["tb"].map(len) // 6 - np.array(shared, int)
+                yield batch.loc[den * np.array(shared, int) >= num * union, ["a", "b"]]
+
+        links = links.union(near.select("a", "b", "ta", "tb").mapInPandas(linked, "a long, b long"))
     joined = components(links).withColumnsRenamed({"node": "_first", "component": "_group"})
     # back to all rows: equal sets share their first key
     own = first.select("print", F.col("first.id").alias("_first")).join(joined, "_first", "left")
