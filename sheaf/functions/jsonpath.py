@@ -95,24 +95,43 @@ def _matches(node, steps):
         yield from _matches(node[arg], rest)
 
 
+class _Number(str):
+    """A number as it is written, with all its digits."""
+
+
+def _written(node) -> str:
+    """JSON text of a node; numbers as they were."""
+    if isinstance(node, _Number):
+        return str(node)
+    if isinstance(node, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_written(v)}" for k, v in node.items()) + "}"
+    if isinstance(node, list):
+        return "[" + ",".join(map(_written, node)) + "]"
+    return json.dumps(node)
+
+
+def _read(body: str):
+    return json.loads(body, parse_float=_Number, parse_int=_Number)
+
+
 def _descend(steps):
     @F.pandas_udf("array<string>")
     def descend(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for bodies in batches:
             yield bodies.map(
-                lambda body: None if body is None else [json.dumps(m) for m in _matches(json.loads(body), steps)]
+                lambda body: None if body is None else [_written(m) for m in _matches(_read(body), steps)]
             )
 
     return descend
 
 
 def _worth_reading(body: Column, steps) -> Column:
-    """The text if it can hold the last named key, else null, which costs Python nothing."""
+    """The text if it can hold the last named key, as it is or with escapes, else null, which costs Python nothing."""
     names = [arg for what, arg in steps if what == "name"]
     if not names:
         return body
     key = json.dumps(names[-1], ensure_ascii=False)
-    return F.when(F.contains(body, F.lit(key)) | F.contains(body, F.lit("\\u")), body)
+    return F.when(F.contains(body, F.lit(key)) | F.contains(body, F.lit("\\")), body)
 
 
 def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
@@ -124,7 +143,7 @@ def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
     steps = parse_path(path)
     if any(what in ("deep", "members") for what, _ in steps):
         body = F.when(doc.isNotNull(), raw) if raw is not None else F.to_json(doc)
-        found = F.transform(_descend(steps)(_worth_reading(body, steps)), F.parse_json)
+        found = F.transform(_descend(steps)(_worth_reading(body, steps)), F.try_parse_json)
         return F.coalesce(found, F.array().cast("array<variant>"))
     nodes = F.array(doc)
     run: list[tuple[str, str | int | None]] = []

@@ -33,10 +33,21 @@ DROPPED_ELEMENTS = ("script", "applet", "frameset", "button", "select", "textare
 
 # Schemes a valid link may have, and the shape of host and path.
 URL_SCHEMES = ("http", "https", "ftp", "ftps", "sftp", "ssh", "git", "irc", "rtmp", "rtmps", "rtsp", "telnet")
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_V4 = rf"{_OCTET}(\.{_OCTET}){{3}}"
+_HEX = "[0-9A-Fa-f]{1,4}"
+_V6 = "|".join(
+    [rf"({_HEX}:){{7}}{_HEX}", rf"({_HEX}:){{6}}{_V4}", "::"]
+    # one run of zeros left out: n groups before it, at most 7 - n after it
+    + [rf"({_HEX}:){{{n}}}(:{_HEX}){{1,{7 - n}}}" for n in range(1, 7)]
+    + [rf"({_HEX}:){{1,7}}:", rf":(:{_HEX}){{1,7}}", rf"::({_HEX}:){{0,5}}{_V4}"]
+    + [rf"({_HEX}:){{{n}}}:({_HEX}:){{0,{5 - n}}}{_V4}" for n in range(1, 6)]
+)
+_PORT = "(6553[0-5]|655[0-2][0-9]|65[0-4][0-9]{2}|6[0-4][0-9]{3}|[1-5][0-9]{4}|[1-9][0-9]{0,3}|0)"
 URL_PATTERN = (
     r"^(" + "|".join(URL_SCHEMES) + r")://([^\s/?#@]+@)?"
-    r"(([A-Za-z0-9_]([A-Za-z0-9_-]{0,61}[A-Za-z0-9_])?\.)+[A-Za-z][A-Za-z0-9-]{0,61}[A-Za-z0-9]"
-    r"|[0-9]{1,3}(\.[0-9]{1,3}){3}|\[[0-9A-Fa-f:.]+\])(:[0-9]{1,5})?([/?#][^\s<>\"{}|\\^`]*)?$"
+    r"(([\p{L}\p{N}_]([\p{L}\p{N}_-]{0,61}[\p{L}\p{N}_])?\.)+\p{L}[\p{L}\p{N}-]{0,61}[\p{L}\p{N}]"
+    rf"|{_V4}|\[({_V6})\])(:{_PORT})?([/?#][^\s<>\"{{}}|\\^`]*)?$"
 )
 
 

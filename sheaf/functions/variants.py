@@ -39,11 +39,17 @@ def listify(v: Column) -> Column:
     return F.coalesce(as_list(v), F.when(present(v), F.array(v)), F.array().cast(VARIANTS))
 
 
-def flatten_nested(items: Column, depth: int = 3) -> Column:
-    """Open lists inside lists, ``depth`` levels down; lists below that stay as JSON text."""
-    for _ in range(depth):
-        items = F.flatten(F.transform(items, listify))
-    return items
+def flatten_nested(items: Column) -> Column:
+    """Open lists inside lists down to the last one.
+
+    Each pass opens one level, and there are no more levels than opening brackets in the text; the passes after
+    the last level only see that nothing is left to open.
+    """
+    brackets = F.regexp_count(F.to_json(items), F.lit(r"\["))
+    nested = lambda x: F.exists(x, lambda v: as_list(v).isNotNull())
+    once = lambda x: F.flatten(F.transform(x, listify))
+    deeper = F.aggregate(F.sequence(F.lit(1), F.greatest(brackets, F.lit(1))), once(items), lambda x, _: F.when(nested(x), once(x)).otherwise(x))
+    return F.when(nested(items), deeper).otherwise(once(items))
 
 
 def opened(items: Column) -> Column:

@@ -54,9 +54,28 @@ def anchored(path: str) -> str:
     return "/*" if path == "." else f"/*/{path}"
 
 
+def branches(path: str) -> list[str]:
+    """The parts of a union, which are joined by bars outside of quotes, brackets and parentheses."""
+    parts, depth, quote, start = [], 0, "", 0
+    for i, c in enumerate(path):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"":
+            quote = c
+        else:
+            depth += (c in "[(") - (c in "])")
+            if c == "|" and not depth:
+                parts.append(path[start:i].strip())
+                start = i + 1
+    return [*parts, path[start:].strip()]
+
+
 def value_path(path: str, namespaces: Mapping[str, str] | None = None) -> str:
     """Path to the text of the selected elements, that is their first node if it is text;
-    attributes and text nodes stay as they are."""
+    attributes and text nodes stay as they are. Each branch of a union is compiled by itself."""
+    parts = branches(path)
+    if len(parts) > 1:
+        return " | ".join(value_path(p, namespaces) for p in parts)
     compiled = local_path(anchored(path.rstrip("/")), namespaces)
     last = re.split(r"/(?![^\[]*\])", compiled)[-1]
     if last.startswith("@") or last.startswith("text("):
@@ -71,7 +90,9 @@ def well_formed(body: Column) -> Column:
 
 
 def needed_name(path: str) -> str | None:
-    """Name in the last step, which any document with a match must contain."""
+    """Name in the last step, which any document with a match must contain; a union has none."""
+    if len(branches(path)) > 1:
+        return None
     last = re.sub(r"\[[^\]]*\]", "", path).rstrip("/").rsplit("/", 1)[-1].rsplit(":", 1)[-1].lstrip("@")
     return last if re.fullmatch(r"[A-Za-z_][\w.-]*", last) else None
 
@@ -109,13 +130,61 @@ def find_values(body: Column, path: str, namespaces: Mapping[str, str] | None =
 
 
 def element_pattern(selector: str) -> str:
-    """Pattern of whole elements for a record selector such as ``.//oai:record``; they must not nest."""
+    """Pattern of whole elements for a record selector such as ``.//oai:record``, where they do not nest."""
     local = selector.rstrip("/").rsplit("/", 1)[-1].rsplit(":", 1)[-1]
     if not re.fullmatch(r"[A-Za-z_][\w.-]*", local):
         raise ValueError(f"unsupported record selector: {selector}")
     return rf"(?s)<((?:[\w.-]+:)?{local})(?=[\s>/])(?:[^>]*/>|.*?</\1\s*>)"
 
 
+def plain_markup(body: Column) -> Column:
+    """The document without comments and with CDATA sections as escaped text, so that a tag in the text is a tag."""
+    pieces = F.regexp_extract_all(body, F.lit(r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|[^<]+|<"), F.lit(0))
+
+    def plain(piece: Column) -> Column:
+        inner = F.substring(piece, F.lit(10), F.length(piece) - 12)
+        for character, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            inner = F.replace(inner, F.lit(character), F.lit(name))
+        return F.when(F.startswith(piece, F.lit("<!--")), "").when(F.startswith(piece, F.lit("<![CDATA[")), inner).otherwise(piece)
+
+    marked = F.contains(body, F.lit("<!--")) | F.contains(body, F.lit("<![CDATA["))
+    return F.when(marked, F.array_join(F.transform(pieces, plain), "")).otherwise(body)
+
+
+def _nested(body: Column, local: str) -> Column:
+    """Elements with others of their name inside, in document order: tags are matched by depth."""
+    tag = rf"(?s)(.*?)(<(?:[\w.-]+:)?{local}(?=[\s>/])[^>]*>|</(?:[\w.-]+:)?{local}\s*>)"
+    sizes = F.transform(F.regexp_extract_all(body, F.lit(tag), F.lit(1)), F.length)
+    tags = F.regexp_extract_all(body, F.lit(tag), F.lit(2))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("open"), F.array().cast("array<struct<start:int,size:int>>").alias("found"))
+
+    def step(acc: Column, x: Column) -> Column:
+        here = acc["at"] + x["before"]
+        after = here + F.length(x["tag"])
+        close, alone = F.startswith(x["tag"], F.lit("</")), F.endswith(x["tag"], F.lit("/>"))
+        last = F.try_element_at(acc["open"], F.lit(-1))
+        from_ = F.when(close, last).when(alone, here)
+        done = F.struct(from_.alias("start"), (after - from_).alias("size"))
+        opened = F.when(close, F.slice(acc["open"], F.lit(1), F.greatest(F.size(acc["open"]) - 1, F.lit(0))))
+        return F.struct(
+            after.alias("at"),
+            opened.when(alone, acc["open"]).otherwise(F.concat(acc["open"], F.array(here))).alias("open"),
+            F.when(from_.isNotNull(), F.concat(acc["found"], F.array(done))).otherwise(acc["found"]).alias("found"),
+        )
+
+    pairs = F.transform(F.arrays_zip(sizes.alias("before"), tags.alias("tag")), lambda x: F.struct(x["before"].alias("before"), x["tag"].alias("tag")))
+    found = F.aggregate(pairs, start, step, lambda acc: F.array_sort(acc["found"]))
+    return F.transform(found, lambda f: F.substring(body, f["start"], f["size"]))
+
+
 def split_elements(body: Column, selector: str) -> Column:
-    """Source text of every element the selector names, in document order."""
-    return F.regexp_extract_all(body, F.lit(element_pattern(selector)), F.lit(0))
+    """Source text of every element the selector names, in document order; one inside another counts as well."""
+    pattern = element_pattern(selector)
+    local = selector.rstrip("/").rsplit("/", 1)[-1].rsplit(":", 1)[-1]
+    open_tag = rf"<(?:[\w.-]+:)?{local}(?=[\s>/])(?![^>]*/>)"
+    inside = rf"(?s){open_tag}(?:(?!</(?:[\w.-]+:)?{local}\s*>).)*{open_tag}"
+
+    def split(text: Column) -> Column:
+        return F.when(text.rlike(inside), _nested(text, local)).otherwise(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+    return F.get(F.transform(F.array(plain_markup(body)), split), F.lit(0))

@@ -3,49 +3,47 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.lists import first_of
-from sheaf.session import settle
+
+
+def merged_values(
+    df: DataFrame, locator: str, id_column: str, order: list[str], list_columns: list[str], within: tuple[str, ...] = ()
+) -> DataFrame:
+    """The merged record in long form, one row per value: keys, ``id_column`` (the first id of the locator), ``column``,
+    the order columns, ``item`` and ``value``.
+
+    Sorted by order and item, the values of a column are its chained lists. The form is the same for a locator of
+    any size: rows stay where they are, and only the first id per locator is aggregated, by partial minima.
+    """
+    keyed = df.withColumn("locator", first_of(F.col(f"`{locator}`")))
+    keys = [*within, "locator"]
+    first = keyed.groupBy(*keys).agg(F.min_by(id_column, F.struct(*order)).alias("_first"))
+    lists = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("values")) for c in list_columns])
+    rows = keyed.select(*keys, *order, F.inline(lists)).select(*keys, *order, "column", F.posexplode("values").alias("item", "value"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    named = first.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_first").alias(id_column))
+    return rows.join(named, same).select(*keys, id_column, "column", *order, "item", "value")
 
 
 def merge_lists(
-    df: DataFrame,
-    locator: str,
-    id_column: str,
-    order: list[str],
-    list_columns: list[str],
-    max_rows: int = 10_000,
-    page_rows: int = 1,
-    within: tuple[str, ...] = (),
+    df: DataFrame, locator: str, id_column: str, order: list[str], list_columns: list[str], within: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per first locator value (and ``within`` columns, such as the collection): the first id, and every list chained in row order.
 
-    A group of more than ``max_rows`` source rows is not pulled into one task: it comes out
-    as consecutive parts, numbered by ``part`` and cut by the leading order column, of which
-    one value is shared by at most ``page_rows`` rows. Read in part order they hold the same
-    lists. Usual groups have the one part 0.
+    This is the wide view for records of a usual size: a locator becomes one row, however many rows it has. For
+    locators without a bound use ``merged_values``, which holds the same lists as rows.
     """
     keyed = df.withColumn("locator", first_of(F.col(f"`{locator}`")))
-    keys = [*within, "locator"]
-    sizes = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
-    large = settle(sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], "_n"))
-    lead = F.floor(F.col(order[0]) / F.lit(max(1, max_rows // page_rows))).cast("bigint")
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    marked = keyed.join(large, same, "left").drop(*[f"_{k}" for k in keys])
-    parted = marked.withColumn("part", F.when(F.col("_n").isNotNull(), lead).otherwise(F.lit(0).cast("bigint")))
-    # all keys by name: else the join's partitioning by locator alone would be kept, and the
-    # parts of a large group would meet in one task again
-    parted = parted.repartition(*keys, "part")
-    at = F.struct(*order)
+    keys, at = [*within, "locator"], F.struct(*order)
     lists = F.array_sort(F.collect_list(F.struct(at.alias("at"), *[F.col(f"`{c}`") for c in list_columns])))
-    grouped = parted.groupBy(*keys, "part").agg(F.min_by(id_column, at).alias(id_column), lists.alias("_rows"))
+    grouped = keyed.groupBy(*keys).agg(F.min_by(id_column, at).alias(id_column), lists.alias("_rows"))
 
     def chained(column: str):
         rows = F.filter("_rows", lambda r: r[column].isNotNull())
         return F.flatten(F.transform(rows, lambda r: r[column])).alias(column)
 
-    return grouped.select(*keys, "part", id_column, *[chained(c) for c in list_columns])
+    return grouped.select(*keys, id_column, *[chained(c) for c in list_columns])

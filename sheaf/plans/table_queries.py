@@ -10,7 +10,7 @@ from sheaf.operators.dedupe import first_per_key
 from sheaf.operators.filters import apply_filters
 from sheaf.operators.inventory import values_by_group
 from sheaf.operators.joins import join_on_id
-from sheaf.operators.merge import merge_lists
+from sheaf.operators.merge import merge_lists, merged_values
 from sheaf.operators.paging import limit_by_page, limit_records
 from sheaf.operators.records import scalar_id
 from sheaf.operators.serials import split_serials
@@ -24,13 +24,13 @@ from sheaf.spec import FieldFilter
 @query(
     "scan_csv",
     """
-    SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal::DECIMAL(18, 2) AS c_acctbal, c_mktsegment FROM customer
     """,
 )
 def scan_csv_typed(spark, sf_dir):
     path = shared_dir(spark, "customers")
-    write_csv(load(spark, sf_dir, "customer").drop("c_acctbal"), path)
-    return scan_csv(spark, path, schema="c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING")
+    write_csv(load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), path)
+    return scan_csv(spark, path, schema="c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DECIMAL(18,2), c_mktsegment STRING")
 
 
 @query(
@@ -305,14 +305,14 @@ def _language_versions(spark, sf_dir):
 
 def _merged_view(df):
     return df.select(
-        "locator", "part", "id", F.array_join("role", "|").alias("roles"), F.md5(F.array_join("text", "|")).alias("text_md5")
+        "locator", "id", F.array_join("role", "|").alias("roles"), F.md5(F.array_join("text", "|")).alias("text_md5")
     )
 
 
 @query(
     "merge_lists",
     """
-    SELECT conv_id::VARCHAR AS locator, 0::BIGINT AS part, arg_min(conv_id || '-' || turn, turn) AS id,
+    SELECT conv_id::VARCHAR AS locator, arg_min(conv_id || '-' || turn, turn) AS id,
            string_agg(role, '|' ORDER BY turn) AS roles,
            md5(string_agg(replace(text, chr(10), '|'), '|' ORDER BY turn)) AS text_md5
     FROM conversations GROUP BY conv_id
@@ -325,17 +325,23 @@ def merge_versions(spark, sf_dir):
 @query(
     "merge_lists_parted",
     """
-    WITH sized AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
-    parted AS (SELECT *, CASE WHEN n > 2 THEN turn // 2 ELSE 0 END AS part FROM sized)
-    SELECT conv_id::VARCHAR AS locator, part::BIGINT AS part, arg_min(conv_id || '-' || turn, turn) AS id,
-           string_agg(role, '|' ORDER BY turn) AS roles,
-           md5(string_agg(replace(text, chr(10), '|'), '|' ORDER BY turn)) AS text_md5
-    FROM parted GROUP BY conv_id, part
+    WITH l AS (SELECT l_returnflag AS locator, l_orderkey || '-' || l_linenumber AS id, l_orderkey, l_linenumber, l_shipmode, l_linestatus FROM lineitem),
+    f AS (SELECT locator, arg_min(id, (l_orderkey, l_linenumber)) AS id FROM l GROUP BY 1)
+    SELECT l.locator, f.id, v.c AS "column", l.l_orderkey, l.l_linenumber, v.item::INT AS item, v.value
+    FROM l JOIN f USING (locator), LATERAL (VALUES ('modes', 0, l.l_shipmode), ('modes', 1, l.l_linestatus), ('state', 0, l.l_linestatus)) v(c, item, value)
     """,
 )
-def merge_versions_parted(spark, sf_dir):
-    versions = _language_versions(spark, sf_dir)
-    return _merged_view(merge_lists(versions, "locator_list", "id", ["turn"], ["role", "text"], max_rows=2))
+def merge_large_groups(spark, sf_dir):
+    """Three locators that hold all line items: the long form, whose shape does not depend on a locator's size."""
+    versions = load(spark, sf_dir, "lineitem").select(
+        F.array("l_returnflag").alias("flags"),
+        F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("id"),
+        "l_orderkey",
+        "l_linenumber",
+        F.array("l_shipmode", "l_linestatus").alias("modes"),
+        F.array("l_linestatus").alias("state"),
+    )
+    return merged_values(versions, "flags", "id", ["l_orderkey", "l_linenumber"], ["modes", "state"])
 
 
 def serial_records(spark, sf_dir):

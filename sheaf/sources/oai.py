@@ -39,7 +39,7 @@ RECORD = (
 def oai_headers(payloads: DataFrame) -> DataFrame:
     """All listed records with their header: ``identifier, datestamp, deleted, record``."""
     pages = ok_pages(payloads).select(
-        "harvest_id", "seq", "url", F.posexplode(F.regexp_extract_all("body", F.lit(RECORD), F.lit(0))).alias("pos", "record")
+        "harvest_id", "seq", "url", F.posexplode(F.regexp_extract_all(xmlpath.plain_markup(F.col("body")), F.lit(RECORD), F.lit(0))).alias("pos", "record")
     )
     head = F.regexp_extract("record", r"(?s)(<(?:\w+:)?header\b.*?(?:/>|</(?:\w+:)?header\s*>))", 1)
 

@@ -10,7 +10,7 @@ from sheaf.operators.dedupe import first_per_key
 from sheaf.operators.filters import apply_filters
 from sheaf.operators.hooks import run_hook
 from sheaf.operators.joins import join_on_id
-from sheaf.operators.merge import merge_lists
+from sheaf.operators.merge import merge_lists, merged_values
 from sheaf.operators.records import long, scalar_id
 from sheaf.operators.serials import split_serials
 from sheaf.plans.harvest import finish, harvest_files, harvest_table
@@ -102,16 +102,17 @@ def test_merge_language_versions(spark):
     ])
     out = {r.locator: r for r in merge_lists(df, "shelf", "id", ["seq"], ["title", "subject"]).collect()}
     assert (out["X 1"].id, out["X 1"].title, out["X 1"].subject) == ("id1", ["en 1", "en 2", "ar"], ["s"])
-    assert (out["Z"].id, out["Z"].title, out["Z"].subject, out["Z"].part) == ("id3", ["t"], [], 0)
+    assert (out["Z"].id, out["Z"].title, out["Z"].subject) == ("id3", ["t"], [])
 
 
-def test_merge_of_a_large_group_comes_in_parts(spark):
-    df = merge_rows(spark, [(i, f"i{i}", ["hot"], [f"t{i}"], None) for i in range(25)] + [(99, "z", ["cold"], ["c"], None)])
-    rows = merge_lists(df, "shelf", "id", ["seq"], ["title"], max_rows=10).orderBy("part").collect()
-    hot = [r for r in rows if r.locator == "hot"]
-    assert [t for r in hot for t in r.title] == [f"t{i}" for i in range(25)]
-    assert max(len(r.title) for r in hot) <= 10 and hot[0].id == "i0"
-    assert [(r.locator, r.part, r.title) for r in rows if r.locator == "cold"] == [("cold", 0, ["c"])]
+def test_merge_of_a_large_group_has_the_usual_shape(spark):
+    df = merge_rows(spark, [(i, f"i{i}", ["hot"], [f"t{i}", "u"], None) for i in range(25)] + [(99, "z", ["cold"], ["c"], None)])
+    rows = merge_lists(df, "shelf", "id", ["seq"], ["title"]).collect()
+    wide = {r.locator: (r.id, r.title) for r in rows}
+    assert wide == {"hot": ("i0", [t for i in range(25) for t in (f"t{i}", "u")]), "cold": ("z", ["c"])}
+    long = merged_values(df, "shelf", "id", ["seq"], ["title", "subject"]).orderBy("locator", "column", "seq", "item").collect()
+    assert [(r.id, r.value) for r in long if r.locator == "hot"] == [("i0", t) for t in wide["hot"][1]]
+    assert {r.column for r in long} == {"title"}
 
 
 def test_split_serials(spark):
