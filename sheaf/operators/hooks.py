@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from sheaf.operators.enrich import add_thumbnails
 from sheaf.operators.joins import join_on_id
@@ -24,9 +25,18 @@ HOOKS: dict[str, Hook] = {
 
 
 def run_hook(df: DataFrame, spec: CollectionSpec, arguments: Mapping[str, Any] | None = None) -> DataFrame:
-    """The table after the spec's step; no step leaves it, an unknown one is an error."""
+    """The table after the spec's step; no step leaves it, an unknown one is an error.
+
+    Arguments come from the spec, the caller's win. A merge that does not name them takes the spec's id, the
+    harvest order the table has, and all its other list columns.
+    """
     if not spec.post_harvest:
         return df
     if spec.post_harvest not in HOOKS:
         raise ValueError(f"unknown post-harvest step {spec.post_harvest}")
-    return HOOKS[spec.post_harvest](df, **(arguments or {}))
+    given = {**spec.post_harvest_arguments, **(arguments or {})}
+    if spec.post_harvest == "merge_records":
+        given = {"id_column": spec.id_column, "order": [c for c in ("seq", "pos") if c in df.columns], **given}
+        listed = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+        given.setdefault("list_columns", [c for c in listed if c not in (given.get("locator"), given["id_column"])])
+    return HOOKS[spec.post_harvest](df, **given)

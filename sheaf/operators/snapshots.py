@@ -36,12 +36,12 @@ def differing_rows(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def decide_load(current: DataFrame, previous: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``key, decision``: ``skip`` an unchanged collection, ``load`` any other."""
+    """``key, n, decision``: ``skip`` an unchanged collection, ``load`` any other, ``gone`` for one that has no rows now."""
     now = digests(current, [key], columns)
     before = digests(previous, [key], columns).select(F.col(key), F.col("n").alias("_n"), F.col("digest").alias("_digest"))
     same = (F.col("n") == F.col("_n")) & (F.col("digest") == F.col("_digest"))
-    decision = F.when(F.coalesce(same, F.lit(False)), F.lit("skip")).otherwise(F.lit("load"))
-    return now.join(before, key, "left").select(key, "n", decision.alias("decision"))
+    decision = F.when(F.coalesce(same, F.lit(False)), F.lit("skip")).when(F.col("n").isNull(), F.lit("gone")).otherwise(F.lit("load"))
+    return now.join(before, key, "full").select(key, F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), decision.alias("decision"))
 
 
 def changed_only(current: DataFrame, decisions: DataFrame, key: str) -> DataFrame:

@@ -13,23 +13,26 @@ from sheaf.session import shared_dir
 from sheaf.spec import CollectionSpec, FieldFilter, FieldSpec
 from sheaf.streaming import incremental
 
-COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus"]
+COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
 
 def order_versions(spark, sf_dir):
-    """Orders of now, and of before: customers above 1000 had one status changed, some orders were missing."""
+    """Orders of now, and of before: customers above 1000 had one status changed, a customer's low orders had other prices, some were missing."""
     now = load(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("collection_id"), *COLUMNS)
     changed = (F.col("collection_id") == "2-HIGH") & (F.col("o_custkey") > 1000)
     before = now.withColumn("o_orderstatus", F.when(changed, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    cheaper = (F.col("collection_id") == "4-NOT SPECIFIED") & (F.col("o_custkey") == 7)
+    before = before.withColumn("o_totalprice", F.when(cheaper, F.col("o_totalprice") - 1).otherwise(F.col("o_totalprice")))
     gone = (F.col("collection_id") == "5-LOW") & (F.col("o_custkey") < 20)
     return now, before.where(~gone & (F.col("collection_id") != "1-URGENT"))
 
 
 _BEFORE = """
     before AS (SELECT o_orderpriority AS collection_id, o_orderkey, o_custkey,
-                      CASE WHEN o_orderpriority = '2-HIGH' AND o_custkey > 1000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+                      CASE WHEN o_orderpriority = '2-HIGH' AND o_custkey > 1000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+                      CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_custkey = 7 THEN o_totalprice - 1 ELSE o_totalprice END AS o_totalprice, o_orderdate
                FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_custkey < 20) AND o_orderpriority <> '1-URGENT'),
-    now AS (SELECT o_orderpriority AS collection_id, o_orderkey, o_custkey, o_orderstatus FROM orders)
+    now AS (SELECT o_orderpriority AS collection_id, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders)
 """
 
 
@@ -77,12 +80,12 @@ def _digest_sql(columns: list[str]) -> str:
 
 @query(
     "snapshot_digest",
-    f"SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, {_digest_sql(['o_orderkey', 'o_custkey'])} AS digest"
+    f"SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, {_digest_sql(['o_orderkey', 'o_custkey', 'o_totalprice', 'o_orderdate', 'o_orderpriority'])} AS digest"
     " FROM orders GROUP BY 1, 2",
 )
 def snapshot_digest(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
-    return snapshots.digests(orders, ["o_orderstatus", "month"], ["o_orderkey", "o_custkey"])
+    return snapshots.digests(orders, ["o_orderstatus", "month"], ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
 
 
 def daily_snapshots(spark, sf_dir):
@@ -255,6 +258,16 @@ def stream_first_seen(spark, sf_dir):
     return seen.agg(F.countDistinct("user_id").alias("users"), F.countDistinct("event_type").alias("types"))
 
 
+@query("require_rows", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 400000")
+def some_rows(spark, sf_dir):
+    large = load(spark, sf_dir, "orders").where("o_totalprice > 400000").select("o_orderkey", "o_totalprice")
+    try:
+        reconcile.require_rows(large.where("o_totalprice < 0"))
+    except ValueError:
+        return reconcile.require_rows(large)
+    raise AssertionError("an empty table was accepted")
+
+
 # --- hooks and the whole harvest ------------------------------------------
 
 @query(
@@ -269,8 +282,9 @@ def post_harvest(spark, sf_dir):
         F.array(F.col("conv_id").cast("string")).alias("shelf"), F.concat("conv_id", F.lit("-"), "turn").alias("id"), "turn",
         F.array("role").alias("role"),
     )
-    spec = CollectionSpec("talks", "custom_json", post_harvest="merge_records")
-    merged = run_hook(df, spec, {"locator": "shelf", "id_column": "id", "order": ["turn"], "list_columns": ["role"]})
+    spec = CollectionSpec.from_dict("talks", {"driver": "custom_json", "metadata": {
+        "post_harvest": "merge_records", "post_harvest_arguments": {"locator": "shelf", "order": ["turn"]}}})
+    merged = run_hook(df, spec)
     return merged.select("locator", "id", F.array_join("role", "|").alias("roles"))
 
 

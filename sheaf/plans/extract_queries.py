@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from sheaf.functions import jsonpath
@@ -11,6 +13,7 @@ from sheaf.operators.enrich import add_thumbnails
 from sheaf.operators.joins import listing_thumbnails
 from sheaf.operators.records import long, missing_fields, wide
 from sheaf.plans.catalogue import load, query
+from sheaf.plans.harvest import harvest_table
 from sheaf.session import shared_dir
 from sheaf.sources.json_pages import json_records, record_pairs
 from sheaf.sources.manifests import manifest_records, manifest_records_v3, manifest_urls, tagged_pairs, unknown_listings
@@ -453,6 +456,16 @@ def html_to_text(spark, sf_dir):
     return load(spark, sf_dir, "pages", spread=True).select("page_id", F.md5(markup_to_text(F.col("html"))).alias("text_md5"))
 
 
+@query("markup_known", "SELECT doc_id, md5(text) AS text_md5 FROM documents")
+def known_markup(spark, sf_dir):
+    """Markup made around a known text, which must come back."""
+    text = F.col("text")
+    for character, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("é", "&eacute;"), ("ü", "&#252;")):
+        text = F.replace(text, F.lit(character), F.lit(name))
+    html = F.concat(F.lit('<div title="a"><!-- <b>no</b> --><script>if (a < b) no();</script><p>'), text, F.lit("</p></div>"))
+    return load(spark, sf_dir, "documents", spread=True).select("doc_id", F.md5(markup_to_text(html)).alias("text_md5"))
+
+
 @query(
     "jsonld_thumbnail",
     """
@@ -699,3 +712,36 @@ def marc_by_index(spark, sf_dir):
     index.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("ht_bib_key")).write.options(header=True, sep="\t").csv(path)
     records = marc_records(marc_payloads(spark, sf_dir), scan_index(spark, path, "ht_bib_key", SITE + "/record/{id}"))
     return wide(records, ["001"], ["seq"])
+
+
+_ISSUES_XML = (
+    '<collection><record><leader>l</leader><controlfield tag="001">{id}</controlfield>'
+    '<datafield ind1=" " ind2=" " tag="245"><subfield code="a">{title}</subfield></datafield>{issues}</record></collection>'
+)
+
+
+@query(
+    "harvest_serials",
+    """
+    SELECT o_custkey::VARCHAR AS id, 'c' || o_custkey AS title, o_orderkey::VARCHAR AS issue, o_orderstatus AS status
+    FROM orders
+    """,
+)
+def harvest_serials(spark, sf_dir):
+    """Customers as serials with their orders as issues, split by the spec alone."""
+    issue = '<datafield ind1=" " ind2=" " tag="974"><subfield code="a">{}</subfield><subfield code="s">{}</subfield></datafield>'.split("{}")
+    parts = [F.lit(issue[0]), F.col("o_orderkey").cast("string"), F.lit(issue[1]), F.col("o_orderstatus"), F.lit(issue[2])]
+    issues = F.array_join(F.sort_array(F.collect_list(F.concat(*parts))), "").alias("issues")
+    customers = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(issues)
+    before, middle, after, end = re.split(r"\{id\}|\{title\}|\{issues\}", _ISSUES_XML)
+    name = F.col("o_custkey").cast("string")
+    body = F.concat(F.lit(before), name, F.lit(middle), F.lit("c"), name, F.lit(after), "issues", F.lit(end))
+    payloads = customers.select(
+        F.lit("h").alias("harvest_id"), F.col("o_custkey").alias("seq"), F.concat(F.lit("https://x.example.org/"), name).alias("url"),
+        F.lit(200).alias("status"), F.lit("text/xml").alias("content_type"), body.alias("body"),
+    )
+    spec = CollectionSpec.from_dict("serials", {"driver": "hathi_trust", "metadata": {
+        "fields": {"id": {"name_in_dataframe": "001"}}, "post_harvest": "split_marc_serials"}})
+    table = harvest_table(payloads, spec, ["001", "245_a", "974_a", "974_s"])
+    first = [F.get(F.col(c), F.lit(0)) for c in ("245_a", "974_a", "974_s")]
+    return table.select(F.col("001").alias("id"), first[0].alias("title"), first[1].alias("issue"), first[2].alias("status"))

@@ -13,6 +13,8 @@ from sheaf.operators.filters import apply_filters
 from sheaf.operators.hooks import run_hook
 from sheaf.operators.paging import limit_by_page
 from sheaf.operators.records import scalar_id, wide
+from sheaf.operators.serials import ISSUE_TAG
+from sheaf.sources.marc import split_issues
 from sheaf.sources.registry import read_records, read_table
 from sheaf.spec import CollectionSpec
 
@@ -26,13 +28,20 @@ def harvest_table(
     columns: list[str],
     hook_arguments: Mapping[str, Any] | None = None,
     listings: DataFrame | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Records as list columns: read, cut to the record limit, first per id in harvest order,
-    filtered, and passed through the spec's own step."""
-    records = read_records(payloads, spec, listings)
+    filtered, and passed through the spec's own step. Serials are split from the whole record,
+    as the folded fields hold one issue only."""
+    serials = spec.post_harvest == "split_marc_serials" and spec.driver == "hathi_trust"
+    records = read_records(payloads, spec, listings, index, raw=serials)
     if spec.record_limit:
         records = limit_by_page(records, spec.record_limit)
-    table = wide(records, columns, [c for c in KEYS if c in records.columns], lists=True)
+    keys = [c for c in KEYS if c in records.columns]
+    table = wide(records, columns, [*keys, "record"] if serials else keys, lists=True)
+    if serials:
+        issues = split_issues(finish(table, spec).select(*keys, "record"), ISSUE_TAG)
+        return scalar_id(wide(issues, columns, [*keys, "issue_no"], lists=True), spec.id_column)
     return run_hook(finish(table, spec), spec, hook_arguments)
 
 

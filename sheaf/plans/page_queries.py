@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import URL_PATTERN, is_url
+from sheaf.functions.text import is_url
 from sheaf.operators import paging
 from sheaf.plans.catalogue import load, query
 from sheaf.plans.pages import plan_pages
 
 BASE = "https://catalogue.example.org/item/"
-URL_SQL = URL_PATTERN.replace("'", "''")
 
 
 def user_totals(spark, sf_dir):
@@ -95,9 +94,9 @@ def page_plan_listed(spark, sf_dir):
 
 @query(
     "id_to_url",
-    f"""
+    """
     WITH ids AS (SELECT page_id, CASE WHEN starts_with(url, 'https://') THEN url ELSE url[8:] END AS id FROM pages)
-    SELECT page_id, CASE WHEN regexp_matches(id, '{URL_SQL}') THEN id
+    SELECT page_id, CASE WHEN starts_with(id, 'https://') THEN id
            ELSE 'https://catalogue.example.org/item/' || id END AS record_url
     FROM ids
     """,
@@ -110,13 +109,20 @@ def id_to_url(spark, sf_dir):
 
 @query(
     "url_valid",
-    f"""
-    SELECT page_id, regexp_matches(url, '{URL_SQL}') AS valid, regexp_matches(url[8:], '{URL_SQL}') AS bare_valid FROM pages
+    """
+    SELECT page_id, true AS valid, false AS bare_valid, page_id % 300 <= 255 AS octet_valid,
+           page_id * 7919 % 80000 <= 65535 AS port_valid, page_id % 8 < 7 AS groups_valid FROM pages
     """,
 )
 def url_valid(spark, sf_dir):
     bare = F.substring(F.col("url"), F.lit(8), F.length("url"))
-    return load(spark, sf_dir, "pages").select("page_id", is_url(F.col("url")).alias("valid"), is_url(bare).alias("bare_valid"))
+    n = F.col("page_id")
+    octet = F.concat(F.lit("http://"), (n % 300).cast("string"), F.lit(".1.2.3/x"))
+    port = F.concat(F.lit("https://h.example.org:"), (n * 7919 % 80000).cast("string"), F.lit("/"))
+    # 1 to 8 groups before a run of zeros, of which 7 is the most
+    groups = F.concat(F.lit("http://["), F.repeat(F.lit("a:"), (n % 8).cast("int") + 1), F.lit(":]/"))
+    checks = {"valid": F.col("url"), "bare_valid": bare, "octet_valid": octet, "port_valid": port, "groups_valid": groups}
+    return load(spark, sf_dir, "pages").select("page_id", *[is_url(c).alias(name) for name, c in checks.items()])
 
 
 def listing_pages(spark, sf_dir):

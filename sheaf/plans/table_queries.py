@@ -325,10 +325,10 @@ def merge_versions(spark, sf_dir):
 @query(
     "merge_lists_parted",
     """
-    WITH l AS (SELECT l_returnflag AS locator, l_orderkey || '-' || l_linenumber AS id, l_orderkey, l_linenumber, l_shipmode, l_linestatus FROM lineitem),
+    WITH l AS (SELECT l_returnflag AS locator, l_orderkey || '-' || l_linenumber AS id, l_orderkey, l_linenumber, l_partkey::VARCHAR AS part, l_linestatus FROM lineitem),
     f AS (SELECT locator, arg_min(id, (l_orderkey, l_linenumber)) AS id FROM l GROUP BY 1)
     SELECT l.locator, f.id, v.c AS "column", l.l_orderkey, l.l_linenumber, v.item::INT AS item, v.value
-    FROM l JOIN f USING (locator), LATERAL (VALUES ('modes', 0, l.l_shipmode), ('modes', 1, l.l_linestatus), ('state', 0, l.l_linestatus)) v(c, item, value)
+    FROM l JOIN f USING (locator), LATERAL (VALUES ('parts', 0, l.part), ('parts', 1, l.l_linestatus), ('state', 0, l.l_linestatus)) v(c, item, value)
     """,
 )
 def merge_large_groups(spark, sf_dir):
@@ -338,10 +338,10 @@ def merge_large_groups(spark, sf_dir):
         F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("id"),
         "l_orderkey",
         "l_linenumber",
-        F.array("l_shipmode", "l_linestatus").alias("modes"),
+        F.array(F.col("l_partkey").cast("string"), "l_linestatus").alias("parts"),
         F.array("l_linestatus").alias("state"),
     )
-    return merged_values(versions, "flags", "id", ["l_orderkey", "l_linenumber"], ["modes", "state"])
+    return merged_values(versions, "flags", "id", ["l_orderkey", "l_linenumber"], ["parts", "state"])
 
 
 def serial_records(spark, sf_dir):

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -42,6 +45,14 @@ def build_session(app: str = "sheaf", master: str | None = None, shuffle_partiti
     return spark
 
 
+@functools.cache
+def _own_dir() -> str:
+    """One scratch folder per process for local masters, gone with the process."""
+    path = tempfile.mkdtemp(prefix="sheaf-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``.
 
@@ -52,7 +63,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="sheaf-")
+        base = _own_dir()
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 

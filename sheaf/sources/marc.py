@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions.lists import PAIRS, merge_pairs, override
-from sheaf.functions.xmlpath import element_pattern
+from sheaf.functions.xmlpath import element_pattern, plain_markup
 from sheaf.sources.payloads import ok_pages
 from sheaf.sources.tabular import scan_csv
 
@@ -51,15 +51,34 @@ def marc_pairs(record: Column, keep: str = "last") -> Column:
     return override(keyed, tags)
 
 
-def marc_records(payloads: DataFrame, index: DataFrame | None = None, keep: str = "last") -> DataFrame:
-    """First MARC record of each landed document as ``leader`` and ``fields``; ``index`` keeps its addresses only."""
+def _parsed(payloads: DataFrame, index: DataFrame | None) -> DataFrame:
     docs = ok_pages(payloads)
     if index is not None:
         docs = docs.join(index.select("url"), "url", "left_semi")
-    first = F.regexp_extract("body", element_pattern("record"), 0)
-    parsed = docs.select(
-        "harvest_id", "seq", "url", F.from_xml(first, MARC_XML, OPTIONS).alias("record")
-    )
-    return parsed.select(
-        "harvest_id", "seq", F.lit(0).cast("bigint").alias("pos"), "url", F.col("record.leader").alias("leader"), marc_pairs(F.col("record"), keep).alias("fields")
-    )
+    first = F.regexp_extract(plain_markup(F.col("body")), element_pattern("record"), 0)
+    zero = F.lit(0).cast("bigint").alias("pos")
+    return docs.select("harvest_id", "seq", zero, "url", F.from_xml(first, MARC_XML, OPTIONS).alias("record"))
+
+
+def marc_records(payloads: DataFrame, index: DataFrame | None = None, keep: str = "last", raw: bool = False) -> DataFrame:
+    """First MARC record of each landed document as ``leader`` and ``fields``; ``index`` keeps its addresses only.
+
+    ``raw`` adds ``record``, all fields in their order, for steps that need repeated ones.
+    """
+    more = ["record"] if raw else []
+    fields = marc_pairs(F.col("record"), keep).alias("fields")
+    return _parsed(payloads, index).select("harvest_id", "seq", "pos", "url", F.col("record.leader").alias("leader"), fields, *more)
+
+
+def split_issues(records: DataFrame, tag: str, keep: str = "last") -> DataFrame:
+    """One row per data field ``tag`` of ``record``: ``issue_no`` and the ``fields`` of the record with that one alone.
+
+    A record without such a field gives no row.
+    """
+    data = F.col("record.datafield")
+    issue = F.filter(data, lambda f: F.coalesce(f["_tag"] == tag, F.lit(False)))
+    others = F.filter(data, lambda f: F.coalesce(f["_tag"] != tag, F.lit(True)))
+    rest = [c for c in records.columns if c != "record"]
+    rows = records.select(*[F.col(f"`{c}`") for c in rest], F.col("record.controlfield").alias("_c"), others.alias("_o"), F.posexplode(issue).alias("issue_no", "_i"))
+    one = F.struct(F.col("_c").alias("controlfield"), F.concat("_o", F.array("_i")).alias("datafield"))
+    return rows.select(*[F.col(f"`{c}`") for c in rest], "issue_no", marc_pairs(one, keep).alias("fields"))

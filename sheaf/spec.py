@@ -39,6 +39,8 @@ class CollectionSpec:
     record_limit: int | None = None
     full_harvest: bool = False
     paths: tuple[str, ...] = ()
+    dtypes: Mapping[str, str] = field(default_factory=dict)
+    post_harvest_arguments: Mapping[str, Any] = field(default_factory=dict)
 
     @property
     def id_column(self) -> str:
@@ -78,4 +80,6 @@ class CollectionSpec:
             record_count_formula=meta.get("record_count_formula"),
             record_limit=meta.get("record_limit"),
             full_harvest=strict_bool(args.get("full_harvest")),
+            dtypes=dict((args.get("csv_kwargs") or {}).get("dtype") or {}),
+            post_harvest_arguments=dict(meta.get("post_harvest_arguments") or {}),
         )

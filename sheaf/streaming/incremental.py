@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sheaf.operators.dedupe import first_per_key
 from sheaf.operators.records import scalar_id, wide
+from sheaf.session import settle
 from sheaf.sources.registry import read_records
 from sheaf.spec import CollectionSpec
 
@@ -24,7 +25,7 @@ def changed_since(records: DataFrame, datestamp: Column, spec: CollectionSpec, l
 def changed_since_state(records: DataFrame, state: DataFrame, datestamp: str = "datestamp") -> DataFrame:
     """The same for all collections; ``state`` has one row each: ``collection_id, last_start, full_harvest``."""
     every = F.coalesce("full_harvest", F.lit(False)) | F.col("last_start").isNull()
-    joined = records.join(state, "collection_id", "left")
+    joined = records.join(settle(state), "collection_id", "left")  # of known size, so no record moves for a small one
     return joined.where(every | (F.col(datestamp) >= F.to_date("last_start"))).drop("last_start", "full_harvest")
 
 
