@@ -58,8 +58,8 @@ def tile_search(queries: tuple, query_ids: np.ndarray, cell: tuple, ids: np.ndar
     for i, heap in enumerate(heaps):
         least = max(floor[i], heap[0][0]) if len(heap) == k else floor[i]
         near = np.flatnonzero((high[i] >= least) & ~own[i])
-        # a sum in one fixed order, so that equal vectors score equal wherever they stand
-        scores = (y[near] * x[i]).sum(axis=1)
+        # summed from the first component to the last, so that equal vectors score equal wherever they stand
+        scores = np.add.accumulate(y[near] * x[i], axis=1)[:, -1] if len(near) else np.zeros(0)
         if len(near) > k:  # of equal scores the smallest ids stay
             best = np.lexsort((ids[near], -scores))[:k]
             near, scores = near[best], scores[best]

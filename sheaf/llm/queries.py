@@ -183,3 +183,40 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = docs.select("doc_id", "text", "lang", split.alias("split")).join(shingle_join.of_small(settle(good)), "doc_id", "left")
     rated = quality.perplexities(marked, F.col("good"), F.col("split"), keep=("lang",))
     return quality.classify(settle(rated)).select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
+_USABLE = "len(embedding) > 0 AND NOT list_has_any([x IS NULL OR isnan(x) OR isinf(x) FOR x IN embedding], [true]) AND list_has_any([x <> 0 FOR x IN embedding], [true])"
+
+ORACLES["op1_nearest"] = f"""
+WITH v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND {_USABLE}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, row_number() OVER w::INT AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+"""
+
+# Components: every node starts as its own class and takes the least class it is linked with until nothing changes.
+_REACHED = """
+reached AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a),
+least AS (SELECT node, min(other) AS other FROM reached GROUP BY node)
+"""
+
+ORACLES["op2_embed_dedup"] = f"""
+WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_USABLE}),
+links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+      WHERE list_cosine_similarity(x.e, y.e) >= 0.98), {_REACHED}
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, least(vec_id, other) AS component_id, least(vec_id, other) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON node = vec_id
+"""
+
+ORACLES["op5_shingle_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)] END) AS shingle FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 90 * (na.n + nb.n - k)), {_REACHED}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, other) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least ON node = d.doc_id
+"""

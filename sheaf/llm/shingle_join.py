@@ -28,7 +28,7 @@ class WordHashes(dict):
     """Hashes of words seen, forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
