@@ -13,5 +13,12 @@ def first_per_key(df: DataFrame, keys: list[str | Column], order: list[str | Col
     Spark turns the rank test into a group limit that runs before the shuffle as well, so
     each task sends at most one row per key and a hot key stays small.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    # text keys by their digest: tasks sort and compare 32 bytes, however long a text is
+    kinds = df.select(*keys).dtypes
+    short = [F.unhex(F.sha2(_column(k), 256)) if kind == "string" else _column(k) for k, (_, kind) in zip(keys, kinds)]
+    rank = F.row_number().over(Window.partitionBy(*short).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
+def _column(key: str | Column) -> Column:
+    return F.col(key) if isinstance(key, str) else key

@@ -13,7 +13,7 @@ from sheaf.operators.enrich import add_thumbnails
 from sheaf.operators.joins import listing_thumbnails
 from sheaf.operators.records import long, missing_fields, wide
 from sheaf.plans.catalogue import load, query
-from sheaf.plans.harvest import harvest_table
+from sheaf.plans.harvest import harvest_many, harvest_table
 from sheaf.session import shared_dir
 from sheaf.sources.json_pages import json_records, record_pairs
 from sheaf.sources.manifests import manifest_records, manifest_records_v3, manifest_urls, tagged_pairs, unknown_listings
@@ -745,3 +745,41 @@ def harvest_serials(spark, sf_dir):
     table = harvest_table(payloads, spec, ["001", "245_a", "974_a", "974_s"])
     first = [F.get(F.col(c), F.lit(0)) for c in ("245_a", "974_a", "974_s")]
     return table.select(F.col("001").alias("id"), first[0].alias("title"), first[1].alias("issue"), first[2].alias("status"))
+
+
+MANY = [
+    CollectionSpec.from_dict("orders", {"driver": "custom_json", "args": {"record_selector": "content.results"}, "metadata": {
+        "fields": {"id": {"path": "id"}, "title": {"path": "parts[0].name"}}}}),
+    CollectionSpec.from_dict("customers", {"driver": "custom_json", "args": {"record_selector": "items"}, "metadata": {
+        "fields": {"id": {"path": "key"}, "title": {"path": "label"}}}}),
+    CollectionSpec.from_dict("parts", {"driver": "hathi_trust", "metadata": {"fields": {"id": {"name_in_dataframe": "001"}}}}),
+]
+
+
+def many_payloads(spark, sf_dir):
+    """Landed pages of three collections, written as one table partitioned by collection."""
+    customer = F.to_json(F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("label")))
+    tables = {
+        "orders": order_pages(spark, sf_dir),
+        "customers": paged(load(spark, sf_dir, "customer"), 100, "c_custkey", customer, '{"items":[', "]}"),
+        "parts": marc_payloads(spark, sf_dir),
+    }
+    path = shared_dir(spark, "collections")
+    for name, table in tables.items():
+        table.write.parquet(f"{path}/collection_id={name}")
+    return spark.read.parquet(path)
+
+
+@query(
+    "harvest_collections",
+    f"""
+    WITH pages AS ({_PAGE_STATUS})
+    SELECT 'orders' AS collection_id, o_orderkey::VARCHAR AS record_id, o_orderpriority AS title
+    FROM orders JOIN pages ON seq = o_orderkey // 50 WHERE NOT failed
+    UNION ALL SELECT 'customers', c_custkey::VARCHAR, c_name FROM customer
+    UNION ALL SELECT 'parts', '00' || p_partkey, '-' FROM part
+    """,
+)
+def harvest_collections(spark, sf_dir):
+    table = harvest_many(many_payloads(spark, sf_dir), MANY, ["title"])
+    return table.select("collection_id", "record_id", F.coalesce(F.get(F.col("title"), F.lit(0)), F.lit("-")).alias("title"))

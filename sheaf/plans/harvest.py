@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,26 @@ def harvest_table(
     return run_hook(finish(table, spec), spec, hook_arguments)
 
 
+def harvest_many(
+    payloads: DataFrame, specs: Sequence[CollectionSpec], columns: list[str], listings: DataFrame | None = None
+) -> DataFrame:
+    """Many collections in one plan: ``collection_id``, the declared id as ``record_id`` and the list columns.
+
+    ``payloads`` is partitioned by ``collection_id``; the predicate of a spec reaches the scan, so each reads its
+    own partition and all run in one job.
+    """
+
+    def one(spec: CollectionSpec) -> DataFrame:
+        own = lambda df: df.where(F.col("collection_id") == spec.collection_id).drop("collection_id") if df is not None else None
+        wanted = list(dict.fromkeys([spec.id_column, *columns]))
+        table = harvest_table(own(payloads), spec, wanted, listings=own(listings) if listings is not None else None)
+        record_id = F.col(f"`{spec.id_column}`").cast("string").alias("record_id")
+        shown = [F.col(f"`{c}`") if c != spec.id_column else F.array(F.col(f"`{c}`")).alias(c) for c in columns]
+        return table.select(F.lit(spec.collection_id).alias("collection_id"), record_id, *shown)
+
+    return reduce(DataFrame.unionByName, [one(s) for s in specs])
+
+
 def harvest_files(spark: SparkSession, spec: CollectionSpec) -> DataFrame:
     """The same for the table files of a CSV spec."""
     table = read_table(spark, spec)

@@ -80,3 +80,32 @@ def test_oai_page_with_comment_and_cdata(spark, payloads):
 )
 def test_addresses(spark, url, valid):
     assert one(spark, is_url(F.col("u")), u=url) is valid
+
+
+def test_collections_read_their_own_partitions(spark):
+    from sheaf.plans.extract_queries import MANY, many_payloads
+    from sheaf.plans.harvest import harvest_many
+
+    table = harvest_many(many_payloads(spark, "/root/testdata/sf0.001"), MANY, ["title"])
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    for spec in MANY:
+        assert "(collection_id#" in plan and f" = {spec.collection_id})" in plan.split("PartitionFilters", 1)[1]
+
+
+def test_declared_types_of_a_table(spark, tmp_path):
+    from sheaf.sources.registry import read_table
+    from sheaf.spec import CollectionSpec
+
+    (tmp_path / "a.csv").write_text("n,x,t\n007,1.5,007\n")
+    args = {"urlpath": str(tmp_path / "a.csv"), "csv_kwargs": {"dtype": {"n": "int64", "x": "float64", "t": "object"}}}
+    row = read_table(spark, CollectionSpec.from_dict("c", {"driver": "csv", "args": args})).first()
+    assert (row.n, row.x, row.t) == (7, 1.5, "007")
+    with pytest.raises(ValueError):
+        read_table(spark, CollectionSpec.from_dict("c", {"driver": "csv", "args": {**args, "csv_kwargs": {"dtype": {"n": "complex"}}}}))
+
+
+def test_vanished_collection_is_reported(spark):
+    from sheaf.operators.snapshots import decide_load
+
+    now, before = (spark.createDataFrame(rows, "c string, v int") for rows in ([("a", 1), ("b", 1)], [("a", 1), ("b", 2), ("z", 1)]))
+    assert {tuple(r) for r in decide_load(now, before, "c", ["v"]).collect()} == {("a", 1, "skip"), ("b", 1, "load"), ("z", 0, "gone")}
