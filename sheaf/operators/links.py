@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +15,11 @@ from sheaf.operators.report import whole_percent
 SAMPLE_TIERS = ((5000, 250), (100, 50))
 GOOD_SIDE = 400
 
+# Sentences of the report.
+UNRESOLVED = ("Identifier ", " from ", ": ")
+NO_THUMBNAILS = "No thumbnail images were resolvable."
+THUMBNAIL_SHARE = ("% of the ", " thumbnail images sampled had a width or height of {} or greater.")
+
 
 def record_links(lines: DataFrame) -> DataFrame:
     """``collection_id, id, kind, url`` of every record: its resource, and its preview if it has one."""
@@ -42,21 +49,23 @@ def check_links(links: DataFrame, probes: DataFrame) -> DataFrame:
 
 def unresolvable(checked: DataFrame) -> DataFrame:
     """Report lines of links that did not resolve."""
-    message = F.concat(F.lit("Identifier "), "id", F.lit(" from "), "collection_id", F.lit(": "), F.coalesce("url", F.lit("None")))
+    message = F.concat(F.lit(UNRESOLVED[0]), "id", F.lit(UNRESOLVED[1]), "collection_id", F.lit(UNRESOLVED[2]), F.coalesce("url", F.lit("None")))
     return checked.where(~F.col("resolved")).select("collection_id", "id", "kind", message.alias("message"))
 
 
-def thumbnail_sample(thumbnails: DataFrame) -> DataFrame:
-    """Per collection all addresses, or 50 above 100, or 250 above 5000, in hash order.
+def thumbnail_sample(thumbnails: DataFrame, tiers: Sequence[tuple[int, int]] = SAMPLE_TIERS) -> DataFrame:
+    """Per collection all addresses, or as many as the highest tier says whose bound is exceeded, in hash order.
 
     The rank is limited before the shuffle; counts are partial sums.
     """
-    most = max(size for _, size in SAMPLE_TIERS)
+    if not tiers:
+        raise ValueError("a sample needs a tier")
+    most = max(min(bound for bound, _ in tiers), *[size for _, size in tiers])
     by_hash = Window.partitionBy("collection_id").orderBy(F.md5("url"), "id")
     ranked = thumbnails.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most)
     counts = thumbnails.groupBy("collection_id").agg(F.count("*").alias("available"))
     size = F.col("available")
-    for bound, sample in sorted(SAMPLE_TIERS):
+    for bound, sample in sorted(tiers):
         size = F.when(F.col("available") > bound, F.lit(sample)).otherwise(size)
     return ranked.join(counts, "collection_id").where(F.col("rank") <= size)
 
@@ -67,8 +76,7 @@ def thumbnail_quality(sizes: DataFrame) -> DataFrame:
     n = F.count("width")
     grouped = sizes.groupBy("collection_id").agg(n.alias("sampled"), F.coalesce(good, F.lit(0)).alias("good"))
     percent = whole_percent(F.col("good"), F.greatest("sampled", F.lit(1)))
-    text = F.when(F.col("sampled") == 0, F.lit("No thumbnail images were resolvable.")).otherwise(
-        F.concat(percent.cast("string"), F.lit("% of the "), F.col("sampled").cast("string"),
-                 F.lit(f" thumbnail images sampled had a width or height of {GOOD_SIDE} or greater."))
+    text = F.when(F.col("sampled") == 0, F.lit(NO_THUMBNAILS)).otherwise(
+        F.concat(percent.cast("string"), F.lit(THUMBNAIL_SHARE[0]), F.col("sampled").cast("string"), F.lit(THUMBNAIL_SHARE[1].format(GOOD_SIDE)))
     )
     return grouped.withColumn("message", text)

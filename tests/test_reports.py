@@ -257,3 +257,10 @@ def test_stream_keeps_the_newest_version(spark, tmp_path):
     run()
     got = {(r.id, r.v) for r in incremental.current_records(spark, str(tmp_path / "log"), ["id"]).collect()}
     assert got == {("a", "newer"), ("b", "b1"), ("c", "c1")}
+
+
+def test_sample_tiers_are_an_argument(spark):
+    df = spark.range(30).selectExpr("'c' as collection_id", "cast(id as string) as id", "concat('https://x.example.org/', id) as url")
+    assert [links.thumbnail_sample(df, tiers).count() for tiers in ([(20, 3)], [(40, 3)], [(10, 5), (25, 7)])] == [3, 30, 7]
+    with pytest.raises(ValueError):
+        links.thumbnail_sample(df, [])
