@@ -113,11 +113,12 @@ def shard_groups(docs: DataFrame, group: Column, size: Column, order: list[str],
     driver is at most ``2 * bundles`` numbers at any input size, and a shard is off by about the smallest items.
     A group above an even share makes its shard that much larger, as groups are indivisible.
     Slots count 0, 1, 2, … in each shard. Null groups are one group. An empty table gives an empty result.
-    Columns named ``size``, ``shard``, ``slot`` or with a leading underscore are replaced.
+    Columns named ``size``, ``shard`` or ``slot`` are replaced, and those with a leading underscore are left out.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
     rows = docs.withColumns({"size": size.cast("long"), "_group": group})
+    rows = rows.drop("shard", "slot", *[c for c in docs.columns if c.startswith("_") and c not in (*order, "_group")])
     groups = settle(rows.groupBy("_group").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")))
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     alone = F.col("bytes") * bundles >= total

@@ -51,6 +51,8 @@ def test_shards_keep_groups_and_number_slots(docs, nothing):
         slots[r["shard"]].append(r["slot"])
     assert all(len(s) == 1 for s in where.values()) and set(slots) <= {0, 1, 2}
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    again = sharding.shard_groups(docs.withColumn("shard", F.lit(9)).withColumn("slot", F.lit("x")), F.col("text"), size, ["doc_id"], shards=3)
+    assert {r["shard"] for r in again.collect()} <= {0, 1, 2} and "a.b" in again.columns and "_cut" not in again.columns
     assert sharding.shard_groups(nothing, F.col("text"), size, ["doc_id"], shards=3).count() == 0
 
 
