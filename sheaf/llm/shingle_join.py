@@ -22,6 +22,7 @@ BITS = 48  # of a token on its way
 SHORT, LONG = 288, 259  # sets up to SHORT are joined by all tokens, sets from LONG on by every fourth; 0.9 * SHORT <= LONG + 1
 PER_BUCKET = 1_000_000
 BLOCK = 64  # sets that are compared with as many others at once
+AT_ONCE = 4_000_000  # tokens that a task holds to add them up
 
 
 class WordHashes(dict):
@@ -59,6 +60,11 @@ def from_bytes(body: bytes) -> np.ndarray:
     return np.frombuffer(body, "<u4", n).astype(np.uint64) | (np.frombuffer(body, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32))
 
 
+def bands(n: int) -> list[int]:
+    """The joins a set of n tokens takes part in: 0 by all tokens, 1 by every fourth."""
+    return [0] * (n <= SHORT) + [1] * (n >= LONG)
+
+
 def lacking(n, num: int, den: int):
     """Prefix length: a set of n tokens shares one of any so many with every set it is linked with."""
     return n + (-num * n // den) + 1
@@ -143,9 +149,10 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
     integers. Other columns are ignored; an empty table gives no rows. Shingles are compared by 48 bits of a 64-bit hash.
 
     1. Sets are made in one pass. Rows of equal sets are one node, the least key.
-    2. First order: rare tokens first. Sets send their tokens, packed, to buckets of the hash space, which count in
-       how many sets each is and tell the sets which of their tokens others share. A set whose prefix holds only
-       tokens of its own is linked with nothing. Long sets send every fourth token: any choice that depends on the
+    2. First order: rare tokens first. A task adds up in how many of its sets a token is and sends that, packed, to
+       buckets of the hash space, which tell each part of the table which of its tokens are shared and by how many
+       sets. So a token costs a bucket one number per part, however many sets hold it. A set whose prefix holds
+       only tokens of its own is linked with nothing. Long sets send every fourth token: any choice that depends on the
        token alone is a global order, in which the chosen ones come first. A long set with too few of them, which
        hardly happens, is compared with all sets of about its size.
     3. Sets that share a prefix token go to the bucket of the token's least set. A large bucket is cut into blocks
@@ -187,68 +194,81 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
     kept = real.join(of_small(nodes.select("part", "at")), ["part", "at"], "left_semi")
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part, at, n, low = (batch.column(i) for i in range(4))
-            held: dict[int, list] = {}
-            for p, i, size, body in zip(part.to_pylist(), at.to_pylist(), n.to_pylist(), low):
-                tokens = from_bytes(body.as_py())
-                if size <= SHORT:
-                    held.setdefault((p, 0), []).append((i, tokens))
-                if size >= LONG:
-                    held.setdefault((p, 1), []).append((i, tokens[: np.searchsorted(tokens, np.uint64(1 << (BITS - 2)))]))
+        held: dict[tuple[int, int], list[np.ndarray]] = {}
+        waiting = 0
+
+        def added_up() -> pa.RecordBatch:
             out = []
             for (p, band), sets in held.items():
-                tokens = np.concatenate([t for _, t in sets])
-                owner = np.repeat(np.array([i for i, _ in sets], "<u4"), [len(t) for _, t in sets])
+                tokens, times = np.unique(np.concatenate(sets), return_counts=True)
                 where = (tokens >> np.uint64(BITS - 32 - 2 * band)) * np.uint64(buckets) >> np.uint64(32)
-                out += [(2 * b + band, p, to_bytes(t), o.tobytes()) for b, t, o in in_buckets(where, tokens, owner)]
-            yield pa.RecordBatch.from_pylist([dict(zip(("bucket", "part", "tokens", "owners"), r)) for r in out], schema=POSTED)
+                out += [(2 * b + band, p, to_bytes(t), c.astype("<u4").tobytes()) for b, t, c in in_buckets(where, tokens, times)]
+            return pa.RecordBatch.from_pylist([dict(zip(POSTED.names, r)) for r in out], schema=POSTED)
 
-    POSTED = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary())])
-    sent = kept.select("part", "at", "n", "low").mapInArrow(post, "bucket int, part int, tokens binary, owners binary")
+        for batch in batches:
+            part, n, chosen, low = (batch.column(i) for i in range(4))
+            for p, size, some, body in zip(part.to_pylist(), n.to_pylist(), chosen.to_pylist(), low):
+                tokens = from_bytes(body.as_py())
+                for band in bands(size):
+                    held.setdefault((p, band), []).append(tokens[:some] if band else tokens)
+                    waiting += len(held[p, band][-1])
+                if waiting > AT_ONCE:
+                    yield added_up()
+                    held.clear()
+                    waiting = 0
+        if held:
+            yield added_up()
+
+    POSTED = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("tokens", pa.binary()), ("sets", pa.binary())])
+    sent = kept.select("part", "n", "chosen", "low").mapInArrow(post, "bucket int, part int, tokens binary, sets binary")
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         tokens = np.concatenate([from_bytes(t) for t in rows["tokens"]])
-        owners = np.concatenate([np.frombuffer(o, "<u4") for o in rows["owners"]])
-        parts = np.repeat(rows["part"].to_numpy(), [len(o) // 4 for o in rows["owners"]])
-        _, at, sets = np.unique(tokens, return_inverse=True, return_counts=True)
-        sets = sets[at]
+        times = np.concatenate([np.frombuffer(s, "<u4") for s in rows["sets"]])
+        parts = np.repeat(rows["part"].to_numpy(), [len(s) // 4 for s in rows["sets"]])
+        _, at = np.unique(tokens, return_inverse=True)
+        sets = np.minimum(np.bincount(at, times), 2**32 - 1)[at]
         shared = sets > 1
         band = int(rows["bucket"].iloc[0]) % 2
-        out = [
-            (part, band, to_bytes(t), o.tobytes(), s.astype("<u4").tobytes())
-            for part, t, o, s in in_buckets(parts[shared], tokens[shared], owners[shared], sets[shared])
-        ]
-        return pd.DataFrame(out, columns=["part", "band", "tokens", "owners", "sets"])
+        out = [(part, band, to_bytes(t), s.astype("<u4").tobytes()) for part, t, s in in_buckets(parts[shared], tokens[shared], sets[shared])]
+        return pd.DataFrame(out, columns=["part", "band", "tokens", "sets"])
 
-    told = sent.groupBy("bucket").applyInPandas(count, "part int, band int, tokens binary, owners binary, sets binary")
+    told = sent.groupBy("bucket").applyInPandas(count, "part int, band int, tokens binary, sets binary")
 
     def prefix(rows: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"token": [], "id": [], "n": []}).astype("int64")]
-        members = members.sort_values("at")
-        at, ids, n, chosen = (members[c].to_numpy() for c in ("at", "id", "n", "chosen"))
+        ids, n, chosen, low = (members[c].to_numpy() for c in ("id", "n", "chosen", "low"))
         for band in (0, 1):
-            own = (n <= SHORT) if band == 0 else (n >= LONG)
+            own = np.array([band in bands(size) for size in n.tolist()], bool)
             posted = n if band == 0 else chosen
-            few = own & (posted < lacking(n, *hundred))
+            need = lacking(n, *hundred)
+            few = own & (posted < need)
             out.append(pd.DataFrame({"token": np.full(few.sum(), -1), "id": ids[few], "n": n[few]}))
             some = rows[rows["band"] == band]
             if some.empty:
                 continue
-            tokens = np.concatenate([from_bytes(t) for t in some["tokens"]])
-            place = np.searchsorted(at, np.concatenate([np.frombuffer(o, "<u4") for o in some["owners"]]))
-            sets = np.concatenate([np.frombuffer(s, "<u4") for s in some["sets"]])
-            order = np.lexsort((tokens, sets, place))
-            place, tokens = place[order], tokens[order]
-            begin = np.searchsorted(place, np.arange(len(at)))
-            shared = np.searchsorted(place, np.arange(len(at)), side="right") - begin
-            need = lacking(n, *hundred) - (posted - shared)
-            first = np.arange(len(place)) - begin[place] < need[place]
-            tokens, place = tokens[first], place[first]
-            out.append(pd.DataFrame({"token": tokens.astype(np.int64) | (band << BITS), "id": ids[place], "n": n[place]}))
+            known, at = np.unique(np.concatenate([from_bytes(t) for t in some["tokens"]]), return_index=True)
+            sets = np.concatenate([np.frombuffer(s, "<u4") for s in some["sets"]])[at]
+            mine = np.flatnonzero(own)
+            steps = np.cumsum(posted[mine]) // AT_ONCE
+            for step in np.unique(steps):
+                these = mine[steps == step]
+                tokens = np.concatenate([from_bytes(low[i])[: posted[i]] for i in these])
+                place = np.repeat(np.arange(len(these)), posted[these])
+                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                there = known[at] == tokens
+                tokens, place, times = tokens[there], place[there], sets[at[there]]
+                order = np.lexsort((tokens, times, place))
+                tokens, place = tokens[order], place[order]
+                begin = np.searchsorted(place, np.arange(len(these)))
+                shared = np.searchsorted(place, np.arange(len(these)), side="right") - begin
+                most = need[these] - (posted[these] - shared)
+                first = np.arange(len(place)) - begin[place] < most[place]
+                tokens, own_row = tokens[first], these[place[first]]
+                out.append(pd.DataFrame({"token": tokens.astype(np.int64) | (band << BITS), "id": ids[own_row], "n": n[own_row]}))
         return pd.concat(out)
 
-    members = nodes.select("part", "at", "id", "n", "chosen").groupBy("part")
+    members = kept.select("part", "id", "n", "chosen", "low").groupBy("part")
     prefixes = settle(told.groupBy("part").cogroup(members).applyInPandas(prefix, "token long, id long, n long"))
     marked = prefixes.where("token >= 0")
     rare = prefixes.where("token < 0").select("id", "n").distinct()
