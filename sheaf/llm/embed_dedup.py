@@ -56,7 +56,8 @@ def near_vectors(
     with one flip miss in about 1 of 200 cases, and far less above. The rotation is learned from the ``sample_rows`` usable
     rows whose keys have the least hashes; all rows are coded.
 
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do rows with a
+    Equal vectors of one label are compared as one and counted as many, so a group of exact copies of any size makes
+    no pairs. Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do rows with a
     null key or label, nor vectors of different lengths. They keep a row with no links and themselves as component. Rows
     of one key count as one vector if they are equal; a key with several vectors is one row per vector, linked through
     each. An empty table gives no rows. Other columns are ignored.
@@ -66,7 +67,18 @@ def near_vectors(
     bits, spark = tables * bits_each, vectors.sparkSession
     rows = vectors.select(col(key).alias("id"), col(label).alias("label"), col(vector).cast("array<double>").alias("vec"))
     rows = settle(rows)
-    clean = rows.where(usable(F.col("vec")) & F.col("id").isNotNull() & F.col("label").isNotNull()).distinct()
+    usable_rows = rows.where(usable(F.col("vec")) & F.col("id").isNotNull() & F.col("label").isNotNull())
+    # exact copies are told by a digest of 128 bits; keys with several vectors stand for themselves
+    digest = [F.xxhash64(F.lit(seed), F.col("vec")).alias(name) for seed, name in ((1, "_high"), (2, "_low"))]
+    row = F.struct(F.col("label"), *digest)
+    many = usable_rows.groupBy("id").agg(F.min(row).alias("least"), F.max(row).alias("most"))
+    many = settle(many.where(~F.col("least").eqNullSafe(F.col("most"))).select("id"))
+    alone = usable_rows.join(many, "id", "left_anti").select("id", "label", *digest).distinct()
+    same = ["label", "_high", "_low"]
+    copies = settle(alone.groupBy(*same).agg(F.min("id").alias("unit"), F.count("*").alias("copies")))
+    units = settle(copies.select("unit", "copies"))
+    member = settle(alone.join(copies.where("copies > 1"), same).where("id <> unit").select("id", "unit"))
+    clean = settle(usable_rows.join(member, "id", "left_anti").distinct())  # one row per unit
     sizes = clean.groupBy(F.size("vec").alias("dim")).count().collect()  # one row per vector length
     found = None
     for dim in sorted(r["dim"] for r in sizes):
@@ -116,8 +128,15 @@ def near_vectors(
                 yield some.loc[cosine >= least, ["a", "b"]]
 
     links = settle(both.select("a", "b", "va", "vb").mapInPandas(near, "a long, b long").distinct())
-    ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    groups = components(links).withColumnRenamed("node", "id")
-    out = rows.select("id").join(ends, "id", "left").join(groups, "id", "left")
+    both_ways = links.union(links.select("b", "a"))
+    weight = F.coalesce("copies", F.lit(1))
+    ends = both_ways.join(units.withColumnRenamed("unit", "b"), "b", "left").groupBy("a").agg(F.sum(weight).alias("others"))
+    joined = components(links)
+    # back to all rows: copies have the links of their unit, and each other
+    unit = F.coalesce("unit", "id")
+    out = rows.select("id").join(member, "id", "left").select("id", unit.alias("a"))
+    out = out.join(units.withColumnRenamed("unit", "a"), "a", "left").join(ends, "a", "left").join(joined.withColumnRenamed("node", "a"), "a", "left")
+    n_links = F.coalesce("others", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1
+    out = out.select("id", n_links.alias("n_links"), F.coalesce("component", "a").alias("component"))
     component = F.coalesce("component", "id").alias("component_id")
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component, F.coalesce(component.eqNullSafe(F.col("id")), F.lit(True)).alias("kept"))

@@ -76,6 +76,24 @@ def test_near_vectors_equal_all_pairs(spark, vectors):
         embed_dedup.near_vectors(frame(spark, vectors), flips=2)
 
 
+def test_copies_are_compared_as_one(spark, monkeypatch):
+    """Exact copies count as links of each other and of what is near them; a key with several vectors is one partner."""
+    x, y, near_x = [1.0, 2.0, 3.0, 4.0], [-4.0, 3.0, -2.0, 1.0], [1.0, 2.0, 3.0, 4.01]
+    rows = [(100 + i, x, 1) for i in range(200)] + [(5, near_x, 1), (5, near_x, 1), (6, x, 2), (7, y, 1), (8, x, None)]
+    rows += [(50, x, 1), (50, y, 1), (60, x, 3), (60, near_x, 3), (61, near_x, 3)]
+    made = []
+    whole = embed_dedup.components
+    monkeypatch.setattr(embed_dedup, "components", lambda links: made.append(links.count()) or whole(links))
+    out = embed_dedup.near_vectors(frame(spark, rows))
+    got = {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in out.collect()}
+    assert got == {
+        *[(100 + i, 202 - 1, 5, False) for i in range(200)],
+        (5, 201 + 1 - 1, 5, True), (6, 0, 6, True), (7, 1, 5, False), (8, 0, 8, True),
+        (50, 202, 5, False), (60, 1, 60, True), (61, 1, 60, False),
+    }
+    assert made[0] < 10
+
+
 def test_components_of_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(0, 300)]
     star = [(1000, 1000 + i) for i in range(1, 200)]
