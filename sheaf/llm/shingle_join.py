@@ -19,7 +19,7 @@ from sheaf.session import settle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 48  # of a token on its way
-SHORT, LONG = 288, 259  # sets up to SHORT are joined by all tokens, sets from LONG on by every fourth; 0.9 * SHORT <= LONG + 1
+SHORT, LONG = 288, 259  # sets up to SHORT are joined by all tokens, sets from LONG, or less (see sizes), on by a share of them
 PER_BUCKET = 1_000_000
 BLOCK = 64  # sets that are compared with as many others at once
 AT_ONCE = 4_000_000  # tokens that a task holds to add them up
@@ -60,9 +60,18 @@ def from_bytes(body: bytes) -> np.ndarray:
     return np.frombuffer(body, "<u4", n).astype(np.uint64) | (np.frombuffer(body, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32))
 
 
-def bands(n: int) -> list[int]:
-    """The joins a set of n tokens takes part in: 0 by all tokens, 1 by every fourth."""
-    return [0] * (n <= SHORT) + [1] * (n >= LONG)
+def sizes(num: int, den: int) -> tuple[int, int]:
+    """The least size joined by a share of the tokens, and the share's power of 1/2.
+
+    Sets below the least size are linked with none above SHORT, so any two linked sets meet in a join. The share is
+    at least 2.5 times the prefix, if not all tokens: a fourth at 0.9, half at 0.8.
+    """
+    return min(LONG, -(-num * (SHORT + 1) // den)), max(s for s in (0, 1, 2) if s == 0 or 2 * den >= 5 * (den - num) << s)
+
+
+def bands(n: int, long: int) -> list[int]:
+    """The joins a set of n tokens takes part in: 0 by all tokens, 1, from ``long`` on, by a share of them."""
+    return [0] * (n <= SHORT) + [1] * (n >= long)
 
 
 def lacking(n, num: int, den: int):
@@ -152,16 +161,17 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
     2. First order: rare tokens first. A task adds up in how many of its sets a token is and sends that, packed, to
        buckets of the hash space, which tell each part of the table which of its tokens are shared and by how many
        sets. So a token costs a bucket one number per part, however many sets hold it. A set whose prefix holds
-       only tokens of its own is linked with nothing. Long sets send every fourth token: any choice that depends on the
-       token alone is a global order, in which the chosen ones come first. A long set with too few of them, which
-       hardly happens, is compared with all sets of about its size.
+       only tokens of its own is linked with nothing. Long sets send a fourth of the token space, at lower similarities
+       half or all of it: any choice that depends on the token alone is a global order, in which the chosen ones
+       come first. A long set with too few of them, which hardly happens, is compared with all sets of about its size.
     3. Sets that share a prefix token go to the bucket of the token's least set. A large bucket is cut into blocks
        by a hash, and each pair of blocks is one group of at most ``2 * BLOCK`` sets, so no group is unbounded and
        pairs never become rows.
     4. Within a group, candidates must share prefix tokens under all three orders; these are verified on the
        whole sets. Only links that join what the group has not yet joined are sent on.
     """
-    spark, hundred = docs.sparkSession, (num, den)
+    hundred = (num, den)
+    long, halved = sizes(num, den)
     plain = docs.select(col(key).cast("long").alias("id"), col(text).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +181,7 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
             for body in batch.column(1):
                 shingles = shingle_set(body.as_py(), width, hashes)
                 tokens = shingles >> np.uint64(64 - BITS)
-                chosen = np.searchsorted(tokens, np.uint64(1 << (BITS - 2)))
+                chosen = np.searchsorted(tokens, np.uint64(1 << (BITS - halved)))
                 n.append(len(tokens))
                 posted.append(int(chosen))
                 prints.append(xxhash.xxh3_128_digest(shingles.tobytes()))
@@ -201,7 +211,7 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
             out = []
             for (p, band), sets in held.items():
                 tokens, times = np.unique(np.concatenate(sets), return_counts=True)
-                where = (tokens >> np.uint64(BITS - 32 - 2 * band)) * np.uint64(buckets) >> np.uint64(32)
+                where = (tokens >> np.uint64(BITS - 32 - halved * band)) * np.uint64(buckets) >> np.uint64(32)
                 out += [(2 * b + band, p, to_bytes(t), c.astype("<u4").tobytes()) for b, t, c in in_buckets(where, tokens, times)]
             return pa.RecordBatch.from_pylist([dict(zip(POSTED.names, r)) for r in out], schema=POSTED)
 
@@ -209,7 +219,7 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
             part, n, chosen, low = (batch.column(i) for i in range(4))
             for p, size, some, body in zip(part.to_pylist(), n.to_pylist(), chosen.to_pylist(), low):
                 tokens = from_bytes(body.as_py())
-                for band in bands(size):
+                for band in bands(size, long):
                     held.setdefault((p, band), []).append(tokens[:some] if band else tokens)
                     waiting += len(held[p, band][-1])
                 if waiting > AT_ONCE:
@@ -239,7 +249,7 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
         out = [pd.DataFrame({"token": [], "id": [], "n": []}).astype("int64")]
         ids, n, chosen, low = (members[c].to_numpy() for c in ("id", "n", "chosen", "low"))
         for band in (0, 1):
-            own = np.array([band in bands(size) for size in n.tolist()], bool)
+            own = np.array([band in bands(size, long) for size in n.tolist()], bool)
             posted = n if band == 0 else chosen
             need = lacking(n, *hundred)
             few = own & (posted < need)
