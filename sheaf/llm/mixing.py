@@ -30,6 +30,12 @@ def rake(tokens: np.ndarray, targets: list[np.ndarray], rounds: int = 50) -> np.
     return weights
 
 
+def kept_share(tokens: np.ndarray, target: np.ndarray) -> float:
+    """The last value's target that, scaled with those of the other values that have tokens, is its share of the tokens."""
+    named, rest = target[:-1][tokens[:-1] > 0].sum(), tokens[:-1].sum()
+    return float(named * tokens[-1] / rest) if named > 0 else 1.0
+
+
 def calibrated(tokens: np.ndarray, weights: np.ndarray, budget: float) -> np.ndarray:
     """Probabilities in proportion to weight per token, at most 1, that give ``budget`` tokens if there are so many."""
     rate = np.divide(weights, tokens, out=np.zeros_like(weights), where=tokens > 0).ravel()
@@ -57,7 +63,8 @@ def mix(
     """The sampled rows of ``docs`` with ``_tokens``, ``_weight`` and ``_probability``.
 
     ``axes`` has for each marginal its column and the target weight of each value; values that are not named, and
-    nulls, count together as ``*``, with a target of 0 unless one is given. So there are no more cells than
+    nulls, count together as ``*``. Without a target of its own ``*`` keeps its share of the tokens, so that
+    nothing is left out unless a target of 0 asks for it. So there are no more cells than
     targets multiplied, whatever the data hold, and only their sums reach the driver. About ``share`` of all tokens
     are wanted; a cell that has too few is taken whole and the others make up for it. A row is taken if a number made
     of its key is below its cell's probability, so equal keys go together and a task that is run again takes the same
@@ -72,7 +79,11 @@ def mix(
     cells = np.zeros([len(w) for w in wanted])
     for r in sums:
         cells[tuple(p[r[n]] for p, n in zip(place, names))] = r["t"]
-    weights = rake(cells, [np.array(list(w.values()), float) for w in wanted], rounds)
+    targets = [np.array(list(w.values()), float) for w in wanted]
+    for axis, (_, given) in enumerate(axes.values()):
+        if OTHER not in given:
+            targets[axis][-1] = kept_share(cells.sum(axis=tuple(i for i in range(cells.ndim) if i != axis)), targets[axis])
+    weights = rake(cells, targets, rounds)
     chance = calibrated(cells, weights, share * cells.sum())
     found = [(*[r[n] for n in names], *[float(x[tuple(p[r[n]] for p, n in zip(place, names))]) for x in (weights, chance)]) for r in sums]
     shape = ", ".join(f"{n} string" for n in names) + ", _weight double, _probability double"

@@ -1,7 +1,8 @@
 """Cases in which an operator once did less than the whole job."""
 
 import numpy as np
-from sheaf.llm import shingle_join
+from pyspark.sql import functions as F
+from sheaf.llm import mixing, queries, shingle_join
 
 
 def plain_links(texts, width, num, den):
@@ -33,3 +34,16 @@ def test_few_sets_need_the_comparison_by_size(spark):
         assert 100 * (long - 1) < num * (shingle_join.SHORT + 1)
         chosen = rng.binomial(long, 0.5**halved, 20_000)
         assert (chosen < shingle_join.lacking(long, num, 100)).mean() < 1e-3
+
+
+def test_mixing_keeps_languages_without_a_target(spark):
+    rows = [(i, ["it", None, "en", "de"][i % 4], f"src{i % 3}", "word " * 20) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    out = queries.mixed(docs).collect()
+    total = sum(r["_tokens"] for r in out)
+    assert abs(len(out) / len(rows) - 0.5) < 0.03
+    assert abs(sum(r["_tokens"] for r in out if r["lang"] in ("it", None)) / total - 0.5) < 0.03
+    foreign = docs.where("lang = 'it' or lang is null")
+    assert abs(queries.mixed(foreign).count() / 4000 - 0.5) < 0.03
+    asked = {"lang": (F.col("lang"), {"en": 0.5, "de": 0.5, "*": 0.0})}
+    assert {r["lang"] for r in mixing.mix(docs, asked, F.lit(1)).collect()} == {"en", "de"}
