@@ -16,6 +16,10 @@ from sheaf.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+FOUND = 0.99  # of the pairs at the least cosine, as simulated on the sample
+MOST_TABLES = 64  # where more were needed, all pairs of a label are compared
+BLOCK = 1024  # vectors that are then compared with as many others at once
+
 
 def learn_rotation(sample: np.ndarray, bits: int, rounds: int = 50, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Iterative quantisation: the mean, and a rotated principal projection whose signs lose least.
@@ -37,6 +41,71 @@ def learn_rotation(sample: np.ndarray, bits: int, rounds: int = 50, seed: int =
     return mean, project @ rotation
 
 
+def more_tables(turn: np.ndarray, bits: int, bits_each: int, tables: int, seed: int = 11) -> np.ndarray:
+    """``turn`` with random rotations of its directions beside it, cut to ``tables`` tables."""
+    rng, parts = np.random.default_rng(seed), [turn]
+    while sum(p.shape[1] for p in parts) < tables * bits_each:
+        parts.append(turn @ np.linalg.qr(rng.standard_normal((bits, bits)))[0])
+    return np.hstack(parts)[:, : tables * bits_each]
+
+
+def recall_by_tables(unit: np.ndarray, mean: np.ndarray, turn: np.ndarray, least: float, bits_each: int, flips: int, seed: int = 13) -> np.ndarray:
+    """The share of pairs at cosine ``least`` that meet in the first 1, 2, 3, … tables of ``turn``.
+
+    The pairs are sample rows, each turned by that angle once to any side and once towards where the data vary; the lesser share counts.
+    """
+    rng, shares = np.random.default_rng(seed), []
+    x = unit[np.arange(max(4096, len(unit))) % len(unit)]
+    for side in (rng.standard_normal(x.shape), unit[rng.integers(len(unit), size=len(x))] - unit[rng.integers(len(unit), size=len(x))]):
+        side = side - (side * x).sum(axis=1)[:, None] * x
+        size = np.sqrt((side * side).sum(axis=1))
+        there = size > 1e-9
+        if not there.any():
+            continue
+        a, side = x[there], side[there] / size[there][:, None]
+        b = least * a + np.sqrt(max(0.0, 1 - least * least)) * side
+        differ = ((a - mean) @ turn >= 0) != ((b - mean) @ turn >= 0)
+        meets = differ.reshape(len(a), -1, bits_each).sum(axis=2) <= flips
+        shares.append(np.logical_or.accumulate(meets, axis=1).mean(axis=0))
+    return np.min(shares, axis=0) if shares else np.ones(turn.shape[1] // bits_each)
+
+
+def all_pairs(part: DataFrame, least: float) -> DataFrame:
+    """``(a, b, label)`` of all pairs of a label at about ``least`` or more; pairs of blocks are compared, and no label is gathered."""
+    counts = settle(part.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("id", "vec"), "blocks").cast("int")
+    cells = part.join(counts, "label").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("label", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "vec")
+    kind = dict(part.dtypes)["label"]
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        vectors = np.stack(rows["vec"].to_list())
+        vectors = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+        ids, own = rows["id"].to_numpy(), rows["own"].to_numpy()
+        left, right = np.flatnonzero(own == rows["x"].iloc[0]), np.flatnonzero(own == rows["y"].iloc[0])
+        i, j = np.nonzero(vectors[left] @ vectors[right].T >= least - 1e-9)
+        a, b = ids[left[i]], ids[right[j]]
+        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})[a != b].drop_duplicates()
+        return pairs.assign(label=rows["label"].iloc[0])
+
+    return cells.groupBy("label", "x", "y").applyInPandas(compare, f"a long, b long, label {kind}")
+
+
+def meeting(found: DataFrame, tables: int, bits_each: int, flips: int) -> DataFrame:
+    """``(a, b, label)`` of pairs whose codes differ in at most ``flips`` bits of one of up to ``tables`` tables."""
+    stored = found.select("dim", "label", F.posexplode("codes").alias("table", "code"), F.col("id").alias("b"), F.col("codes").alias("codes_b"))
+    probes = [F.col("code"), *[F.col("code").bitwiseXOR(F.lit(1 << i)) for i in range(bits_each if flips else 0)]]
+    asked = found.select("dim", "label", F.posexplode("codes").alias("table", "code"), F.col("id").alias("a"), F.col("codes").alias("codes_a"))
+    asked = asked.withColumn("code", F.explode(F.array(*probes)))
+    met = asked.join(stored, ["dim", "label", "table", "code"]).where("a < b")
+    # a pair is taken from the first table in which it meets, so that no pair comes twice
+    apart = [F.bit_count(F.get("codes_a", F.lit(t)).bitwiseXOR(F.get("codes_b", F.lit(t)))) > flips for t in range(tables)]
+    first = F.lit(True)
+    for t in range(tables):
+        first = first & ((F.col("table") <= t) | apart[t])
+    return met.where(first).select("a", "b", "label")
+
+
 def near_vectors(
     vectors: DataFrame,
     key: str = "vec_id",
@@ -51,10 +120,12 @@ def near_vectors(
     """``(key, n_links, component_id, kept)``, one row per row of ``vectors``.
 
     Two rows of equal, not null label are linked if the cosine of their vectors in double precision is at least
-    ``least``. The codes have ``tables * bits_each`` bits; a pair is looked at if in one table its codes differ in at
-    most ``flips`` bits (0 or 1). For codes of 64 bits and a cosine of 0.98 a bit differs in 1 of 16 cases, which 4 tables
-    with one flip miss in about 1 of 200 cases, and far less above. The rotation is learned from the ``sample_rows`` usable
-    rows whose keys have the least hashes; all rows are coded.
+    ``least``. A pair is looked at if in one table of ``bits_each`` bits its codes differ in at most ``flips`` bits (0 or
+    1). There are ``tables`` of them, or as many more as it takes until ``FOUND`` of simulated pairs at a cosine of
+    ``least`` meet: with a mean near 0 a bit differs in 1 of 16 cases at 0.98, which 4 tables of 16 bits with one flip miss in
+    about 1 of 200 cases, but codes are signs after the mean is taken off, which widens the angles of vectors that have
+    one in common. Where ``MOST_TABLES`` are too few, all pairs of a label are compared, and none is missed. The
+    rotation is learned from the ``sample_rows`` usable rows whose keys have the least hashes; all rows are coded.
 
     Equal vectors of one label are compared as one and counted as many, so a group of exact copies of any size makes
     no pairs. Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do rows with a
@@ -80,40 +151,45 @@ def near_vectors(
     member = settle(alone.join(copies.where("copies > 1"), same).where("id <> unit").select("id", "unit"))
     clean = settle(usable_rows.join(member, "id", "left_anti").distinct())  # one row per unit
     sizes = clean.groupBy(F.size("vec").alias("dim")).count().collect()  # one row per vector length
-    found = None
+    found, whole, most = None, None, tables
     for dim in sorted(r["dim"] for r in sizes):
         part = clean.where(F.size("vec") == dim)
         picked = part.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
         sample = np.array([r["vec"] for r in picked])
-        mean, turn = learn_rotation(sample / np.linalg.norm(sample, axis=1)[:, None], bits)
+        unit = sample / np.linalg.norm(sample, axis=1)[:, None]
+        mean, turn = learn_rotation(unit, bits)
+        count = tables
+        if recall_by_tables(unit, mean, turn, least, bits_each, flips)[-1] < FOUND:
+            turn = more_tables(turn, bits, bits_each, max(tables, MOST_TABLES))
+            enough = recall_by_tables(unit, mean, turn, least, bits_each, flips) >= FOUND
+            if not enough.any():
+                met = all_pairs(part, least)
+                whole = met if whole is None else whole.union(met)
+                continue
+            count = int(enough.argmax()) + 1
+            turn = turn[:, : count * bits_each]
+        most = max(most, count)
         weights = 1 << np.arange(bits_each, dtype=np.int64)
 
-        def code(batches: Iterator[pd.DataFrame], mean=mean, turn=turn) -> Iterator[pd.DataFrame]:
+        def code(batches: Iterator[pd.DataFrame], mean=mean, turn=turn, count=count) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 if len(batch):
                     x = np.stack(batch["vec"].to_list())
                     signs = (x / np.sqrt((x * x).sum(axis=1))[:, None] - mean) @ turn >= 0
-                    chunks = signs.reshape(len(x), tables, bits_each) @ weights
+                    chunks = signs.reshape(len(x), count, bits_each) @ weights
                     yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "codes": list(chunks)})
 
         kinds = {f.name: f.dataType.simpleString() for f in part.schema}
         coded = part.mapInPandas(code, f"id {kinds['id']}, label {kinds['label']}, codes array<long>").withColumn("dim", F.lit(dim))
         found = coded if found is None else found.union(coded)
     own = F.col("id").alias("component_id")
-    if found is None:
+    if not sizes:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), own, F.lit(True).alias("kept"))
-    found = settle(found)
-    stored = found.select("dim", "label", F.posexplode("codes").alias("table", "code"), F.col("id").alias("b"), F.col("codes").alias("codes_b"))
-    probes = [F.col("code"), *[F.col("code").bitwiseXOR(F.lit(1 << i)) for i in range(bits_each if flips else 0)]]
-    asked = found.select("dim", "label", F.posexplode("codes").alias("table", "code"), F.col("id").alias("a"), F.col("codes").alias("codes_a"))
-    asked = asked.withColumn("code", F.explode(F.array(*probes)))
-    met = asked.join(stored, ["dim", "label", "table", "code"]).where("a < b")
-    # a pair is taken from the first table in which it meets, so that no pair comes twice
-    apart = [F.bit_count(F.get("codes_a", F.lit(t)).bitwiseXOR(F.get("codes_b", F.lit(t)))) > flips for t in range(tables)]
-    first = F.lit(True)
-    for t in range(tables):
-        first = first & ((F.col("table") <= t) | apart[t])
-    pairs = met.where(first).select("a", "b", "label")
+    if found is not None:
+        pairs = meeting(settle(found), most, bits_each, flips)
+        pairs = pairs if whole is None else pairs.union(whole)
+    else:
+        pairs = whole
     pairs = settle(pairs)
     values = clean.select("id", "label", "vec")
     left = values.select(F.col("id").alias("a"), "label", F.col("vec").alias("va"))

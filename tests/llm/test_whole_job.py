@@ -1,8 +1,9 @@
 """Cases in which an operator once did less than the whole job."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
-from sheaf.llm import mixing, queries, shingle_join
+from sheaf.llm import embed_dedup, mixing, queries, shingle_join
 
 
 def plain_links(texts, width, num, den):
@@ -47,3 +48,24 @@ def test_mixing_keeps_languages_without_a_target(spark):
     assert abs(queries.mixed(foreign).count() / 4000 - 0.5) < 0.03
     asked = {"lang": (F.col("lang"), {"en": 0.5, "de": 0.5, "*": 0.0})}
     assert {r["lang"] for r in mixing.mix(docs, asked, F.lit(1)).collect()} == {"en", "de"}
+
+
+@pytest.mark.parametrize("common, whole", [(0.9, False), (0.99, True)])
+def test_near_vectors_with_a_common_mean(spark, common, whole):
+    """Random vectors have a cosine of about ``common``; pairs are planted at a cosine of just over 0.98."""
+    rng = np.random.default_rng(17)
+    middle = np.full(64, 1 / 8)
+    x = rng.standard_normal((1500, 64)) * np.sqrt((1 - common) / 64) + np.sqrt(common) * middle
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(axis=1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    vectors = np.vstack([x, 0.9801 * x + np.sqrt(1 - 0.9801**2) * side])
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    label = np.arange(len(unit)) % 1500 % 10
+    links = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
+    wanted = links.sum(axis=1) - 1
+    rows = [(i, v.tolist(), int(g)) for i, (v, g) in enumerate(zip(vectors, label))]
+    out = embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), least=0.98)
+    found = np.array([r["n_links"] for r in sorted(out.collect(), key=lambda r: r["vec_id"])])
+    assert (found <= wanted).all() and found.sum() >= (1 if whole else 0.98) * wanted.sum() > 2900
