@@ -6,7 +6,7 @@ import public_tokenizers as TOKENIZERS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat, embed_dedup, mixing, nearest, packing, private, quality, sharding, shingle_join, toxicity
+from sheaf.llm import centroids, chat, embed_dedup, mixing, nearest, packing, private, quality, repair, sharding, shingle_join, token_counts, toxicity
 from sheaf.session import settle
 
 QUERIES: dict = {}
@@ -220,3 +220,47 @@ links AS MATERIALIZED (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, other) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least ON node = d.doc_id
 """
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(spark, table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, salt="2")
+
+
+def _lloyd(rounds: int = 5) -> str:
+    """Rounds of assignment and exact means as SQL; ``a{i}`` assigns all vectors to the centroids ``c{i}``."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(
+            f"a{i} AS MATERIALIZED (SELECT n, vec_id, e, d.d AS distance, d.k AS cluster FROM (SELECT n, any_value(vec_id) AS vec_id, any_value(e) AS e, "
+            f"min({{'d': d, 'k': k}}) AS d FROM (SELECT v.n, v.vec_id, v.e, c.k, list_sum([(v.e[j] - c.e[j]) * (v.e[j] - c.e[j]) FOR j IN range(1, 65)])::BIGINT AS d "
+            f"FROM v, c{i} c) GROUP BY n))"
+        )
+        if i < rounds:
+            steps.append(
+                f"m{i} AS MATERIALIZED (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS e FROM (SELECT cluster AS k, j, sum(x)::BIGINT AS s, count(*) AS n "
+                f"FROM (SELECT cluster, unnest(e) AS x, unnest(range(1, 65)) AS j FROM a{i}) GROUP BY ALL) GROUP BY k)"
+            )
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN m{i} m USING (k))")
+    return ", ".join(steps)
+
+
+ORACLES["op11_centroids"] = f"""
+WITH f AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE len(embedding) = 64),
+v AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, [floor(256 * y)::BIGINT FOR y IN x] AS e FROM f
+     WHERE NOT list_has_any([y IS NULL OR isnan(y) OR isinf(y) FOR y IN x], [true])),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, e) - 1 AS k, e FROM (SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, e FROM v) ORDER BY h, e LIMIT 40),
+{_lloyd()}
+SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(c5.e, ',')) AS centroid_sha256 FROM a5 JOIN c5 ON c5.k = a5.cluster
+"""
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(repair.damage(table(spark, sf_dir, "conversations")), key="conv_id")
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZERS.path("piece_bpe_32k.model"), limit=4096)
