@@ -312,7 +312,9 @@ def audits(rows: DataFrame) -> DataFrame:
     pieces = _streamed(_pieces, names, [None, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()])
     cut = ranged.mapInArrow(pieces, f"conv {kind}, piece long, codes binary, first_turn long, last_turn long, turns long")
     audited = _streamed(_audits, ["conv", *FACTS, "audit"], [None, *[pa.int64()] * len(FACTS), pa.string()])
-    gathered = cut.repartition("conv").sortWithinPartitions("conv", "piece")
+    # a byte of these is a row's work, so as many tasks as a whole shuffle has, however few the bytes
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gathered = cut.repartition(tasks, "conv").sortWithinPartitions("conv", "piece")
     return gathered.mapInArrow(audited, f"conv {kind}, {', '.join(f'{f} long' for f in FACTS)}, audit string")
 
 
