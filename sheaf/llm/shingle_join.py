@@ -345,6 +345,13 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
     return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def of_small(df: DataFrame, most: int = 2_000_000) -> DataFrame:
-    """A written table, to be broadcast if it has no more than ``most`` short rows; beyond, Spark chooses."""
-    return F.broadcast(df) if df.count() <= most else df
+WIDTHS = {"boolean": 1, "int": 4, "bigint": 8}
+
+
+def of_small(df: DataFrame, most_bytes: int = 32_000_000) -> DataFrame:
+    """A written table of numbers, to be broadcast if its rows are no more than ``most_bytes``; beyond, or with a column
+    of no fixed width, Spark chooses."""
+    kinds = [kind for _, kind in df.dtypes]
+    if any(k not in WIDTHS for k in kinds):
+        return df
+    return F.broadcast(df) if df.count() * (8 + sum(WIDTHS[k] for k in kinds)) <= most_bytes else df

@@ -147,12 +147,12 @@ def test_packing_is_gapless_and_equals_the_tokenizer(docs, nothing):
         packing.pack_documents(docs, path, vocabularies.PATTERN, size=100)
 
 
-def plain_classes(texts, num=90, den=100):
+def plain_classes(texts, num=90, den=100, width=3):
     word, lower = re.compile(r"[^\x20\x09-\x0D]+"), str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = []
     for _, text in texts:
         w = word.findall((text or "").translate(lower))
-        sets.append({tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set())
+        sets.append({tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set())
     group = {i: i for i, _ in texts}
 
     def top(x):

@@ -85,7 +85,7 @@ def test_pipeline_equals_the_plain_version(spark):
     model = toxicity.train(table, spark.read.parquet(f"{SOURCE}/labels.parquet"), held_out=queries.held_out)
     docs = [r.asDict() for r in table.collect()]
     docs = [d for d in docs if plain_score(d["text"], model) < 0.3]
-    classes = plain_classes([(d["doc_id"], d["text"]) for d in docs])
+    classes = plain_classes([(d["doc_id"], d["text"]) for d in docs], num=80, width=5)
     docs = [d for d in docs if classes[d["doc_id"]][1] == d["doc_id"]]
     automaton = private._automaton()
     for d in docs:
@@ -105,3 +105,18 @@ def test_pipeline_equals_the_plain_version(spark):
             assert r["start"] == at and r["doc_tokens"] == len(ids[key]) and zlib.crc32(part.tobytes()) == r["ids_crc32"]
             at += r["length"]
         assert at == len(ids[key])
+
+
+def test_rows_that_share_a_key_are_copies_only_by_their_texts(spark):
+    import corpus_pipeline
+
+    words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    near = words("a", 60).replace("a30 ", "z ")  # 5 of 56 shingles changed: linked at 0.8 on five words
+    far = words("a", 60).replace("a30 ", "z ").replace("a10 ", "y ").replace("a50 ", "x ")
+    rows = [(5, words("a", 60)), (5, words("b", 60)), (3, near), (None, words("a", 60)), (None, words("c", 60)), (None, words("c", 60)), (7, far), (8, None), (8, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "src0", 1, "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, component_id string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, SOURCE)
+    assert left.columns == docs.columns
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted([(r["doc_id"], r["text"]) for r in left.collect()], key=order) == sorted([rows[2], rows[1], rows[4], rows[6], rows[7], rows[8], rows[9]], key=order)
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), SOURCE).count() == 0
