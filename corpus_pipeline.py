@@ -9,7 +9,6 @@ from __future__ import annotations
 import public_tokenizers as TOKENIZERS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sheaf.llm import packing, private, queries, shingle_join, toxicity
 from sheaf.llm.common import col
@@ -25,17 +24,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of least key; of a repeated key one row. Rows with a null key stay."""
-    linked = settle(shingle_join.shingle_links(docs, width=3, num=90, den=100))
-    ids = linked.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("group"))
-    ids = settle(ids)
-    gone = settle(ids.where("group <> doc_id").select("doc_id"))
-    again = settle(ids.where("rows > 1 and group = doc_id").select("doc_id"))
-    kept = docs.join(shingle_join.of_small(gone), "doc_id", "left_anti")
-    repeated = shingle_join.of_small(again)
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    one = kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1")
-    return kept.join(repeated, "doc_id", "left_anti").select(*[col(c) for c in docs.columns]).union(one.select(*[col(c) for c in docs.columns]))
+    """Of each group of near copies, five words and 0.8, the row of least key, nulls last.
+
+    Rows are linked by a number of their own that is written with them once, not by their keys: rows that share a key
+    or have none are compared as any others, and only copies go. A row without words is a copy of nothing.
+    """
+    row = "_row" + "_" * max(map(len, docs.columns))
+    numbered = settle(docs.withColumn(row, F.monotonically_increasing_id()))
+    linked = shingle_join.shingle_links(numbered, key=row, width=5, num=80, den=100)
+    copies = settle(linked.where(F.col("component_id") != F.col(row)).select(row, F.col("component_id").alias("_group")))
+    members = copies.union(copies.select(F.col("_group").alias(row), "_group").distinct())
+    keyed = settle(numbered.select(row, "doc_id").join(shingle_join.of_small(settle(members)), row))
+    least = keyed.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("least"))
+    gone = settle(keyed.join(least, "_group").where(F.col(row) != F.col("least")[row]).select(row))
+    return numbered.join(shingle_join.of_small(gone), row, "left_anti").select(*[col(c) for c in docs.columns])
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
