@@ -1,27 +1,24 @@
 """JSON paths of a field spec, turned into Columns over a parsed VARIANT.
 
 A body is parsed once; every path then reads the binary value. Runs of plain
-steps become one ``try_variant_get``; a wildcard opens a list level. Only the
-descendant step ``..``, whose depth no plan knows, and the member step ``.*``, which
-must keep the order of the text, leave the JVM, in Arrow batches.
+steps become one ``try_variant_get``; a wildcard opens a list level. The descendant
+step ``..`` opens all levels below a node, one per round, until nothing is left to open. VARIANT
+sorts the members of an object by name, so where their order in the text counts the
+body is parsed once more with numbered names. Nothing leaves the JVM.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import sys
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.variants import as_list, texts
+from sheaf.functions.sqltext import NO_VARIANTS, applied, as_list, as_map, let, quoted, texts
 
-# executors need not have this package: what a UDF uses travels with it
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+DEEPEST = 1000  # levels of a body that the parser takes
+NUMBER = 8  # digits before a numbered name
 
 _STEP = re.compile(
     r"""(?P<deep>\.\.)|\[(?P<index>\d+)\]|\[(?P<all>\*)\]|\['(?P<quoted>[^']+)'\]|\["(?P<quoted2>[^"]+)"\]"""
@@ -42,6 +39,8 @@ def parse_path(path: str) -> list[tuple[str, str | int | None]]:
         at = found.end()
         group = found.lastgroup
         if group == "deep":
+            if steps and steps[-1][0] == "deep":
+                raise ValueError(f"unsupported JSON path: {path}")
             steps.append(("deep", None))
         elif group in ("all", "star"):
             steps.append(("all" if group == "all" else "members", None))
@@ -62,102 +61,183 @@ def _literal(steps: list[tuple[str, str | int | None]]) -> str:
     return "$" + "".join(step(what, arg) for what, arg in steps)
 
 
-def _open(nodes: Column, steps) -> Column:
+def _open(nodes: str, steps) -> str:
     if not steps:
         return nodes
-    return F.array_compact(F.transform(nodes, lambda n: F.try_variant_get(n, _literal(steps), "variant")))
+    return f"array_compact(transform({nodes}, sn -> try_variant_get(sn, {quoted(_literal(steps))}, 'variant')))"
 
 
-def _elements(nodes: Column) -> Column:
+def _elements(nodes: str) -> str:
     """Elements of lists; anything else counts as a list of one."""
-    return F.array_compact(F.flatten(F.transform(nodes, lambda n: F.coalesce(as_list(n), F.array(n)))))
+    return f"array_compact(flatten(transform({nodes}, en -> coalesce({as_list('en')}, array(en)))))"
 
 
-def _matches(node, steps):
-    """Matches of ``steps`` below ``node``; a node comes before what lies under it."""
-    if not steps:
-        yield node
-        return
-    (what, arg), rest = steps[0], steps[1:]
-    if what == "deep":
-        yield from _matches(node, rest)
-        for child in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
-            yield from _matches(child, steps)
-    elif what == "all":
-        for child in node if isinstance(node, list) else [node]:
-            yield from _matches(child, rest)
-    elif what == "members" and isinstance(node, dict):
-        for child in node.values():
-            yield from _matches(child, rest)
-    elif what == "index" and isinstance(node, list) and arg < len(node):
-        yield from _matches(node[arg], rest)
-    elif what == "name" and isinstance(node, dict) and arg in node:
-        yield from _matches(node[arg], rest)
-
-
-class _Number(str):
-    """A number as it is written, with all its digits."""
-
-
-def _written(node) -> str:
-    """JSON text of a node; numbers as they were."""
-    if isinstance(node, _Number):
-        return str(node)
-    if isinstance(node, dict):
-        return "{" + ",".join(f"{json.dumps(k)}:{_written(v)}" for k, v in node.items()) + "}"
-    if isinstance(node, list):
-        return "[" + ",".join(map(_written, node)) + "]"
-    return json.dumps(node)
-
-
-def _read(body: str):
-    return json.loads(body, parse_float=_Number, parse_int=_Number)
-
-
-def _descend(steps):
-    @F.pandas_udf("array<string>")
-    def descend(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for bodies in batches:
-            yield bodies.map(
-                lambda body: None if body is None else [_written(m) for m in _matches(_read(body), steps)]
-            )
-
-    return descend
-
-
-def _worth_reading(body: Column, steps) -> Column:
-    """The text if it can hold the last named key, as it is or with escapes, else null, which costs Python nothing."""
+# What stands in for an escaped backslash or quote while a body is cut into strings and the text between them. In
+# the body itself these two characters are written as escapes first.
+_BACKSLASH, _QUOTE = "\ue000", "\ue001"
+_CHUNK = r'"[^"]*"\s*:?|[^"]+'
+
+
+def _replaced(text: str, *pairs: tuple[str, str]) -> str:
+    for old, new in pairs:
+        text = f"replace({text}, {quoted(old)}, {quoted(new)})"
+    return text
+
+
+def _each_name(body: str, changed: str) -> str:
+    """JSON text with every member name, quotes and colon included, as the text ``changed`` makes it of the chunk
+    ``ch`` and its number ``ci``."""
+    escapes = [(c, f"\\u{ord(c):x}") for c in (_BACKSLASH, _QUOTE)]
+    safe = _replaced(body, *escapes, ("\\\\", _BACKSLASH), ('\\"', _QUOTE))
+    chunks = f"regexp_extract_all({safe}, {quoted(_CHUNK)}, 0)"
+    each = f"CASE WHEN startswith(ch, '\"') AND endswith(ch, ':') THEN {changed} ELSE ch END"
+    return _replaced(f"array_join(transform({chunks}, (ch, ci) -> {each}), '')", (_QUOTE, '\\"'), (_BACKSLASH, "\\\\"))
+
+
+def _in_text_order(body: str) -> str:
+    """The body as a variant whose member names start with a number, so that they are sorted as in the text."""
+    numbered = f"concat('\"', lpad(CAST(ci AS string), {NUMBER}, '0'), substring(ch, 2))"
+    return f"try_parse_json({_each_name(body, numbered)})"
+
+
+def _without_numbers(node: str) -> str:
+    """A node of ``_in_text_order`` with its own names."""
+    plain = f"concat('\"', substring(ch, {2 + NUMBER}))"
+    parsed = f"try_parse_json({_each_name('wt', plain)})"
+    return let(f"to_json({node})", "wt", f"CASE WHEN contains(wt, '{{') THEN {parsed} ELSE {node} END")
+
+
+def _same_name(members: str, name: str, numbered: bool) -> str:
+    """Values of a map of members with this name, at most one."""
+    key = f"substring(mk, {1 + NUMBER})" if numbered else "mk"
+    return f"map_values(map_filter({members}, (mk, mv) -> {key} = {quoted(name)}))"
+
+
+def _matched(what: str, arg, node: str, items: str, members: str, numbered: bool) -> str:
+    """Matches of one step on a node, whose ``items`` or ``members`` are at hand and null if it has none."""
+    if what == "name":
+        return f"coalesce({_same_name(members, arg, numbered)}, {NO_VARIANTS})"
+    if what == "members":
+        return f"coalesce(map_values({members}), {NO_VARIANTS})"
+    if what == "index":
+        return f"coalesce(slice({items}, {arg + 1}, 1), {NO_VARIANTS})"
+    return f"coalesce({items}, array({node}))"
+
+
+def _below(nodes: str, levels: str, what: str, arg, numbered: bool) -> str:
+    """Matches of a step on each node and on all nodes under it; a node comes before what lies under it."""
+
+    def entries(found: str, to_open: str) -> str:
+        return f"transform({found}, bn -> named_struct('node', bn, 'open', {to_open}))"
+
+    here = entries(_matched(what, arg, "bx.node", "bp.items", "bp.members", numbered), "false")
+    under = "coalesce(bp.items, map_values(bp.members))"
+    parts = f"CASE WHEN bp.items IS NOT NULL OR bp.members IS NOT NULL THEN concat({here}, {entries(under, 'true')}) ELSE {here} END"
+    own = f"named_struct('items', {as_list('bx.node')}, 'members', {as_map('bx.node')})"
+    opened = f"CASE WHEN bx.open THEN {let(own, 'bp', parts)} ELSE array(bx) END"
+    level = let(f"flatten(transform(st.nodes, bx -> {opened}))", "bf", "named_struct('nodes', bf, 'more', exists(bf, bo -> bo.open))")
+    start = f"named_struct('nodes', {entries(nodes, 'true')}, 'more', true)"
+    # each round opens one level; after the last one rounds only hand on what they get
+    found = f"aggregate(sequence(1, {levels} + 1), {start}, (st, si) -> CASE WHEN st.more THEN {level} ELSE st END, se -> se.nodes)"
+    return f"transform({found}, br -> br.node)"
+
+
+def _walk(doc: str, steps, levels: str, numbered: bool) -> str:
+    nodes, deep = f"array({doc})", False
+    for what, arg in steps:
+        if what == "deep":
+            deep = True
+        elif deep:
+            nodes, deep = _below(nodes, levels, what, arg, numbered), False
+        elif what == "all":
+            nodes = _elements(nodes)
+        elif what == "index" or (what == "name" and not numbered):
+            nodes = _open(nodes, [(what, arg)])
+        elif what == "name":
+            nodes = f"array_compact(transform({nodes}, wn -> get({_same_name(as_map('wn'), arg, True)}, 0)))"
+        else:
+            nodes = f"flatten(array_compact(transform({nodes}, wm -> map_values({as_map('wm')}))))"
+    return nodes
+
+
+def _worth_reading(body: str, steps) -> str:
+    """Whether the text can hold the last named key, as it is or with escapes."""
     names = [arg for what, arg in steps if what == "name"]
     if not names:
-        return body
-    key = json.dumps(names[-1], ensure_ascii=False)
-    return F.when(F.contains(body, F.lit(key)) | F.contains(body, F.lit("\\")), body)
+        return "true"
+    return f"(contains({body}, {quoted(json.dumps(names[-1], ensure_ascii=False))}) OR contains({body}, {quoted(chr(92))}))"
 
 
-def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
-    """Matches of ``path`` in the variant ``doc`` as an array of variants, in order.
+def is_deep(path: str) -> bool:
+    """Whether the order of the text counts for this path."""
+    return any(what in ("deep", "members") for what, _ in parse_path(path))
 
-    ``raw`` is the JSON text behind ``doc``; a descendant step reads it so that
-    members keep the order they have in the text.
-    """
+
+def nodes_text(doc: str, path: str, raw: str | None = None, ordered: str | None = None) -> str:
+    """``find_nodes`` as SQL text; ``ordered`` is the body read in the order of its text, where that is at hand."""
     steps = parse_path(path)
-    if any(what in ("deep", "members") for what, _ in steps):
-        body = F.when(doc.isNotNull(), raw) if raw is not None else F.to_json(doc)
-        found = F.transform(_descend(steps)(_worth_reading(body, steps)), F.try_parse_json)
-        return F.coalesce(found, F.array().cast("array<variant>"))
-    nodes = F.array(doc)
+    if is_deep(path):
+        body = raw or f"to_json({doc})"
+        levels = f"least(regexp_count({body}, '[\\\\[{{]'), {DEEPEST})"
+        if raw is None:
+            found = _walk(doc, steps, levels, numbered=False)
+        else:
+            walked = let(ordered or _in_text_order(raw), "wd", _walk("wd", steps, levels, numbered=True))
+            found = f"transform({walked}, un -> {_without_numbers('un')})"
+        return f"coalesce(CASE WHEN {doc} IS NOT NULL AND {_worth_reading(body, steps)} THEN {found} END, {NO_VARIANTS})"
+    nodes = f"array({doc})"
     run: list[tuple[str, str | int | None]] = []
     for what, arg in steps:
         if what == "all":
             nodes, run = _elements(_open(nodes, run)), []
         else:
             run.append((what, arg))
-    return F.array_compact(_open(nodes, run))
+    return f"array_compact({_open(nodes, run)})"
 
 
-def find_texts(doc: Column, path: str, raw: Column | None = None) -> Column:
-    """Values of all matches as an array of strings; no match is an empty array."""
+def texts_text(doc: str, path: str, raw: str | None = None, ordered: str | None = None) -> str:
+    """``find_texts`` as SQL text."""
     steps = parse_path(path)
     if all(what in ("name", "index") for what, _ in steps):
-        return texts(F.try_variant_get(doc, _literal(steps), "variant"))
-    return F.flatten(F.transform(find_nodes(doc, path, raw), texts))
+        return texts(f"try_variant_get({doc}, {quoted(_literal(steps))}, 'variant')")
+    return f"flatten(transform({nodes_text(doc, path, raw, ordered)}, ft -> {texts('ft')}))"
+
+
+def _for(doc: Column, raw: Column | None, text) -> Column:
+    if raw is None:
+        return applied(doc, lambda d: text(d, None))
+    return applied(F.struct(doc.alias("doc"), raw.alias("raw")), lambda given: text(f"{given}.doc", f"{given}.raw"))
+
+
+def find_nodes(doc: Column, path: str, raw: Column | None = None) -> Column:
+    """Matches of ``path`` in the variant ``doc`` as an array of variants, in order.
+
+    ``raw`` is the JSON text behind ``doc``, of which a descendant or member step takes the order of members; without
+    it they come by name. A body that is no JSON has no matches; text after a body's end does not count.
+    """
+    return _for(doc, raw, lambda d, r: nodes_text(d, path, r))
+
+
+def find_texts(doc: Column, path: str, raw: Column | None = None) -> Column:
+    """Values of all matches as an array of strings; no match is an empty array."""
+    return _for(doc, raw, lambda d, r: texts_text(d, path, r))
+
+
+def find_fields(doc: Column, paths: dict[str, str], raw: Column | None = None) -> Column:
+    """A map of the texts of each named path; a name without a match is left out. Paths for which the order of the
+    text counts share one reading of it."""
+
+    def pairs(d: str, r: str | None) -> str:
+        deep = [n for n, p in paths.items() if r and is_deep(p)]
+        pair = lambda n, o: f"named_struct('key', {quoted(n)}, 'value', {texts_text(d, paths[n], r, o)})"
+        plain = f"array({', '.join(pair(n, None) for n in paths if n not in deep)})"
+        if not deep:
+            return plain
+        wanted = " OR ".join(_worth_reading(r, parse_path(paths[n])) for n in deep)
+        order = f"CASE WHEN {wanted} THEN {_in_text_order(r)} END"
+        ordered = let(order, "od", f"array({', '.join(pair(n, 'od') for n in deep)})")
+        return ordered if len(deep) == len(paths) else f"concat({plain}, {ordered})"
+
+    if not paths:
+        return F.create_map().cast("map<string,array<string>>")
+    return _for(doc, raw, lambda d, r: f"map_from_entries(filter({pairs(d, r)}, fp -> size(fp.value) > 0))")

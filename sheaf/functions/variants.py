@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.lists import STRINGS, empty_strings, let
-from sheaf.functions.text import strip
+from sheaf.functions import sqltext
 
 VARIANTS = "array<variant>"
 
@@ -36,7 +35,7 @@ def text_of(v: Column) -> Column:
 
 def listify(v: Column) -> Column:
     """A list stays a list, anything else becomes a list of one; null is empty."""
-    return F.coalesce(as_list(v), F.when(present(v), F.array(v)), F.array().cast(VARIANTS))
+    return sqltext.applied(v, sqltext.listify)
 
 
 def flatten_nested(items: Column) -> Column:
@@ -45,21 +44,14 @@ def flatten_nested(items: Column) -> Column:
     Each pass opens one level, and there are no more levels than opening brackets in the text; the passes after
     the last level only see that nothing is left to open.
     """
-    brackets = F.regexp_count(F.to_json(items), F.lit(r"\["))
-    nested = lambda x: F.exists(x, lambda v: as_list(v).isNotNull())
-    once = lambda x: F.flatten(F.transform(x, listify))
-    deeper = F.aggregate(F.sequence(F.lit(1), F.greatest(brackets, F.lit(1))), once(items), lambda x, _: F.when(nested(x), once(x)).otherwise(x))
-    return F.when(nested(items), deeper).otherwise(once(items))
+    return sqltext.applied(items, sqltext.flatten_nested)
 
 
 def opened(items: Column) -> Column:
     """``flatten_nested`` where there is any list inside, else the items that are not null."""
-    nested = F.exists(items, lambda x: as_list(x).isNotNull())
-    return F.when(nested, flatten_nested(items)).otherwise(F.filter(items, present))
+    return sqltext.applied(items, sqltext.opened)
 
 
 def texts(v: Column) -> Column:
     """Values of one match: list elements are stripped text, a lone scalar is left as it is."""
-    alone = F.array_compact(F.array(text_of(v)))
-    listed = let(as_list(v), lambda items: F.transform(opened(items), lambda x: strip(text_of(x))))
-    return F.coalesce(F.when(as_list(v).isNull(), alone).otherwise(listed).cast(STRINGS), empty_strings())
+    return sqltext.applied(v, sqltext.texts)

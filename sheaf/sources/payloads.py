@@ -37,13 +37,9 @@ def unreadable_xml(payloads: DataFrame) -> DataFrame:
     return ok_pages(payloads).where(~xmlpath.well_formed(F.col("body"))).select("harvest_id", "seq", "url")
 
 
-def json_fields(doc: Column, raw: Column, spec: CollectionSpec) -> Column:
+def json_fields(doc: Column, raw: Column | None, spec: CollectionSpec) -> Column:
     """Declared fields of one parsed body as a map; a field without a match is absent."""
-    pairs = [
-        F.struct(F.lit(name).alias("field"), jsonpath.find_texts(doc, info.path, raw).alias("values"))
-        for name, info in spec.fields.items()
-    ]
-    return pairs_to_map(F.array(*pairs) if pairs else F.array().cast(PAIRS))
+    return jsonpath.find_fields(doc, {name: info.path for name, info in spec.fields.items()}, raw)
 
 
 def xml_fields(body: Column, spec: CollectionSpec, clean) -> Column:

@@ -19,6 +19,16 @@ def one(spark, column, **values):
         ('{"s":[{"k":12345678901234567890.123},{"k":0.1234567890123456789}]}', "s..k", ["12345678901234567890.123", "0.1234567890123456789"]),
         ('{"x":{"a\\/b":1}}', "x..'a/b'", ["1"]),
         ('{"x":{"k":1e999}, "y":{"k":2}}', "y..k", ["2"]),
+        ('{"a":{"b":"x"}} {"c":1}', "a..b", ["x"]),  # text after the end
+        ('{"a":{"b":"x"}} }]', "a..b", ["x"]),
+        ('{"z":{"k":1},"a":{"k":2},"m":[{"k":3},{"k":4}]}', "$..k", ["1", "2", "3", "4"]),  # in the order of the text
+        ('{"z":{"k":1},"k":2}', "$..k", ["2", "1"]),  # an object before what lies under it
+        (r'{"a\\":{"k\"":1},"b":{"k\"":"\\\\\""}}', """$..'k"'""", ["1", '\\\\"']),
+        (r'{"s":{"t":"\"k\":{","k":"{\"k\":1}"}}', "$..k", ['{"k":1}']),
+        ('{"o":{"b":{"12345678x":[{"y" : "00000001y"}]}}}', "$..b", ['{"12345678x":[{"y":"00000001y"}]}']),
+        ('{"x":{"\ue000\ue001":{"k":"\ue000"}}}', "$..k", ["\ue000"]),
+        ('{"s":[{"k":[1,2]},{"k":[[3]]}]}', "s..k[0]", ["1", "3"]),
+        ('{"z":{"b":1,"a":2},"c":[0]}', "$.*", ['{"a":2,"b":1}', "0"]),
     ],
 )
 def test_json_values(spark, body, path, expected):
@@ -109,3 +119,24 @@ def test_vanished_collection_is_reported(spark):
 
     now, before = (spark.createDataFrame(rows, "c string, v int") for rows in ([("a", 1), ("b", 1)], [("a", 1), ("b", 2), ("z", 1)]))
     assert {tuple(r) for r in decide_load(now, before, "c", ["v"]).collect()} == {("a", 1, "skip"), ("b", 1, "load"), ("z", 0, "gone")}
+
+
+def test_descent_stays_in_the_jvm(spark):
+    """No Python in the plan, and a member that lies deep or under thousands of brackets is found."""
+    depth, wide = 400, 3000
+    rows = [("[" * depth + '{"k":1}' + "]" * depth,), ('{"l":[' + ",".join('{"x":[]}' for _ in range(wide)) + ',{"k":2}]}',)]
+    out = spark.createDataFrame(rows, "body string").select(jsonpath.find_texts(F.try_parse_json("body"), "$..k", F.col("body")).alias("x"))
+    assert [r.x for r in out.collect()] == [["1"], ["2"]]
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_descents_in_a_row_are_an_error():
+    with pytest.raises(ValueError):
+        jsonpath.parse_path("a....b")
+
+
+def test_fields_share_one_reading(spark):
+    paths = {"a": "x..k", "b": "y..k", "it's": "plain", "none": "q..k"}
+    body = '{"x":{"m":{"k":1},"c":{"k":2}},"y":[{"k":3}],"plain":" p "}'
+    found = spark.createDataFrame([(body,)], "body string").select(jsonpath.find_fields(F.try_parse_json("body"), paths, F.col("body")).alias("f")).first().f
+    assert found == {"a": ["1", "2"], "b": ["3"], "it's": [" p "]}
