@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-from xml.parsers import expat
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions import xmlpath
-from sheaf.functions.lists import PAIRS, merge_pairs, override, strip_all
+from sheaf.functions import xmlpath, xmltree
+from sheaf.functions.lists import merge_pairs, override, strip_all
 from sheaf.sources.payloads import ok_pages, xml_fields
 from sheaf.spec import CollectionSpec
 
-# executors need not have this package: what a UDF uses travels with it
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # The root element of the metadata per prefix.
 METADATA_ROOTS = {
     "oai_dc": "dc",
@@ -66,72 +57,6 @@ def get_record(payloads: DataFrame, identifier: str) -> DataFrame:
     return live_records(payloads).where(F.col("identifier") == F.lit(identifier))
 
 
-def _tree_pairs(body: str, root: str, marc: bool, all_leaves: bool) -> list[tuple[str, list[str]]]:
-    """Path keys of the children of ``root``; by default one pair per child: its first key."""
-    pairs: list[tuple[str, list[str]]] = []
-    names: list[str] = []  # open elements from the root down
-    leaves: dict[str, str] = {}
-    text: list[str] = []
-    state = {"inside": False, "done": False, "leaf": False}
-
-    def local(tag: str, attributes: dict[str, str]) -> str:
-        name = tag.rpartition(":")[2]
-        if marc and name in ("controlfield", "datafield"):
-            return attributes.get("tag", name)
-        if marc and name == "subfield":
-            return attributes.get("code", name)
-        return name
-
-    def start(tag, attributes):
-        if state["done"]:
-            return
-        if not state["inside"]:
-            state["inside"] = tag.rpartition(":")[2] == root
-            return
-        names.append(local(tag, attributes))
-        text.clear()
-        state["leaf"] = True
-
-    def end(tag):
-        if state["done"] or not state["inside"]:
-            return
-        if not names:
-            state["done"] = True
-            return
-        value = "".join(text)
-        if state["leaf"] and value:
-            leaves["_".join(names)] = value
-        state["leaf"] = False
-        names.pop()
-        if not names:
-            for key, found in leaves.items():
-                pairs.append((key, [found.strip()]))
-                if not all_leaves:
-                    break
-            leaves.clear()
-
-    parser = expat.ParserCreate()
-    parser.StartElementHandler, parser.EndElementHandler = start, end
-    parser.CharacterDataHandler = text.append
-    parser.Parse(body, True)
-    return pairs
-
-
-def flatten_metadata(root: str, marc: bool = False, all_leaves: bool = False):
-    """UDF over record texts: path-key pairs. Names come from the data, which no fixed schema can give."""
-
-    @F.pandas_udf(PAIRS)
-    def flatten(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for bodies in batches:
-            yield bodies.map(
-                lambda body: None
-                if body is None
-                else [{"field": k, "values": v} for k, v in _tree_pairs(body, root, marc, all_leaves)]
-            )
-
-    return flatten
-
-
 def metadata_part(record: Column) -> Column:
     return F.regexp_extract(record, r"(?s)<((?:\w+:)?metadata)\b[^>]*>(.*)</\1\s*>", 2)
 
@@ -145,9 +70,8 @@ def oai_records(payloads: DataFrame, spec: CollectionSpec, all_leaves: bool = Fa
         raise ValueError(f"unknown metadata prefix {spec.metadata_prefix}")
     root = METADATA_ROOTS[spec.metadata_prefix]
     records = live_records(payloads).where(xmlpath.well_formed(F.col("record")))
-    body = F.concat(F.lit("<metadata>"), metadata_part(F.col("record")), F.lit("</metadata>"))
-    flatten = flatten_metadata(root, marc=root == "record", all_leaves=all_leaves)
-    flat = records.withColumn("pairs", flatten(body))
+    body = F.regexp_replace(metadata_part(F.col("record")), r"(?s)<\?.*?\?>", "")
+    flat = records.withColumn("pairs", xmltree.leaf_pairs(body, root, marc=root == "record", all_leaves=all_leaves))
     declared = xml_fields(F.col("record"), spec, strip_all)
     return flat.select(
         "harvest_id",

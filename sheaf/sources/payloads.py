@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions import jsonpath, xmlpath
-from sheaf.functions.lists import PAIRS, pairs_to_map
+from sheaf.functions import jsonpath, xmlpath, xmltree
 from sheaf.spec import CollectionSpec
 
 SCHEMA = "harvest_id string, seq bigint, url string, status int, content_type string, body string"
@@ -44,10 +43,5 @@ def json_fields(doc: Column, raw: Column | None, spec: CollectionSpec) -> Column
 
 def xml_fields(body: Column, spec: CollectionSpec, clean) -> Column:
     """Declared fields of one XML record; ``clean`` maps the found values."""
-    pairs = [
-        F.struct(
-            F.lit(name).alias("field"), clean(xmlpath.find_values(body, info.path, info.namespaces)).alias("values")
-        )
-        for name, info in spec.fields.items()
-    ]
-    return pairs_to_map(F.array(*pairs) if pairs else F.array().cast(PAIRS))
+    found = xmltree.find_fields(body, {name: (info.path, info.namespaces) for name, info in spec.fields.items()})
+    return F.transform_values(found, lambda _, values: clean(values))

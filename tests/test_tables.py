@@ -247,24 +247,14 @@ def test_page_bodies_do_not_move(payloads):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_workers_need_no_package(tmp_path):
-    """Python code of a plan must run on executors that have only PySpark."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    script = tmp_path / "job.py"
-    script.write_text(
-        f"import sys; sys.path.insert(0, {root!r})\n"
-        "from pyspark.sql import functions as F\n"
-        "from sheaf.session import build_session\n"
-        "from sheaf.functions.jsonpath import find_texts\n"
-        "from sheaf.sources.oai import flatten_metadata\n"
-        "s = build_session('w', 'local[1]', 1)\n"
-        "d = s.createDataFrame([('{\"a\":[{\"b\":1}]}', '<dc><t>x</t></dc>')], 'j string, x string')\n"
-        "r = d.select(find_texts(F.try_parse_json('j'), 'a..b', F.col('j')).alias('v'), flatten_metadata('dc')('x').alias('p')).first()\n"
-        "print('RESULT', r.v, r.p[0].field)\n"
-    )
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
-    assert "RESULT ['1'] t" in done.stdout, done.stderr[-2000:]
+@pytest.mark.parametrize("name", ["json_descend", "manifest_records", "xml_records", "oai_records", "oai_all_leaves", "oai_marc_records"])
+def test_extraction_needs_no_python(spark, name):
+    """Executors need nothing but Spark: no step of an extraction leaves the JVM."""
+    from sheaf.plans import extract_queries
+    from sheaf.plans.catalogue import QUERIES
+
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert extract_queries and not any(word in text for word in ("Python", "Pandas", "InArrow"))
 
 
 def test_a_cluster_needs_a_shared_folder(spark, tmp_path):
