@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from sheaf.functions.lists import first_of
+from sheaf.session import settle
 
 
 def merged_values(
@@ -29,21 +32,49 @@ def merged_values(
     return rows.join(named, same).select(*keys, id_column, "column", *order, "item", "value")
 
 
+def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def merge_lists(
-    df: DataFrame, locator: str, id_column: str, order: list[str], list_columns: list[str], within: tuple[str, ...] = ()
+    df: DataFrame, locator: str, id_column: str, order: list[str], list_columns: list[str], within: tuple[str, ...] = (), part_items: int = 10_000
 ) -> DataFrame:
-    """One row per first locator value (and ``within`` columns, such as the collection): the first id, and every list chained in row order.
+    """Per first locator value (and ``within`` columns, such as the collection): the first id, and every list chained in
+    row order, in parts of at most ``part_items`` values of each column: ``keys, id_column, part, list columns``.
 
-    This is the wide view for records of a usual size: a locator becomes one row, however many rows it has. For
-    locators without a bound use ``merged_values``, which holds the same lists as rows.
+    A locator of a usual size is part 0 alone; a large one has as many parts as it needs, and its rows lie in as many
+    tasks. Where a row's values go is known from two levels of sums: rows are cut into ranges by key and order and
+    written so; counts add up over the ranges of a locator, and over the rows within a range. Rows that tie come in the
+    order of their lists. A locator without any value has one part with empty lists.
     """
-    keyed = df.withColumn("locator", first_of(F.col(f"`{locator}`")))
-    keys, at = [*within, "locator"], F.struct(*order)
-    lists = F.array_sort(F.collect_list(F.struct(at.alias("at"), *[F.col(f"`{c}`") for c in list_columns])))
-    grouped = keyed.groupBy(*keys).agg(F.min_by(id_column, at).alias(id_column), lists.alias("_rows"))
+    keys, lists = [*within, "locator"], list(dict.fromkeys(list_columns))
+    named = df.withColumn("locator", first_of(F.col(f"`{locator}`"))).withColumn("_id", F.col(f"`{id_column}`"))
+    numbered = {c: f"_list{i}" for i, c in enumerate(lists)}
+    held = named.select(*keys, "_id", F.struct(*order).alias("_at"), *[F.col(f"`{c}`").alias(n) for c, n in numbered.items()])
+    sort = [*keys, "_at", *numbered.values()]
+    ranged = settle(held.repartitionByRange(*sort).withColumn("_range", F.spark_partition_id()))
+    sizes = {n: F.greatest(F.size(n), F.lit(0)).cast("bigint") for n in numbered.values()}
+
+    firsts = settle(ranged.groupBy(*keys).agg(F.min_by("_id", F.struct("_at", "_id")).alias(id_column)))
+    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(x).alias(f"_sum{n}") for n, x in sizes.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = [F.coalesce(F.sum(f"_sum{n}").over(earlier), F.lit(0)).alias(f"_base{n}") for n in sizes]
+    ranges = settle(totals.select(*keys, "_range", *bases))
+    inside = Window.partitionBy(*keys, "_range").orderBy("_at", *numbered.values()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.select("*", *[F.coalesce(F.sum(x).over(inside), F.lit(0)).alias(f"_before{n}") for n, x in sizes.items()])
+    based = placed.join(ranges, _same(keys, placed, ranges) & (placed["_range"] == ranges["_range"]))
 
-    def chained(column: str):
-        rows = F.filter("_rows", lambda r: r[column].isNotNull())
-        return F.flatten(F.transform(rows, lambda r: r[column])).alias(column)
+    def entries(n: str) -> Column:
+        start = F.col(f"_base{n}") + F.col(f"_before{n}")
+        return F.transform(F.col(n), lambda v, i: F.struct(F.lit(n).alias("column"), (start + i).alias("place"), v.cast("string").alias("value")))
 
-    return grouped.select(*keys, id_column, *[chained(c) for c in list_columns])
+    every = F.flatten(F.array_compact(F.array(*[entries(n) for n in sizes])))
+    items = based.select(*[placed[k] for k in keys], F.explode(every).alias("_item")).select(*keys, "_item.*")
+    part = F.floor(F.col("place") / part_items).cast("bigint")
+    # at most part_items values of each column in a group
+    mine = lambda n: F.when(F.col("column") == n, F.struct("place", "value"))
+    parts = items.groupBy(*keys, part.alias("part")).agg(*[F.array_sort(F.collect_list(mine(n))).alias(n) for n in sizes])
+    joined = firsts.join(parts, _same(keys, firsts, parts), "left")
+    shapes = {n: T.ArrayType(held.schema[n].dataType.elementType) for n in sizes}
+    values = [F.coalesce(F.transform(n, lambda x: x["value"]), F.array()).cast(shapes[n]).alias(c) for c, n in numbered.items()]
+    return joined.select(*[firsts[k] for k in keys], firsts[id_column], F.coalesce("part", F.lit(0)).alias("part"), *values)

@@ -273,8 +273,10 @@ def some_rows(spark, sf_dir):
 @query(
     "post_harvest",
     """
-    SELECT conv_id::VARCHAR AS locator, arg_min(conv_id || '-' || turn, turn) AS id, string_agg(role, '|' ORDER BY turn) AS roles
-    FROM conversations GROUP BY conv_id
+    WITH l AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 4 AS part FROM conversations),
+    f AS (SELECT conv_id, arg_min(conv_id || '-' || turn, turn) AS id FROM l GROUP BY conv_id)
+    SELECT conv_id::VARCHAR AS locator, id, part::BIGINT AS part, string_agg(role, '|' ORDER BY turn) AS roles
+    FROM l JOIN f USING (conv_id) GROUP BY ALL
     """,
 )
 def post_harvest(spark, sf_dir):
@@ -283,9 +285,9 @@ def post_harvest(spark, sf_dir):
         F.array("role").alias("role"),
     )
     spec = CollectionSpec.from_dict("talks", {"driver": "custom_json", "metadata": {
-        "post_harvest": "merge_records", "post_harvest_arguments": {"locator": "shelf", "order": ["turn"]}}})
+        "post_harvest": "merge_records", "post_harvest_arguments": {"locator": "shelf", "order": ["turn"], "part_items": 4}}})
     merged = run_hook(df, spec)
-    return merged.select("locator", "id", F.array_join("role", "|").alias("roles"))
+    return merged.select("locator", "id", "part", F.array_join("role", "|").alias("roles"))
 
 
 @query(

@@ -303,23 +303,40 @@ def _language_versions(spark, sf_dir):
     )
 
 
-def _merged_view(df):
-    return df.select(
-        "locator", "id", F.array_join("role", "|").alias("roles"), F.md5(F.array_join("text", "|")).alias("text_md5")
-    )
-
-
 @query(
     "merge_lists",
     """
-    SELECT conv_id::VARCHAR AS locator, arg_min(conv_id || '-' || turn, turn) AS id,
+    SELECT conv_id::VARCHAR AS locator, arg_min(conv_id || '-' || turn, turn) AS id, 0::BIGINT AS part,
            string_agg(role, '|' ORDER BY turn) AS roles,
            md5(string_agg(replace(text, chr(10), '|'), '|' ORDER BY turn)) AS text_md5
     FROM conversations GROUP BY conv_id
     """,
 )
 def merge_versions(spark, sf_dir):
-    return _merged_view(merge_lists(_language_versions(spark, sf_dir), "locator_list", "id", ["turn"], ["role", "text"]))
+    merged = merge_lists(_language_versions(spark, sf_dir), "locator_list", "id", ["turn"], ["role", "text"])
+    return merged.select("locator", "id", "part", F.array_join("role", "|").alias("roles"), F.md5(F.array_join("text", "|")).alias("text_md5"))
+
+
+@query(
+    "merge_large_locators",
+    """
+    WITH l AS (SELECT l_returnflag AS locator, l_orderkey || '-' || l_linenumber AS id, l_partkey::VARCHAR AS part_key, l_linestatus AS state,
+                      row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey::VARCHAR, l_linestatus) - 1 AS n FROM lineitem),
+    f AS (SELECT locator, id FROM l WHERE n = 0),
+    p AS (SELECT locator, n // 500 AS part, md5(string_agg(part_key || ',' || state, ',' ORDER BY n)) AS parts_md5 FROM l GROUP BY ALL),
+    s AS (SELECT locator, n // 1000 AS part, string_agg(state, '' ORDER BY n) AS states FROM l GROUP BY ALL)
+    SELECT p.locator, f.id, p.part::BIGINT AS part, p.parts_md5, coalesce(s.states, '') AS states
+    FROM p JOIN f USING (locator) LEFT JOIN s ON s.locator = p.locator AND s.part = p.part
+    """,
+)
+def merge_large_locators(spark, sf_dir):
+    """Three locators that hold all line items, merged into lists of at most 1000 values."""
+    lines = load(spark, sf_dir, "lineitem").select(
+        F.array("l_returnflag").alias("flags"), F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("id"), "l_orderkey", "l_linenumber",
+        F.array(F.col("l_partkey").cast("string"), "l_linestatus").alias("parts"), F.array("l_linestatus").alias("state"),
+    )
+    merged = merge_lists(lines, "flags", "id", ["l_orderkey", "l_linenumber"], ["parts", "state"], part_items=1000)
+    return merged.select("locator", "id", "part", F.md5(F.array_join("parts", ",")).alias("parts_md5"), F.array_join("state", "").alias("states"))
 
 
 @query(

@@ -115,6 +115,37 @@ def test_merge_of_a_large_group_has_the_usual_shape(spark):
     assert {r.column for r in long} == {"title"}
 
 
+def test_a_merged_list_of_any_size_comes_in_parts(spark):
+    rows = [(i // 2, f"i{i:03}", ["hot"], [f"t{i}", None, f"u{i}"][: i % 4], [f"s{i}"] if i % 50 == 0 else None) for i in range(400)]
+    rows += [(7, "z", ["cold"], ["c"], []), (8, "e", ["empty"], None, []), (9, "n", None, ["x"], None), (3, "n2", [], ["y"], None)]
+    df = merge_rows(spark, rows).repartition(7)
+    wanted = {}
+    for seq, key, shelf, title, subject in sorted(rows, key=lambda r: (r[0], [("", x)[x is not None] for x in r[3] or []])):
+        held = wanted.setdefault(shelf[0] if shelf else None, [[], []])
+        held[0] += title or []
+        held[1] += subject or []
+    for size in (1, 7, 10_000):
+        got, parts = {}, {}
+        for r in sorted(merge_lists(df, "shelf", "id", ["seq"], ["title", "subject"], part_items=size).collect(), key=lambda r: r.part):
+            held = got.setdefault(r.locator, [[], []])
+            parts.setdefault(r.locator, []).append((r.part, len(r.title)))
+            held[0] += r.title
+            held[1] += r.subject
+            assert max(len(r.title), len(r.subject)) <= size
+        assert {k: sorted(map(str, v[0])) for k, v in got.items()} == {k: sorted(map(str, v[0])) for k, v in wanted.items()}
+        assert got["hot"][1] == wanted["hot"][1] and got[None][0] == ["y", "x"] and got["empty"] == [[], []]
+        assert all(n == size for _, n in parts["hot"][:-1]) and [p for p, _ in parts["hot"]] == list(range(len(parts["hot"])))
+    order = [t for t in got["hot"][0] if t and t.startswith("u")]
+    assert order == sorted(order, key=lambda t: int(t[1:]))
+
+
+def test_merge_moves_no_locator_into_one_task(spark):
+    """Windows run over a range's rows, or over the sums of ranges; lists are gathered by part."""
+    text = plan(merge_lists(merge_rows(spark, [(1, "a", ["x"], ["t"], None)]), "shelf", "id", ["seq"], ["title"]))
+    rows = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert rows and all("_range" in line or "_groupingexpression" in line for line in rows if "locator" in line), rows
+
+
 def test_split_serials(spark):
     fields = [{"001": "x"}, {"974": "v1"}, {"245": "t"}, {"974": "v2"}]
     df = spark.createDataFrame([("l1", fields), ("l2", [{"001": "y"}])], "leader string, fields array<map<string,string>>")
