@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,16 +25,37 @@ def digests(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
     return df.groupBy(*group).agg(F.count("*").alias("n"), F.sum(row_hash(df, columns)).cast("string").alias("digest"))
 
 
-def differing_rows(current: DataFrame, previous: DataFrame) -> DataFrame:
+def _changed_ranges(current: DataFrame, previous: DataFrame, ranges: list[str], columns: list[str]) -> DataFrame:
+    """Ranges whose rows are not the same multiset in both tables, by one digest per range and table."""
+    left = digests(current, ranges, columns)
+    right = digests(previous, ranges, columns).toDF(*[f"_{r}" for r in ranges], "_n", "_digest")
+    together = reduce(lambda x, y: x & y, [F.col(r).eqNullSafe(F.col(f"_{r}")) for r in ranges])
+    same = (F.col("n") == F.col("_n")) & (F.col("digest") == F.col("_digest"))
+    joined = left.join(right, together, "full").where(~F.coalesce(same, F.lit(False)))
+    return joined.select(*[F.when(F.col("n").isNotNull(), F.col(r)).otherwise(F.col(f"_{r}")).alias(r) for r in ranges])
+
+
+def differing_rows(current: DataFrame, previous: DataFrame, group: list[str] | None = None, key: list[str] | None = None, buckets: int = 256) -> DataFrame:
     """Rows one table holds more often than the other, with that side and the number of extra copies.
 
-    One signed count over both tables, summed before the shuffle; empty when they are equal.
-    Add the order columns when order matters.
+    Both tables are first digested by range, that is by ``group`` (such as the collection) and ``buckets`` parts of a
+    hash of ``key`` (all columns, if none is named); only a row of counts per range moves. Ranges with the same
+    digest are the same, so the signed count of whole rows shuffles rows of changed ranges alone. Empty when the
+    tables are equal. Add the order columns when order matters.
     """
-    signed = current.withColumn("_sign", F.lit(1)).unionByName(previous.withColumn("_sign", F.lit(-1)))
-    net = signed.groupBy(*current.columns).agg(F.sum("_sign").alias("_net")).where(F.col("_net") != 0)
+    columns = current.columns
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in key or columns]), F.lit(buckets)).cast("int")
+    cut = [df.select(*[F.col(f"`{c}`") for c in columns]).withColumn("_part", part) for df in (current, previous)]
+    ranges = [*(group or []), "_part"]
+    changed = settle(_changed_ranges(*cut, ranges, columns))
+
+    def within(df: DataFrame, sign: int) -> DataFrame:
+        here = reduce(lambda x, y: x & y, [df[r].eqNullSafe(changed[r]) for r in ranges])
+        return df.join(changed, here, "left_semi").drop("_part").withColumn("_sign", F.lit(sign))
+
+    net = within(cut[0], 1).unionByName(within(cut[1], -1)).groupBy(*columns).agg(F.sum("_sign").alias("_net")).where(F.col("_net") != 0)
     side = F.when(F.col("_net") > 0, F.lit("current")).otherwise(F.lit("previous"))
-    return net.select(*current.columns, side.alias("side"), F.abs("_net").alias("copies"))
+    return net.select(*columns, side.alias("side"), F.abs("_net").alias("copies"))
 
 
 def decide_load(current: DataFrame, previous: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -68,6 +91,21 @@ def newest(snapshots: DataFrame, key: list[str], ts: str = "snapshot_ts") -> Dat
 
 
 def archive(records: DataFrame, decisions: DataFrame, key: list[str], path: str, ts: str = "snapshot_ts") -> None:
-    """Append the rows of the snapshots to keep, one folder per stamp."""
+    """Add the snapshots to keep: rows in a folder per key and stamp, then one row per snapshot that says it is whole.
+
+    A snapshot counts once that row is there (``archived``), so a write that fails leaves nothing to be seen, and
+    the same write run again replaces its folders. A large snapshot is written by several tasks.
+    """
     keep = settle(decisions.where(F.col("decision") == "archive").select(*key, ts))
-    records.join(keep, [*key, ts], "left_semi").write.mode("append").partitionBy(ts).parquet(path)
+    rows = records.join(keep, [*key, ts], "left_semi").hint("rebalance", *key, ts)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*key, ts).parquet(f"{path}/rows")
+    keep.write.mode("append").parquet(f"{path}/whole")
+
+
+def archived(spark: SparkSession, path: str, key: list[str], ts: str = "snapshot_ts") -> DataFrame:
+    """Rows of all whole snapshots of an archive."""
+    whole = spark.read.parquet(f"{path}/whole").distinct()
+    # folder names are text; they are read as what the rows had
+    kinds = {f.name: f.dataType for f in spark.read.parquet(f"{path}/rows").schema} | {f.name: f.dataType for f in whole.schema}
+    declared = ", ".join(f"`{name}` {kind.simpleString()}" for name, kind in kinds.items())
+    return spark.read.schema(declared).parquet(f"{path}/rows").join(whole, [*key, ts], "left_semi")

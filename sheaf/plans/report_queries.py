@@ -158,10 +158,7 @@ def rights_report(spark, sf_dir):
     return report.rights_report(counted(spark, sf_dir))
 
 
-@query(
-    "report_sections",
-    f"""
-    WITH {_R}, {_LANGS}, res AS ({_RESOURCES}), rig AS ({_RIGHTS})
+_SECTIONS = f"""
     SELECT collection_id, 'coverage' AS section, field, '' AS key, 'n' AS measure, n::DOUBLE AS value
     FROM k WHERE key = 'fields_covered'
     UNION ALL SELECT collection_id, 'coverage', field, '', 'percent', (n * 100 // records)::DOUBLE
@@ -174,8 +171,10 @@ def rights_report(spark, sf_dir):
         unnest([records, thumbnails, resources, manifests])::DOUBLE FROM res
     UNION ALL SELECT collection_id, 'rights', '', '', unnest(['object_rights', 'web_resource_rights', 'aggregation_rights']),
         unnest([object_rights, web_resource_rights, aggregation_rights])::DOUBLE FROM rig
-    """,
-)
+"""
+
+
+@query("report_sections", f"WITH {_R}, {_LANGS}, res AS ({_RESOURCES}), rig AS ({_RIGHTS}) {_SECTIONS}")
 def report_sections(spark, sf_dir):
     return report.report_sections(counted(spark, sf_dir))
 
@@ -254,6 +253,20 @@ def thumbnail_quality(spark, sf_dir):
     return links.thumbnail_quality(sizes)
 
 
+_TRANSFORMS = """
+        SELECT p_type, CASE WHEN p_size < 10 THEN '.' || replace(p_name, ' ', '_') || '[0]'
+                    WHEN p_size < 20 THEN replace(p_name, ' ', '_')
+                    WHEN p_size < 30 THEN 'Assigned literal value: ''''' || p_partkey || ''''''
+                    ELSE '.Classification or .ObjectName' END AS from_field,
+               CASE WHEN p_size < 10 THEN 'cho_title' WHEN p_size < 20 THEN 'cho_date'
+                    WHEN p_size < 30 THEN 'cho_type' ELSE 'cho_edm_type' END AS to_field,
+               CASE WHEN p_size < 10 THEN 'A literal value was prepended to provide context or to satisfy a consistent pattern requirement.'
+                    WHEN p_size < 20 THEN 'The output value was mapped to a value in a controlled vocabulary.'
+                    WHEN p_size < 30 THEN '' ELSE 'Seperate values on '';'', then downcase' END AS transforms
+        FROM part WHERE p_size < 35
+"""
+
+
 @query(
     "report_document",
     f"""
@@ -261,19 +274,14 @@ def thumbnail_quality(spark, sf_dir):
     bad AS (
         SELECT collection_id, 'resource' AS field, count(*) FILTER (WHERE n_chars NOT BETWEEN 800 AND 5000) AS n FROM r GROUP BY 1
         UNION ALL SELECT collection_id, 'thumbnail', count(*) FILTER (WHERE quality <> 1 OR n_chars < 800)
-        FROM r WHERE quality IS NOT NULL GROUP BY 1)
-    SELECT section, count(*) AS n, count(DISTINCT collection_id) AS collections, coalesce(sum(value), 0)::BIGINT AS total FROM (
-        SELECT collection_id, 'coverage' AS section, n::DOUBLE AS value FROM k WHERE key = 'fields_covered'
-        UNION ALL SELECT collection_id, 'coverage', (n * 100 // records) FROM k JOIN t USING (collection_id) WHERE key = 'fields_covered'
-        UNION ALL SELECT collection_id, 'averages', 0 FROM k WHERE key IN ('values', 'wr_id')
-        UNION ALL SELECT collection_id, 'languages', unnest([n, 0]) FROM k3
-        UNION ALL SELECT collection_id, 'resources', unnest([records, thumbnails, resources, manifests]) FROM res
-        UNION ALL SELECT collection_id, 'rights', unnest([object_rights, web_resource_rights, aggregation_rights]) FROM rig
-        UNION ALL SELECT collection_id, 'links', n FROM bad
-        UNION ALL SELECT p_brand, 'thumbnail quality', count(*) FILTER (WHERE greatest(p_size * 12, p_retailprice / 4) >= 400)
-        FROM part GROUP BY 1
-        UNION ALL SELECT p_type, 'crosswalk', 0 FROM part WHERE p_size < 35)
-    GROUP BY section
+        FROM r WHERE quality IS NOT NULL GROUP BY 1),
+    images AS (SELECT p_brand AS collection_id, count(*) FILTER (WHERE p_size > 0) AS sampled,
+                      count(*) FILTER (WHERE greatest(p_size * 12, p_retailprice / 4) >= 400) AS good FROM part GROUP BY 1)
+    SELECT *, NULL::VARCHAR AS text FROM ({_SECTIONS}) x
+    UNION ALL SELECT collection_id, 'links', field, '', 'unresolvable', n::DOUBLE, NULL FROM bad
+    UNION ALL SELECT collection_id, 'thumbnail quality', '', '', 'good', good::DOUBLE, round_even(good * 100.0 / sampled, 0)::BIGINT || '% of the '
+        || sampled || ' thumbnail images sampled had a width or height of 400 or greater.' FROM images
+    UNION ALL SELECT p_type, 'crosswalk', to_field, from_field, 'transforms', NULL, transforms FROM ({_TRANSFORMS}) y
     """,
 )
 def report_document(spark, sf_dir):
@@ -282,12 +290,7 @@ def report_document(spark, sf_dir):
     rows = mapping.crosswalk(mapping_lines(spark, sf_dir)).withColumn(
         "collection_id", F.regexp_extract("file_path", "p_type=([^/]+)", 1)
     )
-    document = report.report_document(counts, checked, thumbnail_quality(spark, sf_dir), rows)
-    whole = F.col("measure").isin("average") | F.col("value").isNull()
-    return document.groupBy("section").agg(
-        F.count("*").alias("n"), F.countDistinct("collection_id").alias("collections"),
-        F.sum(F.when(whole, 0).otherwise(F.col("value"))).cast("bigint").alias("total"),
-    )
+    return report.report_document(counts, checked, thumbnail_quality(spark, sf_dir), rows)
 
 
 # --- required fields ------------------------------------------------------
@@ -386,19 +389,9 @@ def mapping_lines(spark, sf_dir):
 
 @query(
     "crosswalk",
-    """
-    WITH w AS (
-        SELECT CASE WHEN p_size < 10 THEN '.' || replace(p_name, ' ', '_') || '[0]'
-                    WHEN p_size < 20 THEN replace(p_name, ' ', '_')
-                    WHEN p_size < 30 THEN 'Assigned literal value: ''''' || p_partkey || ''''''
-                    ELSE '.Classification or .ObjectName' END AS from_field,
-               CASE WHEN p_size < 10 THEN 'cho_title' WHEN p_size < 20 THEN 'cho_date'
-                    WHEN p_size < 30 THEN 'cho_type' ELSE 'cho_edm_type' END AS to_field,
-               CASE WHEN p_size < 10 THEN 'A literal value was prepended to provide context or to satisfy a consistent pattern requirement.'
-                    WHEN p_size < 20 THEN 'The output value was mapped to a value in a controlled vocabulary.'
-                    WHEN p_size < 30 THEN '' ELSE 'Seperate values on '';'', then downcase' END AS transforms
-        FROM part WHERE p_size < 35)
-    SELECT from_field, to_field, transforms, count(*) AS n FROM w GROUP BY ALL
+    f"""
+    WITH w AS ({_TRANSFORMS})
+    SELECT from_field, to_field, transforms, count(*) AS n FROM w GROUP BY from_field, to_field, transforms
     """,
 )
 def crosswalk_rows(spark, sf_dir):

@@ -171,6 +171,20 @@ def test_snapshots(spark):
     assert got == [("current", 1, "x", 1), ("previous", 2, "", 1)]
 
 
+def test_only_changed_ranges_are_compared(spark):
+    import random
+
+    rnd = random.Random(2)
+    before = [(rnd.choice(["a", "b", None]), i % 300, rnd.choice(["x", "y", None])) for i in range(900)] + [("same", i, "z") for i in range(20, 70)]
+    now = [r for r in before if r[1] != 7] + [("b", 8, "x"), (None, 9, None), ("new", 1, "n")]
+    cur, old = (spark.createDataFrame(rows, "c string, k int, v string") for rows in (now, before))
+    wanted = {r: now.count(r) - before.count(r) for r in set(now + before) if now.count(r) != before.count(r)}
+    for group, key, buckets in ((None, None, 4), (["c"], ["k"], 16), (["c"], None, 1)):
+        got = snapshots.differing_rows(cur, old, group=group, key=key, buckets=buckets).collect()
+        assert {(r.c, r.k, r.v): r.copies if r.side == "current" else -r.copies for r in got} == wanted
+    assert snapshots._changed_ranges(cur, old, ["c"], ["c", "k", "v"]).where("c = 'same'").count() == 0
+
+
 def test_archive(spark, tmp_path):
     snaps = spark.createDataFrame(
         [("c", "1", 2, "d1"), ("c", "2", 2, "d1"), ("c", "3", 0, ""), ("c", "4", 2, "d1"), ("c", "5", 3, "d2"), ("c", "6", 2, "d1")],
@@ -179,8 +193,13 @@ def test_archive(spark, tmp_path):
     decided = snapshots.archive_decisions(snaps, ["key"])
     assert [r.decision for r in decided.orderBy("snapshot_ts").collect()] == ["archive", "unchanged", "empty", "unchanged", "archive", "archive"]
     rows = spark.createDataFrame([("c", str(t), i) for t in range(1, 7) for i in range(2)], "key string, snapshot_ts string, v int")
-    snapshots.archive(rows, decided, ["key"], str(tmp_path / "a"))
-    assert sorted({str(r.snapshot_ts) for r in spark.read.parquet(str(tmp_path / "a")).collect()}) == ["1", "5", "6"]
+    path = str(tmp_path / "a")
+    for _ in range(2):  # the same write again changes nothing
+        snapshots.archive(rows, decided, ["key"], path)
+        kept = sorted((r.key, r.snapshot_ts, r.v) for r in snapshots.archived(spark, path, ["key"]).collect())
+        assert kept == [("c", t, i) for t in "156" for i in range(2)]
+    rows.where("snapshot_ts = '2'").write.mode("append").partitionBy("key", "snapshot_ts").parquet(f"{path}/rows")
+    assert snapshots.archived(spark, path, ["key"]).count() == 6  # rows of a write that has not ended do not count
     assert snapshots.newest(snaps, ["key"]).first().snapshot_ts == "6"
 
 
