@@ -84,10 +84,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TARGETS = {
-    "source": {"src0": 0.2, "*": 0.8},
     "lang": {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15},
     "topic": {"prose": 0.85, "table": 0.05, "shout": 0.02, "licence": 0.08},
 }
+ROUNDS = 20
 
 
 def topic():
@@ -97,16 +97,16 @@ def topic():
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    axes = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic()}
+    axes = {"lang": F.col("lang"), "topic": topic()}
     tokens = F.floor(F.octet_length(F.coalesce("text", F.lit(""))) / 4) + 1
-    return mixing.mix(docs, {a: (axes[a], t) for a, t in TARGETS.items()}, tokens, share=0.5)
+    return mixing.mix(docs, {a: (axes[a], t) for a, t in TARGETS.items()}, tokens, share=0.5, rounds=ROUNDS, source=F.col("source"), temper=0.5)
 
 
-def _raking(rounds: int = 50) -> str:
+def _raking(rounds: int = ROUNDS) -> str:
     """The same fit as SQL: one step per axis and round on the few cells."""
     steps, last = [], "cells"
     for i in range(rounds):
-        for axis in TARGETS:
+        for axis in ("source", *TARGETS):
             name = f"f{i}_{axis}"
             steps.append(
                 f"{name} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.t, c.w * coalesce(g.goal / nullif(sum(c.w) OVER (PARTITION BY c.{axis}), 0), 0) AS w "
@@ -122,18 +122,21 @@ def _case(axis: str) -> str:
 
 
 def _goal(axis: str) -> str:
-    rows = ", ".join(f"('{v}', {w}::DOUBLE)" for v, w in ({"*": 0.0} | TARGETS[axis]).items())
-    here = f"SELECT v, w FROM (VALUES {rows}) x(v, w) WHERE v IN (SELECT {axis} FROM cells)"
-    return f"goal_{axis} AS MATERIALIZED (SELECT v, w / nullif(sum(w) OVER (), 0) AS goal FROM ({here}))"
+    """Targets of the values that occur; without a target ``*`` gets the weight that keeps its share of the tokens."""
+    rows = ", ".join(f"('{v}', {w}::DOUBLE)" for v, w in TARGETS[axis].items())
+    held = f"SELECT {axis} AS v, sum(t) AS t, any_value(x.w) AS w FROM cells LEFT JOIN (VALUES {rows}) x(v, w) ON x.v = {axis} GROUP BY ALL"
+    given = f"SELECT v, coalesce(w, coalesce(sum(w) OVER () * t / nullif(sum(t) FILTER (WHERE v <> '*') OVER (), 0), 1.0)) AS w FROM ({held})"
+    return f"goal_{axis} AS MATERIALIZED (SELECT v, w / nullif(sum(w) OVER (), 0) AS goal FROM ({given}))"
 
 
 MIXED_SQL = f"""
 WITH formed AS (SELECT doc_id, source, lang, octet_length(encode(coalesce(text, ''))) // 4 + 1 AS tokens,
     CASE WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '!!') THEN 'shout'
          WHEN contains(text, 'License') OR contains(text, 'rights reserved') THEN 'licence' ELSE 'prose' END AS topic FROM documents),
-pooled AS MATERIALIZED (SELECT doc_id, tokens, {", ".join(f"{_case(a)} AS {a}" for a in TARGETS)} FROM formed),
+pooled AS MATERIALIZED (SELECT doc_id, tokens, coalesce('=' || source, '') AS source, {", ".join(f"{_case(a)} AS {a}" for a in TARGETS)} FROM formed),
 sums AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS t FROM pooled GROUP BY ALL),
 cells AS MATERIALIZED (SELECT *, t / sum(t) OVER () AS w FROM sums),
+goal_source AS MATERIALIZED (SELECT source AS v, sqrt(sum(t)) / sum(sqrt(sum(t))) OVER () AS goal FROM cells GROUP BY source),
 {", ".join(_goal(a) for a in TARGETS)}, {_raking()},
 ranked AS (SELECT *, w / t AS rate, sum(t) OVER () * 0.5 AS budget, row_number() OVER (ORDER BY w / t DESC) AS k FROM fitted),
 levels AS (SELECT *, coalesce(sum(t) OVER before, 0) AS full_t, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS held_w FROM ranked

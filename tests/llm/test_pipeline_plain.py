@@ -43,7 +43,7 @@ def plain_score(text, model):
 
 def plain_mix(docs):
     """Raking and sampling over dictionaries."""
-    named = {a: [v for v in t if v != "*"] for a, t in queries.TARGETS.items()}
+    named = queries.TARGETS
 
     def form(text):
         for name, marks in (("table", [" | "]), ("shout", ["!!"]), ("licence", ["License", "rights reserved"])):
@@ -53,14 +53,18 @@ def plain_mix(docs):
 
     cells, where, size = Counter(), {}, {}
     for d in docs:
-        values = {"source": d["source"], "lang": d["lang"], "topic": form(d["text"])}
-        where[d["doc_id"]] = tuple(values[a] if values[a] in named[a] else "*" for a in named)
+        values = {"lang": d["lang"], "topic": form(d["text"])}
+        where[d["doc_id"]] = (d["source"], *(values[a] if values[a] in named[a] else "*" for a in named))
         size[d["doc_id"]] = len(d["text"].encode()) // 4 + 1
         cells[where[d["doc_id"]]] += size[d["doc_id"]]
     total = sum(cells.values())
     w = {c: t / total for c, t in cells.items()}
-    for _ in range(50):
-        for k, target in enumerate(queries.TARGETS.values()):
+    tokens_of = Counter()
+    for c, t in cells.items():
+        tokens_of[c[0]] += t
+    targets = [{v: t**0.5 for v, t in tokens_of.items()}, *queries.TARGETS.values()]
+    for _ in range(queries.ROUNDS):
+        for k, target in enumerate(targets):
             now = defaultdict(float)
             for c, x in w.items():
                 now[c[k]] += x

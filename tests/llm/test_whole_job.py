@@ -1,5 +1,8 @@
 """Cases in which an operator once did less than the whole job."""
 
+from collections import Counter
+
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +53,34 @@ def test_mixing_keeps_languages_without_a_target(spark):
     assert {r["lang"] for r in mixing.mix(docs, asked, F.lit(1)).collect()} == {"en", "de"}
 
 
+def test_mixing_rakes_every_source_as_its_sql(spark, tmp_path):
+    """A hot source of another name, a null source, a fifth language, and a source of one row."""
+    rng = np.random.default_rng(5)
+    source = ["hot" if x < 0.4 else None if x < 0.45 else f"s{int(x * 40)}" for x in rng.random(3000)] + ["one"]
+    lang = [["en", "de", "fr", "es", "it", None][i] for i in rng.integers(0, 6, 3001)]
+    text = [["plain", "a | b", "wow!!", "License", None][i] for i in rng.integers(0, 5, 3001)]
+    rows = [(i, t and (t + " word") * (1 + i % 40), a, s, 0) for i, (t, a, s) in enumerate(zip(text, lang, source))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op9_mixing(spark, str(tmp_path)).collect()
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    wanted = {r[0]: r[1:] for r in duck.sql(queries.ORACLES["op9_mixing"]).fetchall()}
+    assert {r["doc_id"]: (r["tokens"], r["weight"], r["probability"]) for r in out} == wanted and len(wanted) > 1000
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    axes = {"lang": (F.col("lang"), queries.TARGETS["lang"])}
+    every = mixing.mix(docs, axes, F.floor(F.length(F.coalesce("text", F.lit(""))) / 4) + 1, share=9.0, source=F.col("source")).collect()
+    assert len(every) == len(rows)
+    cells, before = {}, Counter()
+    for r in every:
+        cells[r["source"], r["lang"] if r["lang"] in queries.TARGETS["lang"] else "*"] = r["_weight"]
+        before[r["source"]] += r["_tokens"]
+    goal, reached = {s: t**0.5 for s, t in before.items()}, Counter()
+    for (s, _), w in cells.items():
+        reached[s] += w
+    for s in set(reached) - {"one"}:  # a source of one row has one language
+        assert reached[s] == pytest.approx(goal[s] / sum(goal.values()), rel=0.01)
+
+
 @pytest.mark.parametrize("common, whole", [(0.9, False), (0.99, True)])
 def test_near_vectors_with_a_common_mean(spark, common, whole):
     """Random vectors have a cosine of about ``common``; pairs are planted at a cosine of just over 0.98."""
