@@ -178,13 +178,17 @@ SELECT conv_id, perspective, position, speaker, segment, "end" - length(segment)
 """
 
 
+def left_out(key):
+    """A quarter of the trusted documents sets thresholds and is not in the model."""
+    return F.crc32(key.cast("string").cast("binary")) % 4 == 1
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    split = F.concat_ws("@", "_metadata.file_path", "_metadata.file_block_start")
     good = table(spark, sf_dir, "labels").where("quality = 1 and doc_id is not null").select("doc_id", F.lit(True).alias("good")).distinct()
-    marked = docs.select("doc_id", "text", "lang", split.alias("split")).join(shingle_join.of_small(settle(good)), "doc_id", "left")
-    rated = quality.perplexities(marked, F.col("good"), F.col("split"), keep=("lang",))
+    marked = docs.select("doc_id", "text", "lang").join(shingle_join.of_small(settle(good)), "doc_id", "left")
+    rated = quality.perplexities(marked, F.col("good"), keep=("lang",), held=left_out(F.col("doc_id")))
     return quality.classify(settle(rated)).select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 

@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from sheaf.llm import embed_dedup, mixing, queries, shingle_join
+from sheaf.llm import embed_dedup, mixing, quality, queries, shingle_join
 
 
 def plain_links(texts, width, num, den):
@@ -100,3 +100,29 @@ def test_near_vectors_with_a_common_mean(spark, common, whole):
     out = embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), least=0.98)
     found = np.array([r["n_links"] for r in sorted(out.collect(), key=lambda r: r["vec_id"])])
     assert (found <= wanted).all() and found.sum() >= (1 if whole else 0.98) * wanted.sum() > 2900
+
+
+def test_quality_keeps_good_documents_it_has_not_seen(spark, tmp_path):
+    """Half of the good documents carry no label; thresholds come from labelled ones left out of the model."""
+    rng = np.random.default_rng(3)
+    words = np.array(["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)])
+    rows = [(i, " ".join(rng.choice(words, 30)), "en") for i in range(1200)]
+    rows += [(i, "".join(rng.choice(list("qxz# 0"), 180)), "en") for i in range(1200, 1260)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, 0) for i in range(600)] + [(i, 0, 0) for i in range(1200, 1210)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = {r["doc_id"]: r for r in queries.op7_quality(spark, str(tmp_path)).collect()}
+    assert len(out) == len(rows) and not any(out[i]["kept"] for i in range(1200, 1260))
+    assert np.mean([out[i]["kept"] for i in range(600, 1200)]) > 0.97
+
+
+def test_quality_is_the_same_however_the_texts_are_split(spark, monkeypatch):
+    rows = [(i, "some good text here " * (i % 7) if i % 11 else None, "en") for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    for parts, shelf, block in ((1, 4_000_000, 32_000_000), (7, 500, 1000)):
+        monkeypatch.setattr(quality, "SHELF", shelf)
+        monkeypatch.setattr(quality, "BLOCK", block)
+        rated = quality.perplexities(table.repartition(parts), F.col("doc_id") % 3 == 0, keep=("lang",), held=F.col("doc_id") % 6 == 0)
+        seen.append({r["doc_id"]: (r["trusted"], r["held"], round(r["perplexity"], 4)) for r in rated.collect()})
+    assert seen[0] == seen[1] and len(seen[0]) == 300
