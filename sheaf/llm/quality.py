@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.common import col
-from sheaf.session import settle
+from sheaf.session import settle, shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -95,6 +95,16 @@ def shelve(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "block string, shelf binary")
 
 
+def written_by_block(shelves: DataFrame) -> DataFrame:
+    """The shelves as a table in the shared folder, bucketed by block, so that its texts are not shuffled to meet their answers."""
+    spark = shelves.sparkSession
+    path = shared_dir(spark, "shelves")
+    name = "shelves_" + path[-32:]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shelves.write.bucketBy(buckets, "block").option("path", path).option("compression", "none").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def parts_of(sizes: np.ndarray, most: int) -> Iterator[slice]:
     start = total = 0
     for i, n in enumerate(sizes):
@@ -214,7 +224,7 @@ def perplexities(
     named = F.lit("") if block is None else F.coalesce(block.cast("string"), F.lit(""))
     columns = [named.alias("block"), good.alias("trusted"), (good & out).alias("held"), (good & ~out).alias("counted"), col(text).alias("text")]
     rows = docs.select(*columns, col(key).alias("key"), *[col(c).alias(e) for c, e in zip(keep, extra)])
-    shelves = settle(shelve(rows))
+    shelves = written_by_block(shelve(rows))
     asked = settle(count_grams(shelves, order))
     totals = settle(asked.groupBy("gram").agg(F.sum("c").alias("c")))
     known = model_probabilities(totals.where("c > 0"), totals.select("gram"), order)
