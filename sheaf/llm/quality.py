@@ -18,9 +18,9 @@ from sheaf.session import settle, shared_dir
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SYMBOLS = 257  # bytes and the end of a text; the end is byte 3, the start byte 0
-AT_ONCE = 4_000_000  # bytes whose n-grams are sorted together
+AT_ONCE = 1_000_000  # bytes whose n-grams are sorted together
 SHELF = 4_000_000  # bytes of text compressed together
-BLOCK = 32_000_000  # bytes of text that ask for their n-grams together
+BLOCK = 16_000_000  # bytes of text that ask for their n-grams together
 GRAMS_HELD = 4_000_000  # n-grams a task holds before it sends them
 
 
