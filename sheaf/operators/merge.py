@@ -55,7 +55,8 @@ def merge_lists(
     ranged = settle(held.repartitionByRange(*sort).withColumn("_range", F.spark_partition_id()))
     sizes = {n: F.greatest(F.size(n), F.lit(0)).cast("bigint") for n in numbered.values()}
 
-    firsts = settle(ranged.groupBy(*keys).agg(F.min_by("_id", F.struct("_at", "_id")).alias(id_column)))
+    every_size = reduce(lambda a, b: a + b, sizes.values(), F.lit(0).cast("bigint"))
+    firsts = settle(ranged.groupBy(*keys).agg(F.min_by("_id", F.struct("_at", "_id")).alias(id_column), F.sum(every_size).alias("_values")))
     totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(x).alias(f"_sum{n}") for n, x in sizes.items()])
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     bases = [F.coalesce(F.sum(f"_sum{n}").over(earlier), F.lit(0)).alias(f"_base{n}") for n in sizes]
@@ -74,7 +75,11 @@ def merge_lists(
     # at most part_items values of each column in a group
     mine = lambda n: F.when(F.col("column") == n, F.struct("place", "value"))
     parts = items.groupBy(*keys, part.alias("part")).agg(*[F.array_sort(F.collect_list(mine(n))).alias(n) for n in sizes])
-    joined = firsts.join(parts, _same(keys, firsts, parts), "left")
     shapes = {n: T.ArrayType(held.schema[n].dataType.elementType) for n in sizes}
-    values = [F.coalesce(F.transform(n, lambda x: x["value"]), F.array()).cast(shapes[n]).alias(c) for c, n in numbered.items()]
-    return joined.select(*[firsts[k] for k in keys], firsts[id_column], F.coalesce("part", F.lit(0)).alias("part"), *values)
+    values = [F.transform(n, lambda x: x["value"]).cast(shapes[n]).alias(c) for c, n in numbered.items()]
+    shown = [*[firsts[k] for k in keys], firsts[id_column]]
+    # parts are the streamed side of an inner join, which Spark can split where a locator has many; a locator without a
+    # value has no part there and gets its own
+    filled = parts.join(firsts, _same(keys, parts, firsts)).select(*shown, "part", *values)
+    bare = [F.array().cast(shapes[n]).alias(c) for c, n in numbered.items()]
+    return filled.union(firsts.where("_values = 0").select(*shown, F.lit(0).cast("bigint").alias("part"), *bare))

@@ -146,6 +146,29 @@ def test_merge_moves_no_locator_into_one_task(spark):
     assert rows and all("_range" in line or "_groupingexpression" in line for line in rows if "locator" in line), rows
 
 
+def test_parts_of_a_large_locator_are_joined_with_its_first_id_where_they_lie(spark):
+    """The first ids are the small side, whatever the parts' size; where they are large too, parts are the side Spark can split."""
+    rows = [(i, f"i{i}", ["hot"], [f"t{i}", "u"], None) for i in range(3000)]
+    rows += [(1, "e", ["bare"], None, []), (0, "f", ["bare"], None, None), (2, "n", [], ["y"], None)]
+    df, usual = merge_rows(spark, rows).repartition(7), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in ("4k", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            merged = merge_lists(df, "shelf", "id", ["seq"], ["title", "subject"], part_items=100)
+            text = plan(merged)
+            assert "Outer" not in text
+            if threshold == "4k":
+                dealt = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+                assert dealt and all("_range" in line or "_groupingexpression" in line for line in dealt), dealt
+            got = merged.collect()
+            assert sorted((r.part, r.id, len(r.title)) for r in got if r.locator == "hot") == [(i, "i0", 100) for i in range(60)]
+            assert sorted((str(r.locator), r.id, r.part, r.title, r.subject) for r in got if r.locator != "hot") == [
+                ("None", "n", 0, ["y"], []), ("bare", "f", 0, [], []),
+            ]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
 def test_split_serials(spark):
     fields = [{"001": "x"}, {"974": "v1"}, {"245": "t"}, {"974": "v2"}]
     df = spark.createDataFrame([("l1", fields), ("l2", [{"001": "y"}])], "leader string, fields array<map<string,string>>")
