@@ -20,16 +20,18 @@ def merged_values(
     the order columns, ``item`` and ``value``.
 
     Sorted by order and item, the values of a column are its chained lists. The form is the same for a locator of
-    any size: rows stay where they are, and only the first id per locator is aggregated, by partial minima.
+    any size: rows stay where they are, and only the first id per locator is aggregated, by partial minima. The first
+    ids are written, so the join sees their size and need not deal rows out by locator to learn it.
     """
     keyed = df.withColumn("locator", first_of(F.col(f"`{locator}`")))
     keys = [*within, "locator"]
-    first = keyed.groupBy(*keys).agg(F.min_by(id_column, F.struct(*order)).alias("_first"))
+    first = settle(keyed.groupBy(*keys).agg(F.min_by(id_column, F.struct(*order)).alias("_first")))
     lists = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("values")) for c in list_columns])
-    rows = keyed.select(*keys, *order, F.inline(lists)).select(*keys, *order, "column", F.posexplode("values").alias("item", "value"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     named = first.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_first").alias(id_column))
-    return rows.join(named, same).select(*keys, id_column, "column", *order, "item", "value")
+    # lists are opened after the join, so that where it has to deal rows out they are moved whole
+    rows = keyed.select(*keys, *order, lists.alias("_lists")).join(named, same).select(*keys, id_column, *order, F.inline("_lists"))
+    return rows.select(*keys, id_column, "column", *order, F.posexplode("values").alias("item", "value"))
 
 
 def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:

@@ -169,6 +169,22 @@ def test_parts_of_a_large_locator_are_joined_with_its_first_id_where_they_lie(sp
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
 
 
+def test_long_form_deals_no_rows_out_by_locator(spark):
+    """The first ids have a known size before the join; a plan that learns it on the way has moved the rows by then."""
+    rows = [(i, f"i{i}", ["hot"], [f"t{i}", "u"], None) for i in range(3000)] + [(5, "n", [], ["y"], None), (4, "m", None, None, ["s"])]
+    df, usual = merge_rows(spark, rows).repartition(7), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+        long = merged_values(df, "shelf", "id", ["seq"], ["title", "subject"])
+        assert "Exchange hashpartitioning(" not in plan(long) and "BroadcastHashJoin" in plan(long)
+        got = long.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert long.columns == ["locator", "id", "column", "seq", "item", "value"]
+    assert sorted(tuple(r)[1:] for r in got if r.locator) == sorted(("i0", "title", i, j, v) for i in range(3000) for j, v in enumerate((f"t{i}", "u")))
+    assert sorted(tuple(r)[1:] for r in got if not r.locator) == [("m", "subject", 4, 0, "s"), ("m", "title", 5, 0, "y")]
+
+
 def test_split_serials(spark):
     fields = [{"001": "x"}, {"974": "v1"}, {"245": "t"}, {"974": "v2"}]
     df = spark.createDataFrame([("l1", fields), ("l2", [{"001": "y"}])], "leader string, fields array<map<string,string>>")
